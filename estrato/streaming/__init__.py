@@ -1,0 +1 @@
+"""No operator of this engine works on streams: the inventory is batch only."""
