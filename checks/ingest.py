@@ -18,7 +18,7 @@ _written: dict[tuple[int, str], tuple[str, object]] = {}
 FULL = {"Ítem": "item", "Norte": "cast(9457265 + sample_id as string)", "De": "de",
         "Hasta": "hasta", "potencia": "potencia", "Vs (m/s)": "vs_m_s", "Nspt": "nspt",
         "Gravas": "gravas", "Arenas": "arenas", "Finos": "finos",
-        "SUCS": "concat(sucs, 'ñ')", "Qadm. (kg/cm2)": "qadm_kg_cm2"}
+        "SUCS": "sucs || 'ñ'", "Qadm. (kg/cm2)": "qadm_kg_cm2"}
 SHORT = {"Nspt": "nspt", "Ítem": "item", "De": "de", "Hasta": "hasta", "SUCS": "sucs"}
 PLAIN = {"Item": "concat(item, ' \"x\"; y')", "De": "de", "Hasta": "hasta", "LP": "vs_m_s",
          "lp": "gravas"}
@@ -39,7 +39,9 @@ def site_dir(spark, sf) -> str:
                 *[f"{e} as `{h}`" for h, e in header.items()], "sitio")
             (part.write.mode("append").partitionBy("sitio")
              .csv(root, header=True, **{"sep": ";", "encoding": encoding, "escape": '"',
-                                        "nullValue": "", "emptyValue": "", **options}))
+                                        "nullValue": "", "emptyValue": "",
+                                        "ignoreLeadingWhiteSpace": False,
+                                        "ignoreTrailingWhiteSpace": False, **options}))
 
         spark.conf.set("spark.sql.caseSensitive", "true")     # the headers LP and lp
         try:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from estrato import config
 from estrato.functions import columns as C
+from estrato.operators.stats import FIELDS
 
 
 def drop_all_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -88,8 +89,14 @@ def clean_rows(df: DataFrame, numeric: Sequence[str] = config.NUMERIC_COLUMNS,
 
 
 def null_column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, non_null, total): one aggregation over all columns."""
+    """(column, non_null, total): one aggregation over all columns (one per
+    95 columns of a wider table, see ``stats.FIELDS``)."""
     names = list(columns or df.columns)
+    parts = [names[i:i + FIELDS - 1] for i in range(0, len(names), FIELDS - 1)]
+    return reduce(DataFrame.union, [_null_counts(df, part) for part in parts])
+
+
+def _null_counts(df: DataFrame, names: list[str]) -> DataFrame:
     counts = [F.count(C.col(c)).alias(f"n{i}") for i, c in enumerate(names)]
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("non_null"),

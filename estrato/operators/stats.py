@@ -2,13 +2,15 @@
 
 Spark's exact ``median`` and ``mode`` keep all distinct values of a column in
 one aggregation buffer, so at scale a single task holds the column. Here order
-statistics are found by narrowing a value range with mergeable sketches, and
-category counts are spread over the cluster before the winner is taken.
+statistics are found by narrowing a value range with samples and exact counts,
+and category counts are spread over the cluster before the winner is taken.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from math import sqrt
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,9 +18,28 @@ from pyspark.sql import functions as F
 
 from estrato.functions import columns as C
 
-CUTS = 1000            # sketch quantiles per pass: narrows a range about 300-fold
-ACCURACY = 20_000      # rank error of the sketch: rows / ACCURACY
-GATHER = 200_000       # values one target may bring to its last pass
+# Whole-stage code stops at 100 fields (spark.sql.codegen.maxFields), and an
+# aggregation beyond it is about ten times slower: wide ones are split.
+FIELDS = 96
+SAMPLE = 4_000_000     # most rows sampled per narrowing pass
+GATHER = 200_000       # values that may come together to be sorted
+WIDTH = 4              # standard errors on each side of a sampled quantile
+ACCURACY = 10_000      # of the quantiles taken from a sample
+
+
+def aggregate_row(df: DataFrame, parts: Sequence[tuple[int, Sequence[Column]]]) -> dict:
+    """All aggregates as one dict. ``parts`` are (buffer fields, columns) that
+    belong together; as many as fit share a scan."""
+    out: dict = {}
+    batch: list[Column] = []
+    used = 0
+    for fields, exprs in [*parts, (FIELDS + 1, [])]:
+        if batch and used + fields > FIELDS:
+            out.update(df.agg(*batch).first().asDict())
+            batch, used = [], 0
+        batch += exprs
+        used += fields
+    return out
 
 
 @dataclass
@@ -27,133 +48,147 @@ class _Target:
 
     column: str
     rank: int
-    low: float | None = None    # open range that holds the value; None = unbounded
+    inside: int                  # values in the open range that holds the value
+    low: float | None = None     # None = unbounded
     high: float | None = None
-    inside: int | None = None   # values within the range
+    upto: int = 0                # values at or below ``low``
     value: float | None = None
 
+    @property
+    def x(self) -> Column:
+        return C.col(self.column).cast("double")
 
-def _within(x: Column, low: float | None, high: float | None) -> Column:
-    keep = x.isNotNull()
-    if low is not None:
-        keep = keep & (x > F.lit(low))
-    if high is not None:
-        keep = keep & (x < F.lit(high))
-    return keep
-
-
-def _count_where(x: Column, edge: float | None, how: str) -> Column:
-    if edge is None:
-        return F.lit(0)
-    return F.count_if(x < F.lit(edge) if how == "<" else x == F.lit(edge))
-
-
-def _cuts(values: Column) -> Column:
-    return F.percentile_approx(values, [i / CUTS for i in range(CUTS + 1)], ACCURACY)
+    def held(self, low: float | None, high: float | None) -> Column:
+        keep = self.x.isNotNull()
+        if low is not None:
+            keep = keep & (self.x > F.lit(low))
+        if high is not None:
+            keep = keep & (self.x < F.lit(high))
+        return keep
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, Sequence[int]],
-                     first: dict[str, tuple[int, list[float]]] | None = None
-                     ) -> dict[str, list[float]]:
+                     counts: dict[str, int] | None = None) -> dict[str, list[float]]:
     """Exact ``rank``-th smallest values of numeric columns.
 
-    Every pass is one aggregation over ``df`` for all targets at once. It
-    counts the rows below, at and inside each target's range and sketches the
-    inside; the range shrinks until its content is small enough to sort. The
-    buffers are bounded by the sketch size and ``GATHER``, so nothing grows
-    with the data but the number of passes (about four for 10^13 rows).
-
-    ``first`` maps a column to (value count, sketch cuts) if already known.
+    While more than ``GATHER`` values are left, a sample proposes a range
+    around the rank and one counting scan proves where the rank is; a proposal
+    that missed only costs a pass. The last values are sorted. Scans are plain
+    filters and counters for all targets at once; memory is bounded by the
+    sample and ``GATHER``. 10^13 rows take three rounds.
     """
-    targets = {(c, r): _Target(c, r) for c, ranks in wanted.items() for r in ranks}
-    first = sketch(df, list(wanted)) if first is None else first
+    if counts is None:
+        counts = value_counts(df, list(wanted))
+    targets = {(c, r): _Target(c, r, counts[c]) for c, ranks in wanted.items() for r in ranks}
     for t in targets.values():
-        n, cuts = first[t.column]
-        if not 1 <= t.rank <= n:
-            raise ValueError(f"rank {t.rank} outside 1..{n} of {t.column}")
-        t.inside = n
-        _narrow(t, cuts, t.rank, n)
-    open_ = list(targets.values())
-    while open_:
-        exprs = []
-        for i, t in enumerate(open_):
-            x = C.col(t.column).cast("double")
-            inside = _within(x, t.low, t.high)
-            held = F.when(inside, x)
-            # ``inside`` is an upper bound from the pass before.
-            values = F.sort_array(F.collect_list(held)) if t.inside <= GATHER else _cuts(held)
-            exprs += [_count_where(x, t.low, "<").alias(f"below{i}"),
-                      _count_where(x, t.low, "=").alias(f"low{i}"),
-                      _count_where(x, t.high, "=").alias(f"high{i}"),
-                      F.count_if(inside).alias(f"inside{i}"), values.alias(f"values{i}")]
-        row = df.agg(*exprs).first()
-        for i, t in enumerate(open_):
-            _resolve(t, row[f"below{i}"], row[f"low{i}"], row[f"inside{i}"],
-                     row[f"high{i}"], row[f"values{i}"], t.inside <= GATHER)
-        open_ = [t for t in open_ if t.value is None]
+        if not 1 <= t.rank <= t.inside:
+            raise ValueError(f"rank {t.rank} outside 1..{t.inside} of {t.column}")
+    seed = 0
+    while True:
+        open_ = [t for t in targets.values() if t.value is None]
+        wide = [t for t in open_ if t.inside > GATHER]
+        if not wide:
+            break
+        seed += 1
+        groups = list(_by_range(wide).values())
+        _count(df, list(zip(groups, _propose(df, groups, seed))))
+    _gather(df, list(_by_range(open_).values()))
     return {c: [targets[c, r].value for r in ranks] for c, ranks in wanted.items()}
 
 
-def _resolve(t: _Target, below: int, at_low: int, inside: int, at_high: int,
-             values: list[float] | None, sorted_values: bool) -> None:
-    k = t.rank - below
-    if k <= 0 or k > at_low + inside + at_high:
-        # The sketch missed (its rank error is a bound, not a promise we need):
-        # open that side again; counts are exact, so the next range holds it.
-        if k <= 0:
-            t.low, t.high, t.inside = None, t.low, below + 1
-        else:
-            t.low, t.high, t.inside = t.high, None, 2 ** 62
-        return
-    if k <= at_low:
-        t.value = t.low
-    elif k > at_low + inside:
-        t.value = t.high
-    elif sorted_values:
-        t.value = values[k - at_low - 1]
-    else:
-        _narrow(t, values, k - at_low, inside)
-
-
-def _narrow(t: _Target, cuts: list[float], k: int, n: int) -> None:
-    """Shrink the range to the cuts around the k-th of n sketched values."""
-    if not cuts:
-        return
-    at = (k / n) * CUTS
-    i, j = int(at) - 1, int(at) + 2
-    low = cuts[i] if i >= 0 else None
-    high = cuts[j] if j <= CUTS else None
-    if low is not None and low == high:
-        # One value spans several cuts: it is counted at the range's lower edge.
-        t.low, t.inside = low, n
-        t.high = next((c for c in cuts if c > low), t.high)
-        return
-    if low is not None:
-        t.low = low
-    if high is not None:
-        t.high = high
-    t.inside = min(n, int(n * (j - i) / CUTS * 1.5 + 3 * n / ACCURACY) + 2)
+def value_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    row = aggregate_row(df, [(1, [F.count(C.col(c)).alias(f"n{i}")])
+                             for i, c in enumerate(columns)])
+    return {c: row[f"n{i}"] for i, c in enumerate(columns)}
 
 
-def sketch(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, list[float]]]:
-    """Per column: value count and sketch cuts. One aggregation."""
-    exprs = []
-    for i, name in enumerate(columns):
-        x = C.col(name).cast("double")
-        exprs += [F.count(x).alias(f"n{i}"), _cuts(x).alias(f"q{i}")]
-    row = df.agg(*exprs).first()
-    return {c: (row[f"n{i}"], row[f"q{i}"] or []) for i, c in enumerate(columns)}
+def _by_range(targets: list[_Target]) -> dict[tuple, list[_Target]]:
+    """Targets that look into the same range, such as a middle pair."""
+    out: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        out.setdefault((t.column, t.low, t.high), []).append(t)
+    return out
+
+
+def _any_present(columns: Sequence[str]) -> Column:
+    return F.coalesce(*[F.col(c) for c in columns]).isNotNull()
+
+
+def _propose(df: DataFrame, groups: list[list[_Target]], seed: int):
+    """Per group a range that most likely holds its ranks, from a sample just
+    large enough to leave an eighth of ``GATHER``."""
+    drawn, quantiles = [], []
+    for i, group in enumerate(groups):
+        t, n = group[0], group[0].inside
+        size = min(SAMPLE, max(10_000, (32 * n / GATHER) ** 2))
+        chosen = t.held(t.low, t.high) & (F.rand(seed) < F.lit(size / n))
+        drawn.append(F.when(chosen, t.x).alias(f"x{i}"))
+        edges = []
+        for rank, side in ((min(g.rank for g in group), -1), (max(g.rank for g in group), 1)):
+            p = (rank - t.upto) / n
+            error = WIDTH * max(sqrt(p * (1 - p) / size), 1 / size) + 1 / ACCURACY
+            edges.append(min(1.0, max(0.0, p + side * error)))
+        quantiles.append(F.percentile_approx(f"x{i}", edges, ACCURACY).alias(f"q{i}"))
+    names = [f"x{i}" for i in range(len(groups))]
+    row = df.select(*drawn).filter(_any_present(names)).agg(*quantiles).first()
+    return [tuple(row[f"q{i}"] or (None, None)) for i in range(len(groups))]
+
+
+def _count(df: DataFrame, proposals) -> None:
+    """Count around each proposed range and move the range of its targets.
+
+    A proposal without a sample counts nothing; its targets are drawn again.
+    """
+    known = [(i, group, low, high) for i, (group, (low, high)) in enumerate(proposals)
+             if low is not None]
+    row = aggregate_row(df, [
+        (4, [F.count_if(group[0].x < F.lit(low)).alias(f"below{i}"),
+             F.count_if(group[0].x == F.lit(low)).alias(f"low{i}"),
+             F.count_if(group[0].held(low, high)).alias(f"inside{i}"),
+             F.count_if(group[0].x == F.lit(high)).alias(f"high{i}")])
+        for i, group, low, high in known])
+    for i, group, low, high in known:
+        below = row[f"below{i}"]
+        at_low = below + row[f"low{i}"]
+        inside = at_low + row[f"inside{i}"]
+        at_high = inside + (row[f"high{i}"] if high > low else 0)
+        for t in group:
+            if t.rank <= below:
+                t.high, t.inside = low, below - t.upto
+            elif t.rank <= at_low:
+                t.value = low
+            elif t.rank <= inside:
+                t.low, t.high, t.upto, t.inside = low, high, at_low, row[f"inside{i}"]
+            elif t.rank <= at_high:
+                t.value = high
+            else:
+                t.inside = t.upto + t.inside - at_high
+                t.low, t.upto = high, at_high
+
+
+def _gather(df: DataFrame, groups: list[list[_Target]]) -> None:
+    """Sort the few values left per range and pick the wanted ones."""
+    if not groups:
+        return
+    left = [F.when(g[0].held(g[0].low, g[0].high), g[0].x).alias(f"x{i}")
+            for i, g in enumerate(groups)]
+    few = df.select(*left).filter(_any_present([f"x{i}" for i in range(len(groups))]))
+    # Equal lists are collected once; only the wanted values reach the driver.
+    row = few.agg(*[
+        F.sort_array(F.collect_list(f"x{i}"))[t.rank - t.upto - 1].alias(f"v{i}_{j}")
+        for i, group in enumerate(groups) for j, t in enumerate(group)]).first()
+    for i, group in enumerate(groups):
+        for j, t in enumerate(group):
+            t.value = row[f"v{i}_{j}"]
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str],
-                  first: dict[str, tuple[int, list[float]]] | None = None
-                  ) -> dict[str, float | None]:
+                  counts: dict[str, int] | None = None) -> dict[str, float | None]:
     """Median per column, NULLs ignored; the middle pair is averaged. A column
     without values has no median."""
-    first = sketch(df, columns) if first is None else first
-    wanted = {c: [(n + 1) // 2, n // 2 + 1] for c, (n, _) in first.items()
-              if c in columns and n > 0}
-    found = order_statistics(df, wanted, first) if wanted else {}
+    counts = value_counts(df, columns) if counts is None else counts
+    wanted = {c: [(counts[c] + 1) // 2, counts[c] // 2 + 1] for c in columns if counts[c] > 0}
+    found = order_statistics(df, wanted, counts) if wanted else {}
     return {c: (found[c][0] + found[c][1]) / 2 if c in found else None for c in columns}
 
 
@@ -186,18 +221,16 @@ class NumericProfile:
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> dict[str, NumericProfile]:
     """Median, mean and population variance per column, before and after
-    median imputation: one scan for moments and sketch, one or two more for
-    the exact median."""
+    median imputation. The moments after it need no scan of their own."""
     if not columns:
         return {}
-    exprs = [F.count("*").alias("total")]
+    parts = [(1, [F.count("*").alias("total")])]
     for i, name in enumerate(columns):
         x = C.col(name).cast("double")
-        exprs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                  F.var_pop(x).alias(f"v{i}"), _cuts(x).alias(f"q{i}")]
-    row = df.agg(*exprs).first()
-    first = {c: (row[f"n{i}"], row[f"q{i}"] or []) for i, c in enumerate(columns)}
-    medians = exact_medians(df, list(columns), first)
+        parts.append((6, [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                          F.var_pop(x).alias(f"v{i}")]))
+    row = aggregate_row(df, parts)
+    medians = exact_medians(df, columns, {c: row[f"n{i}"] for i, c in enumerate(columns)})
     out = {}
     for i, name in enumerate(columns):
         seen = Moments(row[f"n{i}"], row[f"m{i}"], row[f"v{i}"])
@@ -249,40 +282,46 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     """Pearson correlation of all pairs over their pairwise-complete rows.
 
     Long form (idx_a, idx_b, var_a, var_b, corr, n), both triangles and the
-    diagonal. One aggregation for all pairs. A pair with a constant side has
-    no correlation: NULL.
+    diagonal. A few pairs share a scan of their columns, as many as compiled
+    code takes. A pair with a constant side has no correlation: NULL.
     """
     names = correlation_columns(df, columns)
-    x = {c: C.col(c).cast("double") for c in names}
-    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
-    exprs = []
-    for i, j in pairs:
-        a, b = x[names[i]], x[names[j]]
-        if i == j:
-            exprs += [F.var_pop(a).alias(f"va_{i}_{j}"), F.count(a).alias(f"n_{i}_{j}")]
-            continue
-        both = a.isNotNull() & b.isNotNull()
-        exprs += [F.covar_pop(a, b).alias(f"cov_{i}_{j}"),
-                  F.var_pop(F.when(b.isNotNull(), a)).alias(f"va_{i}_{j}"),
-                  F.var_pop(F.when(a.isNotNull(), b)).alias(f"vb_{i}_{j}"),
-                  F.count_if(both).alias(f"n_{i}_{j}")]
-
-    def cell(i: int, j: int) -> Column:
-        p, q = max(i, j), min(i, j)
-        n = F.col(f"n_{p}_{q}")
-        if i == j:
-            corr = F.when((F.col(f"va_{p}_{q}") > 0) & (n > 1), F.lit(1.0))
-        else:
-            scale = F.sqrt(F.col(f"va_{p}_{q}")) * F.sqrt(F.col(f"vb_{p}_{q}"))
-            raw = F.try_divide(F.col(f"cov_{p}_{q}"), F.nullif(scale, F.lit(0.0)))
-            corr = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), raw))
-            corr = F.when(raw.isNotNull(), corr)
-        return F.struct(F.lit(i).alias("idx_a"), F.lit(j).alias("idx_b"),
-                        F.lit(names[i]).alias("var_a"), F.lit(names[j]).alias("var_b"),
-                        corr.alias("corr"), n.alias("n"))
-
-    cells = [cell(i, j) for i in range(len(names)) for j in range(len(names))]
-    return df.agg(*exprs).select(F.inline(F.array(*cells)))
+    x = ["cast(`" + c.replace("`", "``") + "` as double)" for c in names]
+    shown = ["'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in names]
+
+    def cell(i, j, corr, n):
+        return (f"named_struct('idx_a', {i}, 'idx_b', {j}, 'var_a', {shown[i]}, "
+                f"'var_b', {shown[j]}, 'corr', {corr}, 'n', {n})")
+
+    # (buffer fields, aggregates, cells) per pair; as text, since building so
+    # many expressions call by call takes longer than a small query.
+    items = []
+    for i, a in enumerate(x):
+        items.append((4, [f"var_pop({a}) as v_{i}", f"count({a}) as n_{i}"],
+                      [cell(i, i, f"case when v_{i} > 0 then 1.0D end", f"n_{i}")]))
+        for j, b in enumerate(x[:i]):
+            pair = f"{i}_{j}"
+            scale = f"nullif(sqrt(va_{pair}) * sqrt(vb_{pair}), 0)"
+            corr = (f"case when {scale} is not null then "
+                    f"greatest(-1.0D, least(1.0D, cov_{pair} / {scale})) end")
+            items.append((11, [
+                f"covar_pop({a}, {b}) as cov_{pair}",
+                f"var_pop(case when {b} is not null then {a} end) as va_{pair}",
+                f"var_pop(case when {a} is not null then {b} end) as vb_{pair}",
+                f"count_if({a} is not null and {b} is not null) as n_{pair}"],
+                [cell(i, j, corr, f"n_{pair}"), cell(j, i, corr, f"n_{pair}")]))
+    parts, batch, used = [], [], 0
+    for item in items:
+        if batch and used + item[0] > FIELDS:
+            parts.append(batch)
+            batch, used = [], 0
+        batch.append(item)
+        used += item[0]
+    parts.append(batch)
+    return reduce(DataFrame.union, [
+        df.agg(*[F.expr(e) for _, exprs, _ in part for e in exprs])
+        .selectExpr("inline(array(" + ", ".join(c for *_, cells in part for c in cells) + "))")
+        for part in parts])
 
 
 def lower_triangle(matrix: DataFrame, digits: int = 2) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato import config
-from estrato.operators.evaluate import compare_predictions
+from estrato.operators.evaluate import mean_squared_errors
 
 UNLIMITED_DEPTH = 30       # the learner's limit stands for "no limit"
 
@@ -58,8 +58,7 @@ def cross_validate(df: DataFrame, family: str, grid: list[dict], fold: str = "fo
             for model in fits:
                 scored = model.transform(scored)
             names = {str(i): f"prediction_{i}" for i in range(len(grid))}
-            mse = {r["name"]: r["mse"]
-                   for r in compare_predictions(scored, names, label).collect()}
+            mse = mean_squared_errors(scored, names, label)
             out += [{"family": family, "grid_idx": i, "params": p, "fold": k, "mse": mse[str(i)]}
                     for i, p in enumerate(grid)]
     return out

@@ -11,6 +11,11 @@ from estrato import config
 from estrato.functions import columns as C
 
 
+# Cells are written as they are: no trimming, NULL as an empty cell.
+CSV = dict(header=True, nullValue="", emptyValue="", escape='"',
+           ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 class MissingTableError(FileNotFoundError):
     """The table has not been written yet; the message says how to."""
 
@@ -38,7 +43,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "error", display: bool = Fal
     if display:
         shown = config.display_names()
         df = df.select(*[C.col(c).alias(shown.get(c, c)) for c in df.columns])
-    df.write.mode(mode).csv(path, header=True, nullValue="", emptyValue="", escape='"')
+    df.write.mode(mode).csv(path, **CSV)
 
 
 def write_profiles(profiles: DataFrame, path: str, mode: str = "error",
@@ -51,6 +56,6 @@ def write_profiles(profiles: DataFrame, path: str, mode: str = "error",
     out = profiles.withColumn(location, F.replace(C.col(location), F.lit(" "), F.lit("_")))
     writer = out.write.mode(mode).partitionBy(location)
     if fmt == "csv":
-        writer.csv(path, header=True, nullValue="", emptyValue="")
+        writer.csv(path, **CSV)
     else:
         writer.format(fmt).save(path)

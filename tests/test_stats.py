@@ -28,20 +28,21 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("gather", [200_000, 3])
-def test_exact_medians(spark, monkeypatch, gather):
+@pytest.mark.parametrize("gather,sample", [(200_000, 100), (30, 200), (3, 40)])
+def test_exact_medians(spark, monkeypatch, gather, sample):
     monkeypatch.setattr(stats, "GATHER", gather)
-    monkeypatch.setattr(stats, "CUTS", 20)
+    monkeypatch.setattr(stats, "SAMPLE", sample)
     df = frame(spark, CASES)
     got = stats.exact_medians(df, list(CASES))
     want = {c: statistics.median([x for x in v if x is not None]) for c, v in CASES.items()}
     assert got == want
 
 
-def test_every_rank_survives_a_coarse_sketch(spark, monkeypatch):
-    monkeypatch.setattr(stats, "GATHER", 2)
-    monkeypatch.setattr(stats, "CUTS", 4)
-    monkeypatch.setattr(stats, "ACCURACY", 3)
+def test_every_rank_survives_a_poor_sample(spark, monkeypatch):
+    monkeypatch.setattr(stats, "GATHER", 10)
+    monkeypatch.setattr(stats, "SAMPLE", 5)
+    monkeypatch.setattr(stats, "WIDTH", 0.1)
+    monkeypatch.setattr(stats, "ACCURACY", 50)
     values = [5] * 40 + [1, 2, 3] * 5 + list(range(10, 40))
     df = frame(spark, {"x": values})
     ranks = [1, 2, 15, 16, 30, 55, 56, 57, 84, 85]
@@ -97,3 +98,14 @@ def test_correlation_matches_pandas(spark):
 def test_correlation_ignores_text(spark):
     df = spark.range(5).select("id", F.lit("x").alias("t"))
     assert stats.correlation_columns(df) == ["id"]
+
+
+def test_wide_matrix_is_split(spark, monkeypatch):
+    monkeypatch.setattr(stats, "FIELDS", 12)
+    df = spark.range(50).selectExpr("id", "id * id as sq", "-id as neg", "id % 7 as m")
+    got = stats.correlation_matrix(df).collect()
+    want = df.toPandas().corr()
+    assert len(got) == 16
+    for r in got:
+        assert r["corr"] == pytest.approx(want.loc[r["var_a"], r["var_b"]])
+    assert stats.value_counts(df, df.columns) == dict.fromkeys(df.columns, 50)
