@@ -1 +1,243 @@
+from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from checks import geo
+from checks.explore import SCORED, rounded, scored
+from checks.registry import query, table
+from estrato import config
+from estrato.operators import evaluate, features, linear, select, split, trees
+from estrato.plans import train as plan
+from estrato.session import materialise, new_path
+from estrato.sources import artifacts
+
+# --- given result tables -------------------------------------------------------
+
+CV_SQL = """
+select l_returnflag as family, l_linenumber as grid_idx, l_suppkey % 5 as fold,
+  avg(l_quantity) as mse from lineitem group by 1, 2, 3"""
+
+
+@query("grid_select", f"""
+with m as (select family, grid_idx, avg(mse) as cv_mse from ({CV_SQL}) c group by 1, 2)
+select family, grid_idx, round(cv_mse, 6) + 0.0 as cv_mse from (
+  select *, row_number() over (partition by family order by cv_mse, grid_idx) as rn from m) r
+where rn = 1""")
+def grid_select(spark, sf):
+    cv = (table(spark, sf, "lineitem")
+          .groupBy(F.col("l_returnflag").alias("family"), F.col("l_linenumber").alias("grid_idx"),
+                   (F.col("l_suppkey") % 5).alias("fold"))
+          .agg(F.avg("l_quantity").alias("mse")))
+    return select.best_grid_point(cv).withColumn("cv_mse", F.round("cv_mse", 6))
+
+
+STAND_INS = {      # a prediction per family; two of them tie
+    "RandomForest": "prediction", "GradientBoosting": "prediction * 1.01",
+    "Linear": "prediction", "Ridge": "prediction * 0.9", "Lasso": "0 * prediction + 50000",
+}
+BOARD_SQL = " union all ".join(
+    f"select '{family}' as family, {i} as family_order, "
+    f"round(1 - sum((label - p) * (label - p)) / (var_pop(label) * count(label)), 6) + 0.0 as train_r2 "
+    f"from (select label, {e} as p from ({SCORED}) s) s"
+    for i, (family, e) in enumerate(STAND_INS.items()))
+
+
+def _board(spark, sf):
+    rows = scored(spark, sf).withColumns({f: F.expr(e) for f, e in STAND_INS.items()})
+    m = evaluate.compare_predictions(rows, {f: f for f in STAND_INS})
+    order = F.array_position(F.lit(list(STAND_INS)), F.col("name")) - 1
+    return m.select(F.col("name").alias("family"), order.cast("int").alias("family_order"),
+                    F.round("r2", 6).alias("train_r2"))
+
+
+@query("model_leaderboard", BOARD_SQL)
+def model_leaderboard(spark, sf):
+    return _board(spark, sf)
+
+
+@query("model_select", f"select * from ({BOARD_SQL}) b order by train_r2 desc, family_order limit 1")
+def model_select(spark, sf):
+    return select.best_family(_board(spark, sf))
+
+
+# --- fits with a closed form ---------------------------------------------------
+
+XY_SQL = (f"select sample_id, profundidad_media as x, qadm_kg_cm2 as y from ({geo.CLEAN_SQL}) c "
+          "where qadm_kg_cm2 is not null")
+ALPHAS = (0.1, 1.0, 10.0)
+
+
+def _xy(spark, sf):
+    rows = geo.clean(spark, sf).filter("qadm_kg_cm2 is not null").selectExpr(
+        "sample_id", "profundidad_media as x", "qadm_kg_cm2 as label")
+    return VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+
+
+def _fitted(spark, sf, family, alphas):
+    rows = materialise(_xy(spark, sf).select("features", "label", F.lit(0).alias("fold")), "xy")
+    gram = linear.total_gram(linear.grams_by_fold(rows))
+    out = []
+    for a in alphas:
+        m = linear.estimator(family, gram, a).fit(rows)
+        out.append((a, round(float(m.coefficients[0]), 5), round(m.intercept, 4)))
+    return spark.createDataFrame(out, "alpha double, slope double, intercept double")
+
+
+SUMS = ("select count(*) as n, avg(x) as mx, avg(y) as my, covar_pop(x, y) * count(*) as sxy, "
+        "var_pop(x) * count(*) as sxx from xy")
+
+
+def _closed(slope: str) -> str:
+    alphas = ", ".join(f"(cast({a} as double))" for a in ALPHAS)
+    return (f"with xy as ({XY_SQL}), s as ({SUMS}), w as (select a, mx, my, {slope} as w from s, "
+            f"(values {alphas}) t(a)) select a as alpha, round(w, 5) + 0.0 as slope, "
+            "round(my - w * mx, 4) + 0.0 as intercept from w")
+
+
+@query("fit_linear", f"select cast(0 as double) as alpha, round(regr_slope(y, x), 5) + 0.0 as slope, "
+                     f"round(regr_intercept(y, x), 4) + 0.0 as intercept from ({XY_SQL}) xy")
+def fit_linear(spark, sf):
+    return _fitted(spark, sf, "Linear", [0.0])
+
+
+@query("fit_ridge", _closed("sxy / (sxx + a)"))
+def fit_ridge(spark, sf):
+    return _fitted(spark, sf, "Ridge", ALPHAS)
+
+
+@query("fit_lasso", _closed("sign(sxy) * greatest(abs(sxy) / n - a, 0) / (sxx / n)"))
+def fit_lasso(spark, sf):
+    return _fitted(spark, sf, "Lasso", ALPHAS)
+
+
+CV_CLOSED = f"""
+with xy as (select *, ntile(5) over (order by md5('42:' || cast(sample_id as string))) - 1 as fold
+            from ({XY_SQL}) d),
+k as (select distinct fold as k from xy),
+s as (select k, count(*) as n, avg(x) as mx, avg(y) as my, covar_pop(x, y) * count(*) as sxy,
+        var_pop(x) * count(*) as sxx from xy join k on fold <> k group by k),
+w as (
+  select 'Linear' as family, 0 as grid_idx, k, mx, my, sxy / sxx as w from s union all
+  select 'Ridge', i, k, mx, my, sxy / (sxx + a) from s, (values (0, 0.1), (1, 1.0), (2, 10.0)) t(i, a)
+  union all
+  select 'Lasso', i, k, mx, my, sign(sxy) * greatest(abs(sxy) / n - a, 0) / (sxx / n)
+  from s, (values (0, 0.1), (1, 1.0), (2, 10.0)) t(i, a))
+select family, grid_idx, k as fold,
+  round(avg(pow(y - (my - w * mx) - w * x, 2)), 4) + 0.0 as mse
+from w join xy on fold = k group by family, grid_idx, k"""
+
+
+@query("grid_search_linear", CV_CLOSED)
+def grid_search_linear(spark, sf):
+    """All folds and penalties of three families from one scan."""
+    rows = split.assign_folds(_xy(spark, sf), ["sample_id"])
+    grams = linear.grams_by_fold(rows)
+    out = [(r["family"], r["grid_idx"], int(r["fold"]), round(r["mse"], 4))
+           for family in ("Linear", "Ridge", "Lasso")
+           for r in linear.cross_validate(grams, family, select.grid_points(config.PARAM_GRIDS[family]))]
+    return spark.createDataFrame(out, "family string, grid_idx int, fold int, mse double")
+
+
+# --- stored models ---------------------------------------------------------------
+
+PREDICT_SQL = f"""
+with xy as ({XY_SQL}), f as (select regr_slope(y, x) as w, regr_intercept(y, x) as b from xy)
+select sample_id, round(b + w * x, 4) + 0.0 as prediction from xy, f"""
+
+
+def _saved(spark, sf):
+    rows = _xy(spark, sf).drop("features")
+    stages = [VectorAssembler(inputCols=["x"], outputCol="features"),
+              linear.estimator("Linear", None)]
+    model = Pipeline(stages=stages).fit(rows)
+    root = new_path(spark, "models")
+    metrics = evaluate.regression_metrics(model.transform(rows))
+    artifacts.save_artifacts(root, "qadm", model, metrics, ["x"])
+    return root, rows
+
+
+@query("model_persist", PREDICT_SQL)
+def model_persist(spark, sf):
+    root, rows = _saved(spark, sf)
+    model = PipelineModel.load(f"{root}/modelo_qadm")
+    return model.transform(rows).select("sample_id", F.round("prediction", 4).alias("prediction"))
+
+
+@query("score_batch", PREDICT_SQL)
+def score_batch(spark, sf):
+    root, rows = _saved(spark, sf)
+    found = artifacts.load_artifacts(spark, root, "qadm")
+    return (found.model.transform(rows.select("sample_id", *found.features))
+            .select("sample_id", F.round("prediction", 4).alias("prediction")))
+
+
+@query("metrics_roundtrip",
+       "select round(avg(e * e), 4) + 0.0 as mse, round(sqrt(avg(e * e)), 4) + 0.0 as rmse, "
+       "round(avg(abs(e)), 4) + 0.0 as mae, "
+       "round(1 - sum(e * e) / (var_pop(label) * count(label)), 6) + 0.0 as r2, "
+       "'l_quantity,l_tax' as features "
+       f"from (select *, label - prediction as e from ({SCORED}) s) s")
+def metrics_roundtrip(spark, sf):
+    root = new_path(spark, "metrics")
+    frame = artifacts.metrics_frame(evaluate.regression_metrics(scored(spark, sf)),
+                                    ["l_quantity", "l_tax"])
+    artifacts.write_metrics(frame, root, "nspt")
+    back = artifacts.read_metrics(spark, root, "nspt")
+    return rounded(back.withColumn("features", F.concat_ws(",", "features")), "features")
+
+
+# --- trees and whole runs (no SQL) ---------------------------------------------------
+
+def _vectors(spark, sf):
+    frame = features.feature_frame(geo.clean(spark, sf), config.QADM, ["sample_id"], check=False)
+    pre = features.fit_preprocessor(frame.df, frame.numeric, frame.categorical)
+    folds = split.assign_folds(pre.transform(frame.df), ["sample_id"])
+    return materialise(folds.select("sample_id", "features", "label", "fold"), "vectors"), pre
+
+
+def _fit(spark, sf, family, params):
+    rows, _ = _vectors(spark, sf)
+    model = trees.estimator(family, params).fit(rows)
+    return rounded(evaluate.regression_metrics(model.transform(rows)), "n")
+
+
+@query("fit_random_forest")
+def fit_random_forest(spark, sf):
+    return _fit(spark, sf, "RandomForest", {"n_estimators": 20, "max_depth": 8})
+
+
+@query("fit_gbt")
+def fit_gbt(spark, sf):
+    return _fit(spark, sf, "GradientBoosting",
+                {"n_estimators": 10, "max_depth": 5, "learning_rate": 0.2})
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    rows, pre = _vectors(spark, sf)
+    model = trees.estimator("RandomForest", {"n_estimators": 20, "max_depth": 8}).fit(rows)
+    return evaluate.feature_importance(spark, model, pre.slots)
+
+
+SMALL_GRIDS = {**config.PARAM_GRIDS,
+               "RandomForest": {"n_estimators": [5], "max_depth": [4, 8]},
+               "GradientBoosting": {"n_estimators": [3], "max_depth": [3]}}
+
+
+@query("grid_search_trees")
+def grid_search_trees(spark, sf):
+    rows, _ = _vectors(spark, sf)
+    cv = trees.cross_validate(rows, "RandomForest",
+                              select.grid_points(SMALL_GRIDS["RandomForest"]))
+    return plan.Search([], cv).cv_frame(spark).withColumn("params", F.to_json("params"))
+
+
+@query("train_target")
+def train_target(spark, sf):
+    """The whole training run on the cleaned rows, with short tree grids."""
+    done = plan.train_target(geo.clean(spark, sf), config.QADM, ["sample_id"], grids=SMALL_GRIDS,
+                             save_to=new_path(spark, "models"))
+    board = done.search.leaderboard(spark).withColumn("params", F.to_json("params"))
+    return board.withColumn("chosen", F.col("family") == done.best.family)
