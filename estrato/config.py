@@ -51,6 +51,10 @@ SENTINEL = "-"
 # A number as text; everything else coerces to NULL.
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
+# Letters in what a cast to DOUBLE takes beyond the pattern: suffixes (12d,
+# 1.5f), NaN, inf and Infinity, hexadecimal (0x1p3).
+NUMBER_LETTERS = "dDfFnNiIxXpP"
+
 # Columns cleaned to DOUBLE (the allowable pressure is target 2).
 NUMERIC_COLUMNS = (
     "norte", "este", "de", "hasta", "potencia", "vs_m_s", "vp_m_s", "nspt",

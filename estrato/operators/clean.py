@@ -32,15 +32,14 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = config.NUMERIC_COLUMN
     """Text columns -> DOUBLE; unparsable and non-finite cells become NULL.
     Names that are absent are skipped; columns already numeric are cast."""
     types = dict(df.dtypes)
-    changed = {}
-    for name in columns:
-        if name not in types:
-            continue
-        if types[name] == "string":
-            changed[name] = C.parse_number(C.col(name), decimal_comma)
-        else:
-            changed[name] = C.finite(C.col(name).cast("double"))
-    return df.withColumns(changed) if changed else df
+    found = [c for c in columns if c in types]
+    if not found:
+        return df
+    # Two projections: the parsed number is computed once and looked at twice.
+    parsed = df.withColumns({
+        c: C.text_to_double(C.col(c), decimal_comma) if types[c] == "string"
+        else C.col(c).cast("double") for c in found})
+    return parsed.withColumns({c: C.finite(C.col(c)) for c in found})
 
 
 def coercion_report(df: DataFrame, columns: Sequence[str] = config.NUMERIC_COLUMNS,

@@ -162,7 +162,7 @@ def estimator(family: str, gram: Gram, alpha: float = 0.0, features: str = "feat
     its deviation, hence the factor.
     """
     base = dict(featuresCol=features, labelCol=label, predictionCol=prediction,
-                solver="normal", standardization=False, maxIter=1000, tol=1e-12)
+                solver="normal", standardization=False, maxIter=1000, tol=1e-9)
     if family == "Linear":
         return LinearRegression(regParam=0.0, **base)
     if family == "Ridge":

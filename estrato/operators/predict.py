@@ -25,9 +25,18 @@ def depth_grid(df: DataFrame, max_depth: str = "max_depth", points: int = config
             .withColumn(out, C.depth_step(C.col(idx), C.col(max_depth), points)))
 
 
-def profile_grid(requests: DataFrame, points: int = config.PROFILE_POINTS) -> DataFrame:
-    """The depth rows of all valid requests."""
-    return depth_grid(requests.filter("error is null").drop("error"), points=points)
+def profile_grid(requests: DataFrame, points: int = config.PROFILE_POINTS,
+                 partitions: int | None = None) -> DataFrame:
+    """The depth rows of all valid requests.
+
+    Requests are few bytes, their depth rows and scoring are not: the requests
+    are dealt out to ``partitions`` tasks (default: the session's shuffle
+    partitions) before they grow, whatever files they came in.
+    """
+    if partitions is None:
+        partitions = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    valid = requests.filter("error is null").drop("error")
+    return depth_grid(valid.repartition(partitions), points=points)
 
 
 def profile_inputs(grid: DataFrame, features: Sequence[str], defaults: dict,

@@ -8,9 +8,10 @@ rows per hash prefix; sizes are exact.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 from math import ceil
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,23 +41,23 @@ class _Limit:
     value: str | None = None
 
 
-def hash_limits(df: DataFrame, hashed: Column, ranks: Sequence[int]) -> list[str | None]:
+def hash_limits(df: DataFrame, hashed: Column,
+                ranks: Sequence[int] | Callable[[int], Sequence[int]]) -> list[str | None]:
     """The hash of the row at each rank; rank 0 has none (no row is below).
 
-    Each pass counts rows per next ``DIGITS`` hash digits within the prefixes
-    still open: a filter and a map-side-combined count with a bounded number
-    of groups. The last pass reads a few rows. 10^13 rows take three passes.
+    ``ranks`` may be a function of the number of rows, which the first pass
+    counts anyway. Each pass counts rows per next ``DIGITS`` hash digits within
+    the prefixes still open: a filter and a map-side-combined count with a
+    bounded number of groups. The last pass reads a few rows. 10^13 rows take
+    three passes.
     """
-    limits = [_Limit(r) for r in ranks]
     hashes = df.select(hashed.alias("h"))
+    sizes = _prefix_counts(hashes, 0, [])
+    if callable(ranks):
+        ranks = ranks(sum(n for _, n in sizes))
+    limits = [_Limit(r) for r in ranks]
     open_ = [t for t in limits if t.rank > 0]
     while open_:
-        done = len(open_[0].prefix)
-        prefixes = sorted({t.prefix for t in open_})
-        scope = hashes if done == 0 else hashes.filter(F.substring("h", 1, done).isin(prefixes))
-        counted = (scope.groupBy(F.substring("h", 1, done + DIGITS).alias("p"))
-                   .agg(F.count("*").alias("n")).collect())
-        sizes = sorted((r["p"], r["n"]) for r in counted)
         last: dict[str, int] = {}
         for t in open_:
             run = t.before
@@ -72,10 +73,21 @@ def hash_limits(df: DataFrame, hashed: Column, ranks: Sequence[int]) -> list[str
         ready = [t for t in open_ if t not in wide]
         if ready:
             _finish(hashes, ready)
+        if wide:
+            sizes = _prefix_counts(hashes, len(wide[0].prefix), sorted({t.prefix for t in wide}))
         open_ = wide
     return [t.value for t in limits]
 
 
+def _prefix_counts(hashes: DataFrame, done: int, prefixes: list[str]) -> list[tuple[str, int]]:
+    """Rows per hash prefix, ``DIGITS`` longer than the ``done`` known ones."""
+    if done:
+        hashes = hashes.filter(F.substring("h", 1, done).isin(prefixes))
+    counted = (hashes.groupBy(F.substring("h", 1, done + DIGITS).alias("p"))
+               .agg(F.count("*").alias("n")).collect())
+    return sorted((r["p"], r["n"]) for r in counted)
+
+
 def _finish(hashes: DataFrame, limits: list[_Limit]) -> None:
     done = len(limits[0].prefix)
     prefixes = sorted({t.prefix for t in limits})
@@ -95,34 +107,55 @@ def _finish(hashes: DataFrame, limits: list[_Limit]) -> None:
                 break
 
 
+def fold_sizes(n: int, folds: int) -> list[int]:
+    """Sizes of contiguous folds: the first ``n mod folds`` get one row more."""
+    return [n // folds + (1 if i < n % folds else 0) for i in range(folds)]
+
+
+def _fold_ends(n: int, folds: int, start: int = 0) -> list[int]:
+    """Rank of the last row of each fold but the last."""
+    return [start + run for run in itertools.accumulate(fold_sizes(n - start, folds)[:-1])]
+
+
+def _fold(hashed: Column, limits: Sequence[str | None]) -> Column:
+    fold = F.lit(0)
+    for h in limits:
+        fold = fold + (F.when(hashed > F.lit(h), 1).otherwise(0) if h is not None else F.lit(1))
+    return fold.cast("int")
+
+
+def _at_or_below(hashed: Column, limit: str | None) -> Column:
+    return F.lit(False) if limit is None else hashed <= F.lit(limit)
+
+
 def train_test_split(df: DataFrame, keys: Sequence[str], test_share: float = config.TEST_SHARE,
                      seed: int = config.SEED, out: str = "is_test") -> DataFrame:
     """Add a boolean column that marks exactly ``ceil(share * rows)`` test rows."""
-    n = df.count()
     hashed = order_hash(keys, seed)
-    limit = hash_limits(df, hashed, [ceil(test_share * n)])[0]
-    flag = F.lit(False) if limit is None else hashed <= F.lit(limit)
-    return df.withColumn(out, flag)
-
-
-def fold_sizes(n: int, folds: int) -> list[int]:
-    """Sizes of contiguous folds: the first ``n mod folds`` get one row more."""
-    return [n // folds + (1 if i < n % folds else 0) for i in range(folds)]
+    limit, = hash_limits(df, hashed, lambda n: [ceil(test_share * n)])
+    return df.withColumn(out, _at_or_below(hashed, limit))
 
 
 def assign_folds(df: DataFrame, keys: Sequence[str], folds: int = config.FOLDS,
                  seed: int = config.SEED, out: str = "fold") -> DataFrame:
     """Add the fold (0-based) of each row: contiguous parts of the hash order."""
-    n = df.count()
-    ends, run = [], 0
-    for size in fold_sizes(n, folds)[:-1]:
-        run += size
-        ends.append(run)
     hashed = order_hash(keys, seed)
-    limits = hash_limits(df, hashed, ends)
-    past = [F.when(hashed > F.lit(h), 1).otherwise(0) if h is not None else F.lit(1)
-            for h in limits]
-    fold = past[0] if past else F.lit(0)
-    for p in past[1:]:
-        fold = fold + p
-    return df.withColumn(out, fold.cast("int"))
+    limits = hash_limits(df, hashed, lambda n: _fold_ends(n, folds))
+    return df.withColumn(out, _fold(hashed, limits))
+
+
+def split_and_folds(df: DataFrame, keys: Sequence[str], test_share: float = config.TEST_SHARE,
+                    folds: int = config.FOLDS, seed: int = config.SEED) -> DataFrame:
+    """Add ``is_test`` and, for training rows, ``fold``. Same rows as splitting
+    first and folding the rest, but all limits come from the same passes."""
+    hashed = order_hash(keys, seed)
+
+    def ranks(n: int) -> list[int]:
+        test = ceil(test_share * n)
+        return [test, *_fold_ends(n, folds, test)]
+
+    first, *rest = hash_limits(df, hashed, ranks)
+    is_test = _at_or_below(hashed, first)
+    if first is None:        # no row at all, or no test rows
+        return df.withColumns({"is_test": F.lit(False), "fold": _fold(hashed, rest)})
+    return df.withColumns({"is_test": is_test, "fold": F.when(~is_test, _fold(hashed, rest))})

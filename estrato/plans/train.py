@@ -123,11 +123,10 @@ def train_target(df: DataFrame, preset: config.TargetPreset, keys: Sequence[str]
     """
     frame = features.feature_frame(df, preset, keys)
     rows = materialise(frame.df, f"rows-{preset.name}")
-    rows = split.train_test_split(rows, keys, seed=seed)
+    rows = split.split_and_folds(rows, keys, seed=seed)
     train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
     pre = features.fit_preprocessor(train, frame.numeric, frame.categorical)
-    folds = split.assign_folds(train, keys, seed=seed)
-    vectors = materialise(pre.transform(folds).select("features", "label", "fold"),
+    vectors = materialise(pre.transform(train).select("features", "label", "fold"),
                           f"vectors-{preset.name}")
     search = search_models(vectors, families, grids, parallelism=parallelism, seed=seed)
     best = search.best(select_by)

@@ -138,3 +138,20 @@ def test_large_file_is_split(spark, tmp_path):
         assert got.table.rdd.getNumPartitions() > 4
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_numbers_follow_the_pattern(spark):
+    import re
+
+    from estrato import config
+    from estrato.functions import columns as C
+
+    cells = ["12", " 12 ", "-1.5", "+.5", "5.", "1e3", "1E-3", "12d", "1.5f", "1D", "2F", "NaN", "nan",
+             "inf", "-inf", "Infinity", "+Infinity", "0x10", "0x1p3", "12,5", "<5", "50/15", "1_000",
+             "", " ", "-", ".", "e5", "1e", "1.2.3", "- 5", "1 2", "1e999", "-1e999", "٣", "1L"]
+    rows = spark.createDataFrame([(c,) for c in cells], "cell string")
+    got = {r[0]: r[1] for r in rows.select("cell", C.parse_number(C.col("cell"))).collect()}
+    for c in cells:
+        plain = re.match(config.NUMBER_PATTERN, c.strip(), re.ASCII)
+        want = float(c) if plain and abs(float(c)) != float("inf") else None
+        assert got[c] == want, c

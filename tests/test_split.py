@@ -61,3 +61,13 @@ def test_hot_prefix(spark):
     assert limits[0] is None
     digest = [hashlib.md5(f"42:{k}".encode()).hexdigest() for k in order]
     assert limits[1:] == [digest[0], digest[49], digest[99]]
+
+
+@pytest.mark.parametrize("n", [1, 2, 1003])
+def test_split_and_folds_together(spark, n):
+    both = split.split_and_folds(spark.range(n), ["id"]).collect()
+    rows = split.train_test_split(spark.range(n), ["id"])
+    rest = {r["id"]: r["fold"] for r in split.assign_folds(rows.filter("not is_test"), ["id"]).collect()}
+    assert {r["id"]: r["fold"] for r in both if not r["is_test"]} == rest
+    assert all(r["fold"] is None for r in both if r["is_test"])
+    assert sum(r["is_test"] for r in both) == math.ceil(n / 4)
