@@ -9,6 +9,7 @@ from checks import geo
 from checks.registry import query, table
 from estrato import config
 from estrato.operators import features, split, stats
+from estrato.session import materialise
 
 # The given tables lack some soil columns: the presets keep what exists.
 NUM = ("profundidad_media", "vs_m_s", "gravas", "arenas", "finos")
@@ -176,7 +177,8 @@ lv as (select level, f, row_number() over (order by f, level) + {len(NUM) - 1} a
 @query("feature_vector", _vector_sql())
 def feature_vector(spark, sf):
     """Fit on three quarters, transform all: every slot of every vector."""
-    rows = features.target_rows(geo.clean(spark, sf), "nspt")
+    rows = materialise(features.target_rows(geo.clean(spark, sf), "nspt")
+                       .select("sample_id", *NUM, *CAT), "rows")
     model = features.fit_preprocessor(rows.filter("sample_id % 4 <> 0"), list(NUM), list(CAT))
     v = model.transform(rows).select("sample_id", vector_to_array("features").alias("v"))
     return v.select("sample_id", F.posexplode("v").alias("slot", "value")).select(

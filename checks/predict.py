@@ -9,7 +9,7 @@ from checks.registry import query, table
 from estrato import config
 from estrato.operators import evaluate, linear, predict
 from estrato.plans import predict as plan
-from estrato.session import new_path
+from estrato.session import materialise, new_path
 from estrato.sources import artifacts, tables
 from estrato.sources.requests import parse_requests
 
@@ -104,9 +104,20 @@ p1 as (select g.*, b + w * profundidad as nspt from ({GRID_SQL}) g, m1),
 p2 as (select p1.*, my + wx * (profundidad - mx) + wz * (nspt - mz) as qadm from p1, m2)"""
 
 
+_stored: dict[tuple[int, str], str] = {}
+
+
 def models(spark, sf) -> str:
-    """Train and store both stand-ins."""
-    rows = geo.clean(spark, sf).select("profundidad_media", "nspt", "qadm_kg_cm2")
+    """Train and store both stand-ins, once per session and table folder."""
+    key = (id(spark.sparkContext), sf)
+    if key not in _stored:
+        _stored[key] = _train(spark, sf)
+    return _stored[key]
+
+
+def _train(spark, sf) -> str:
+    rows = materialise(geo.clean(spark, sf).select("profundidad_media", "nspt", "qadm_kg_cm2"),
+                       "rows")
     root = new_path(spark, "models")
     for preset, names in ((config.NSPT, ["profundidad_media"]),
                           (config.QADM, ["profundidad_media", "nspt"])):

@@ -132,7 +132,7 @@ from w join xy on fold = k group by family, grid_idx, k"""
 @query("grid_search_linear", CV_CLOSED)
 def grid_search_linear(spark, sf):
     """All folds and penalties of three families from one scan."""
-    rows = split.assign_folds(_xy(spark, sf), ["sample_id"])
+    rows = split.assign_folds(materialise(_xy(spark, sf), "xy"), ["sample_id"])
     grams = linear.grams_by_fold(rows)
     out = [(r["family"], r["grid_idx"], int(r["fold"]), round(r["mse"], 4))
            for family in ("Linear", "Ridge", "Lasso")
@@ -148,7 +148,7 @@ select sample_id, round(b + w * x, 4) + 0.0 as prediction from xy, f"""
 
 
 def _saved(spark, sf):
-    rows = _xy(spark, sf).drop("features")
+    rows = materialise(_xy(spark, sf).drop("features"), "xy")
     stages = [VectorAssembler(inputCols=["x"], outputCol="features"),
               linear.estimator("Linear", None)]
     model = Pipeline(stages=stages).fit(rows)
@@ -192,8 +192,9 @@ def metrics_roundtrip(spark, sf):
 
 def _vectors(spark, sf):
     frame = features.feature_frame(geo.clean(spark, sf), config.QADM, ["sample_id"], check=False)
-    pre = features.fit_preprocessor(frame.df, frame.numeric, frame.categorical)
-    folds = split.assign_folds(pre.transform(frame.df), ["sample_id"])
+    rows = materialise(frame.df, "rows")
+    pre = features.fit_preprocessor(rows, frame.numeric, frame.categorical)
+    folds = split.assign_folds(pre.transform(rows), ["sample_id"])
     return materialise(folds.select("sample_id", "features", "label", "fold"), "vectors"), pre
 
 

@@ -187,34 +187,31 @@ def fit_preprocessor(train: DataFrame, numeric: Sequence[str],
     kept = [c for c in numeric if profile[c].median is not None]
     vocab = vocabulary(train, categorical)
     kept_cat = [c for c in categorical if vocab[c]]
-    exprs, slots = [], []
-    for c in kept:
+    # Scratch columns are numbered: stages do not take every name a column has.
+    scaled = [f"__num_{i}" for i in range(len(kept))]
+    filled, index, hot = ([f"__{kind}_{i}" for i in range(len(kept_cat))]
+                          for kind in ("filled", "index", "hot"))
+    exprs = []
+    for c, name in zip(kept, scaled):
         p = profile[c]
         sd = p.imputed.var ** 0.5
         exprs.append(f"(coalesce(cast({_q(c)} as double), {_d(p.median)}) - {_d(p.imputed.mean)})"
-                     f" / {_d(sd if sd > 0 else 1.0)} as {_q(c + '__z')}")
-        slots.append(c + "__z")
-    for c in kept_cat:
+                     f" / {_d(sd if sd > 0 else 1.0)} as {name}")
+    for c, name in zip(kept_cat, filled):
         fill = min(vocab[c], key=lambda level: (-level[1], level[0]))[0]
-        exprs.append(f"coalesce(cast({_q(c)} as string), {_s(fill)}) as {_q(c + '__filled')}")
+        exprs.append(f"coalesce(cast({_q(c)} as string), {_s(fill)}) as {name}")
     stages = [SQLTransformer(statement="select *, " + ", ".join(exprs) + " from __THIS__")]
     levels = {c: [v for v, _ in vocab[c]] for c in kept_cat}
     if kept_cat:
-        index = StringIndexerModel.from_arrays_of_labels(
-            [levels[c] for c in kept_cat], inputCols=[c + "__filled" for c in kept_cat],
-            outputCols=[c + "__index" for c in kept_cat], handleInvalid="keep")
+        stages += [StringIndexerModel.from_labels(levels[c], inputCol=f, outputCol=i,
+                                                  handleInvalid="keep")
+                   for c, f, i in zip(kept_cat, filled, index)]
         # The extra "unknown" slot is the one dropped: all levels stay.
-        encoder = OneHotEncoder(
-            inputCols=[c + "__index" for c in kept_cat],
-            outputCols=[c + "__hot" for c in kept_cat], dropLast=True)
-        shape = PipelineModel(stages + [index]).transform(train.limit(0))
-        stages += [index, encoder.fit(shape)]
-        slots += [c + "__hot" for c in kept_cat]
-    stages.append(VectorAssembler(inputCols=slots, outputCol=out))
-    scratch = [c + "__z" for c in kept] + [c + s for c in kept_cat
-                                           for s in ("__filled", "__index", "__hot")]
-    keep_all = "select * except (" + ", ".join(_q(c) for c in scratch) + ") from __THIS__"
-    stages.append(SQLTransformer(statement=keep_all))
+        encoder = OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True)
+        stages.append(encoder.fit(PipelineModel(stages).transform(train.limit(0))))
+    stages.append(VectorAssembler(inputCols=scaled + hot, outputCol=out))
+    scratch = ", ".join(scaled + filled + index + hot)
+    stages.append(SQLTransformer(statement=f"select * except ({scratch}) from __THIS__"))
     dropped = [c for c in [*numeric, *categorical] if c not in kept + kept_cat]
     return Preprocessor(PipelineModel(stages), kept, kept_cat, levels, dropped)
 

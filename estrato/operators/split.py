@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from estrato import config
 from estrato.functions import columns as C
 
-DIGITS = 4             # hash digits resolved per pass: at most 65,536 counters
+DIGITS = 3             # hash digits resolved per pass: at most 4,096 counters per task
 GATHER = 50_000        # hashes a limit's last pass may bring to the driver
 
 
@@ -49,7 +49,7 @@ def hash_limits(df: DataFrame, hashed: Column,
     counts anyway. Each pass counts rows per next ``DIGITS`` hash digits within
     the prefixes still open: a filter and a map-side-combined count with a
     bounded number of groups. The last pass reads a few rows. 10^13 rows take
-    three passes.
+    four passes.
     """
     hashes = df.select(hashed.alias("h"))
     sizes = _prefix_counts(hashes, 0, [])
@@ -84,16 +84,16 @@ def _prefix_counts(hashes: DataFrame, done: int, prefixes: list[str]) -> list[tu
     if done:
         hashes = hashes.filter(F.substring("h", 1, done).isin(prefixes))
     counted = (hashes.groupBy(F.substring("h", 1, done + DIGITS).alias("p"))
-               .agg(F.count("*").alias("n")).collect())
-    return sorted((r["p"], r["n"]) for r in counted)
+               .agg(F.count("*").alias("n")).toArrow())
+    return sorted(zip(counted["p"].to_pylist(), counted["n"].to_pylist()))
 
 
 def _finish(hashes: DataFrame, limits: list[_Limit]) -> None:
     done = len(limits[0].prefix)
     prefixes = sorted({t.prefix for t in limits})
     rows = (hashes.filter(F.substring("h", 1, done).isin(prefixes))
-            .groupBy("h").agg(F.count("*").alias("n")).collect())
-    found = sorted((r["h"], r["n"]) for r in rows)
+            .groupBy("h").agg(F.count("*").alias("n")).toArrow())
+    found = sorted(zip(rows["h"].to_pylist(), rows["n"].to_pylist()))
     for t in limits:
         run = t.before
         for h, n in found:
