@@ -23,7 +23,7 @@ SHORT = {"Nspt": "nspt", "Ítem": "item", "De": "de", "Hasta": "hasta", "SUCS":
 PLAIN = {"Item": "concat(item, ' \"x\"; y')", "De": "de", "Hasta": "hasta", "LP": "vs_m_s",
          "lp": "gravas"}
 LINES = {"Ítem": "concat(item, chr(10), 'z')", "Hasta": "hasta", "De": "de"}
-SITE_NO = "cast(replace(colegio, 'School ', '') as int)"
+SITE_NO = "cast(sample_id % 25 as int)"
 
 
 def site_dir(spark, sf) -> str:

@@ -56,7 +56,8 @@ def build_parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = build_parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"estrato {args.job}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"estrato {args.job}")
+             .config("spark.ui.enabled", "false").getOrCreate())
     if args.job == "inventory":
         site_files.raw_inventory(spark, args.raw).orderBy("file_name").show(1000, truncate=False)
     elif args.job == "ingest":

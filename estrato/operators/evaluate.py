@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estrato.functions import columns as C
@@ -80,7 +80,7 @@ def identity_bounds(df: DataFrame, label: str = "label", prediction: str = "pred
                   F.greatest(F.max(y), F.max(p)).alias("high"))
 
 
-def feature_importance(df_session, model, slots: Sequence[str]) -> DataFrame:
+def feature_importance(spark: SparkSession, model, slots: Sequence[str]) -> DataFrame:
     """(feature, importance) of a tree model, one-hot slots summed by feature.
 
     ``slots`` names the source feature of each vector slot, so widths agree.
@@ -94,4 +94,4 @@ def feature_importance(df_session, model, slots: Sequence[str]) -> DataFrame:
             raise ValueError(f"{values.size} importances for {len(slots)} slots")
         for name, value in zip(slots, values.toArray().tolist()):
             total[name] += value
-    return df_session.createDataFrame(list(total.items()), "feature string, importance double")
+    return spark.createDataFrame(list(total.items()), "feature string, importance double")

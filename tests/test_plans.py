@@ -44,10 +44,15 @@ def cleaned(spark, work):
 
 
 @pytest.fixture(scope="module")
-def models(spark, work, cleaned):
-    for preset in (config.NSPT, config.QADM):
-        train.train_target(cleaned.df, preset, [ingest.ROW_ID], grids=GRIDS,
-                           save_to=f"file:{work}/models")
+def trained(spark, work, cleaned):
+    return train.train_target(cleaned.df, config.NSPT, [ingest.ROW_ID], grids=GRIDS,
+                              save_to=f"file:{work}/models")
+
+
+@pytest.fixture(scope="module")
+def models(spark, work, cleaned, trained):
+    train.train_target(cleaned.df, config.QADM, [ingest.ROW_ID], families=["Linear", "Ridge"],
+                       grids=GRIDS, save_to=f"file:{work}/models")
     return f"file:{work}/models"
 
 
@@ -65,8 +70,8 @@ def test_missing_table(spark, tmp_path):
         tables.load_table(spark, f"file:{tmp_path}/none")
 
 
-def test_search_and_evaluation(spark, cleaned):
-    done = train.train_target(cleaned.df, config.NSPT, [ingest.ROW_ID], grids=GRIDS)
+def test_search_and_evaluation(spark, trained):
+    done = trained
     board = {r["family"]: r for r in done.search.leaderboard(spark).collect()}
     assert list(board) == list(config.FAMILIES)
     assert all(r["train_r2"] > 0.3 for f, r in board.items() if f != "GradientBoosting")
@@ -88,12 +93,15 @@ def test_search_and_evaluation(spark, cleaned):
         assert sum(weights.values()) == pytest.approx(1) and "sucs" in weights
 
 
-def test_importance_sums_slots(spark, cleaned):
-    done = train.train_target(cleaned.df, config.NSPT, [ingest.ROW_ID], families=["RandomForest"],
-                              grids={"RandomForest": {"n_estimators": [5], "max_depth": [4]}})
-    weights = {r["feature"]: r["importance"] for r in done.importance().collect()}
-    assert set(weights) == set(done.preprocessor.numeric + done.preprocessor.categorical)
+def test_importance_sums_slots(spark, trained):
+    forest = next(c for c in trained.search.candidates if c.family == "RandomForest")
+    slots = trained.preprocessor.slots
+    weights = {r["feature"]: r["importance"]
+               for r in evaluate.feature_importance(spark, forest.model, slots).collect()}
+    assert set(weights) == set(trained.preprocessor.numeric + trained.preprocessor.categorical)
     assert sum(weights.values()) == pytest.approx(1)
+    linear = next(c for c in trained.search.candidates if c.family == "Linear")
+    assert evaluate.feature_importance(spark, linear.model, slots).count() == 0
 
 
 def test_chained_profiles(spark, work, models):
