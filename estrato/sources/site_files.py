@@ -187,8 +187,8 @@ def _literal_path(file_path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file_path))
 
 
-def _read_group(spark: SparkSession, group, names: list[str], sep: str) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+def _read_group(spark: SparkSession, group, fields: list[str], sep: str) -> DataFrame:
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
     return (spark.read.schema(schema)
             .csv([_literal_path(p) for p in group.paths], sep=sep, header=True,
                  encoding=group.encoding, quote='"', escape='"',
@@ -262,13 +262,16 @@ def read_site_files(spark: SparkSession, path: str, pattern: str = "*.csv", sep:
         names = _columns_of(labels, naming)
         for name, label in zip(names, labels):
             shown.setdefault(name, label)
-        rows = _read_group(spark, group, names, sep)
-        parts.append(_tagged(rows, names, site_from, with_file))
+        # Header texts as they are, so that Spark finds no odd header to warn
+        # about in every file; safe names where texts differ only in case.
+        fields = labels if len({x.lower() for x in labels}) == len(labels) else names
+        rows = _read_group(spark, group, fields, sep)
+        parts.append(_tagged(rows, dict(zip(fields, names)), site_from, with_file))
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return SiteFiles(table, files, shown)
 
 
-def _tagged(rows: DataFrame, names: list[str], site_from: str | None,
+def _tagged(rows: DataFrame, names: dict[str, str], site_from: str | None,
             with_file: bool) -> DataFrame:
     """Missing tokens, empty rows, sentinel, site name: in this order, so a row
     of nothing but sentinels is not an empty row.
@@ -282,9 +285,10 @@ def _tagged(rows: DataFrame, names: list[str], site_from: str | None,
     else:
         file_name = F.regexp_extract(C.decode_file_name(F.col("_metadata.file_path")),
                                      site_from, 1)
-    filled = reduce(Column.__or__, [~F.col(n).isin(*config.NA_TOKENS) for n in names])
+    filled = reduce(Column.__or__, [~C.col(field).isin(*config.NA_TOKENS) for field in names])
     missing = (*config.NA_TOKENS, config.SENTINEL)
-    cells = [C.blank_to_null(F.col(n), missing).alias(n) for n in names if n != "colegio"]
+    cells = [C.blank_to_null(C.col(field), missing).alias(name)
+             for field, name in names.items() if name != "colegio"]
     out = [*cells, C.site_name(file_name).alias("colegio")]
     if with_file:
         out.append(file_name.alias("archivo"))
