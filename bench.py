@@ -1,6 +1,11 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Each query runs twice, whole result to a no-op sink; the better time counts.
+Inputs that a query prepares once per session (the raw site files and their
+sniff for ``ingest_union``, the stored models for ``profile_chain``) therefore
+fall into its first run: ``ingest_union`` times the parse and union alone, and
+``profile_chain`` loading and scoring without training. ``ingest_clean`` times
+sniff, parse, cleaning and write.
 """
 
 from __future__ import annotations
