@@ -1,0 +1,23 @@
+"""Registered queries of this package, each with its SQL where it has one."""
+
+from __future__ import annotations
+
+from typing import Callable
+
+QUERIES: dict[str, Callable] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(fn):
+        if name in QUERIES:
+            raise ValueError(f"duplicate query {name}")
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+    return add
+
+
+def table(spark, sf_dir: str, name: str):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
