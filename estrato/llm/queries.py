@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.llm import packing
+from estrato.llm import decontaminate, linedup, packing, simhash
 from estrato.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -21,3 +21,20 @@ def op8_packing(spark, sf_dir):
     out = packing.pack(table(spark, sf_dir, "documents"), **tokenizer_files())
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                       "offset", "segment", "loss_tokens")
+
+
+@query("op7_simhash")
+def op7_simhash(spark, sf_dir):
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, budget=2)
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op2_line_dedup")
+def op2_line_dedup(spark, sf_dir):
+    out = linedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select(F.col("rest.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

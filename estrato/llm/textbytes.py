@@ -18,7 +18,7 @@ SLICE_BYTES = 2 << 20
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_CODES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
+_CODES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: The separators of the word contracts: space and the bytes 0x09 to 0x0D.
@@ -43,16 +43,19 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Rolling:
-    """64-bit hashes of any spans of a byte array, equal for equal bytes."""
+    """64-bit hashes of any spans of a byte array, equal for equal bytes.
+
+    ``which`` (0 or 1) picks one of two independent hashes.
+    """
 
     _forward = _back = np.zeros(0, dtype=np.uint64)
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, which: int = 0):
         n = len(data)
         if len(Rolling._forward) < n + 1:
             Rolling._forward, Rolling._back = _powers(_BASE, n + 1), _powers(_INVERSE, n + 1)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_CODES[data] * Rolling._forward[:n], out=self.sums[1:])
+        np.cumsum(_CODES[which][data] * Rolling._forward[:n], out=self.sums[1:])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes as int64, of the spans from ``starts`` up to ``ends``."""
@@ -118,3 +121,31 @@ def lists(values: np.ndarray, row: np.ndarray, rows: int, kind: pa.DataType) ->
     """A list column from values whose rows ascend."""
     offsets = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, row) of the parts between line feeds; a text has one at least."""
+    feed = np.flatnonzero(data == 10)
+    row = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, feed, side="right") - 1])
+    starts = np.concatenate([offsets[:-1], feed + 1])
+    order = np.lexsort((starts, row))
+    starts, row = starts[order], row[order]
+    ends = offsets[row + 1].copy()
+    same = np.flatnonzero(row[1:] == row[:-1])
+    ends[same] = starts[same + 1] - 1
+    return starts, ends, row
+
+
+def stripped(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans without separators at both ends; empty ones become (start, start)."""
+    solid = np.append(np.flatnonzero(~SPACES[data]), np.iinfo(np.int64).max)
+    first, last = solid[np.searchsorted(solid, starts)], np.searchsorted(solid, ends) - 1
+    empty = first >= ends
+    return np.where(empty, starts, first), np.where(empty, starts, solid[np.maximum(last, 0)] + 1)
+
+
+def code_points(data: np.ndarray) -> np.ndarray:
+    """Code points before each byte position, and in all."""
+    out = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=out[1:])
+    return out
