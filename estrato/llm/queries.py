@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, linedup, packing, simhash
+from estrato.llm import decontaminate, licenses, linedup, packing, quality, simhash
 from estrato.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -38,3 +38,16 @@ def op2_line_dedup(spark, sf_dir):
 @query("op9_decontamination")
 def op9_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_quality")
+def op10_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels, ~quality.held_out())
+    out = quality.score(docs, model).select("row.doc_id", "score")
+    return out.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op5_licenses")
+def op5_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
