@@ -1,0 +1,327 @@
+"""A probabilistic suffix tree over words, learned and applied on Spark.
+
+States are contexts, the last one or more words, up to ``depth``. As in Ron,
+Singer and Tishby, "The power of amnesia", a context is a candidate when it
+makes up at least ``p_min`` of all training tokens, a next word is kept with it
+when the two together make up ``eps``, and a candidate becomes a state when its
+distribution diverges from that of its longest shorter state. Both thresholds
+are shares of the corpus, so the tree has at most ``depth / p_min`` states and
+``depth / eps`` next words at any size of input: that bound is what is sent to
+the executors. Counts are over all training texts.
+
+The rest of a state's mass goes to its parent (Witten-Bell), and the root is the
+smoothed word distribution over the whole vocabulary, so every state's
+distribution sums to one. The vocabulary has no bound: words below ``eps`` are
+looked up by a join with the whole count table.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, functions as F
+
+from estrato.llm import textbytes
+from estrato.session import materialise
+
+#: Stands for the end of a text, and as context for its start.
+END = np.int64(0x5EED0FE11D0C5EED)
+ALPHA = 0.1
+#: Keys gathered before they are counted, and counted keys a task holds.
+GATHER, HELD = 1 << 21, 1 << 21
+
+
+class Index:
+    """Places of 64-bit keys in a table of distinct ones, by a table of hash prefixes."""
+
+    def __init__(self, keys: np.ndarray):
+        h = textbytes.mix(keys.view(np.uint64))
+        self.order = np.argsort(h)
+        self.h = np.append(h[self.order], np.uint64(0))
+        bits = max(4, int(np.ceil(np.log2(len(keys) + 1))) + 1)
+        self.shift = np.uint64(64 - bits)
+        self.begin = np.searchsorted(self.h[:-1] >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 for one that is not there."""
+        h = textbytes.mix(keys.view(np.uint64))
+        bucket = h >> self.shift
+        at, stop = self.begin[bucket], self.begin[bucket + np.uint64(1)]
+        out = np.full(len(keys), -1, dtype=np.int64)
+        live = np.flatnonzero(at < stop)
+        while len(live):
+            same = self.h[at[live]] == h[live]
+            out[live[same]] = self.order[at[live[same]]]
+            live = live[~same]
+            at[live] += 1
+            live = live[at[live] < stop[live]]
+        return out
+
+
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row): lower-cased words and an end for each text."""
+    rows = len(offsets) - 1
+    small = textbytes.lower(data)
+    starts, ends, row = textbytes.words(small, offsets)
+    h = np.full(len(starts) + rows, END, dtype=np.int64)
+    h[np.arange(len(starts)) + row] = textbytes.Rolling(small).spans(starts, ends)
+    return h, np.repeat(np.arange(rows), np.bincount(row, minlength=rows) + 1)
+
+
+class Counter:
+    """Counts of keys met in a task, in bounded memory: the part that is full goes out."""
+
+    def __init__(self):
+        self.raw: list[np.ndarray] = []
+        self.waiting = 0
+        self.keys, self.counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def add(self, keys: np.ndarray):
+        self.raw.append(keys)
+        self.waiting += len(keys)
+        if self.waiting >= GATHER:
+            self.merge()
+            if len(self.keys) >= HELD:
+                yield self.flush()
+
+    def merge(self) -> None:
+        if not self.raw:
+            return
+        new, n = np.unique(np.concatenate(self.raw), return_counts=True)
+        both, where = np.unique(np.concatenate([self.keys, new]), return_inverse=True)
+        counts = np.zeros(len(both), dtype=np.int64)
+        np.add.at(counts, where[:len(self.keys)], self.counts)
+        np.add.at(counts, where[len(self.keys):], n)
+        self.keys, self.counts, self.raw, self.waiting = both, counts, [], 0
+
+    def flush(self) -> pa.RecordBatch:
+        self.merge()
+        out = pa.RecordBatch.from_arrays([pa.array(self.keys), pa.array(self.counts)], names=["key", "n"])
+        self.keys, self.counts = self.keys[:0], self.counts[:0]
+        return out
+
+
+@dataclass
+class Level:
+    """The candidate contexts of one length, and their next words."""
+
+    keys: np.ndarray                       # place of the shorter context before the last word, times words, plus that word
+    total: np.ndarray                      # occurrences
+    shorter: np.ndarray                    # place, one level down, of the context without its first word
+    entry_keys: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    entry_p: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    back: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    state: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=bool))
+
+
+@dataclass
+class Tree:
+    words: np.ndarray                      # hashes of the words above eps
+    counts: np.ndarray
+    n: int                                 # training tokens
+    v: int                                 # distinct ones
+    levels: list[Level]
+
+    def root(self, counts):
+        return (counts + ALPHA) / (self.n + ALPHA * (self.v + 1))
+
+
+class Reader:
+    """The tree as a task uses it."""
+
+    def __init__(self, tree: Tree):
+        self.tree = tree
+        self.words = Index(tree.words)
+        self.contexts = [Index(x.keys) for x in tree.levels]
+        self.entries = [Index(x.entry_keys) for x in tree.levels]
+
+    def ids(self, h: np.ndarray) -> np.ndarray:
+        return self.words.find(h)
+
+    def contexts_of(self, ids: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
+        """For each level, the place of the context before each token, -1 where it is no candidate."""
+        m = np.int64(len(self.tree.words))
+        begin = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, dtype=np.int64)
+        end = self.ids(np.array([END]))[0]
+        before = np.r_[end, ids[:-1]][:len(ids)]
+        before[begin] = end
+        out, last = [], np.zeros(len(ids), dtype=np.int64)
+        for index in self.contexts:
+            known = (before >= 0) & (last >= 0)
+            place = np.full(len(ids), -1, dtype=np.int64)
+            place[known] = index.find(last[known] * m + before[known])
+            out.append(place)
+            last = np.r_[-1, place[:-1]][:len(ids)]
+            last[begin] = -1
+        return out
+
+    def log_p(self, ids: np.ndarray, places: list[np.ndarray], levels: int | None = None) -> np.ndarray:
+        """log10 of the probability of each token after its longest state. For a
+        word below eps it is the factor that its root probability is to be times."""
+        tree = self.tree
+        m = np.int64(len(tree.words))
+        out = np.zeros(len(ids))
+        live = np.ones(len(ids), dtype=bool)
+        here = [p.copy() for p in places]
+        for k in range((len(tree.levels) if levels is None else levels) - 1, -1, -1):
+            level = tree.levels[k]
+            at = np.flatnonzero(live & (here[k] >= 0))
+            at = at[level.state[here[k][at]]]
+            known = at[ids[at] >= 0]
+            entry = self.entries[k].find(here[k][known] * m + ids[known])
+            met = entry >= 0
+            out[known[met]] += np.log10(level.entry_p[entry[met]])
+            live[known[met]] = False
+            left = at[live[at]]
+            out[left] += np.log10(level.back[here[k][left]])
+        root = live & (ids >= 0)
+        out[root] += np.log10(tree.root(tree.counts[ids[root]]))
+        return out
+
+
+def count(docs: DataFrame, keys_of, label: str) -> DataFrame:
+    """(key, n) of what ``keys_of(h, row)`` gives for the training texts, summed."""
+    def run(batches):
+        counter = Counter()
+        keys = keys_of()
+        for part, data, offsets in textbytes.slices(batches):
+            h, row = tokens(data, offsets)
+            learn = part.column(part.schema.names.index("learn")).to_numpy(zero_copy_only=False)
+            mask = learn[row]
+            yield from counter.add(keys(h[mask], row[mask]))
+        yield counter.flush()
+
+    return docs.select("learn", "text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def table(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    got = frame.toArrow()
+    return got.column("key").to_numpy(), got.column("n").to_numpy()
+
+
+def grow(docs: DataFrame, depth: int, p_min: float, eps: float, divergence: float) -> tuple[Tree, DataFrame]:
+    """The tree and the whole count table (key, n) of the texts for which ``learn`` holds."""
+    spark = docs.sparkSession
+    counts = materialise(count(docs, lambda: lambda h, row: h, "words"), "word-counts")
+    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    words, word_counts = table(counts.where(F.col("n") >= max(2, eps * n)))  # 1 / eps rows at most
+    order = np.argsort(words)
+    tree = Tree(words[order], word_counts[order], n, v, [])
+    m = np.int64(max(len(words), 1))
+    frequent = np.flatnonzero(tree.counts >= max(2, p_min * n))
+    keys, total, shorter = frequent.astype(np.int64), tree.counts[frequent], np.full(len(frequent), -1)
+    for k in range(depth):
+        if not len(keys):
+            break
+        tree.levels.append(Level(keys, total, shorter))
+        sent = spark.sparkContext.broadcast(tree)
+
+        def pairs(sent=sent, k=k):
+            reader = Reader(sent.value)
+
+            def of(h, row):
+                ids = reader.ids(h)
+                place = reader.contexts_of(ids, row)[k]
+                both = (place >= 0) & (ids >= 0)
+                return place[both] * m + ids[both]
+            return of
+
+        found = count(docs, pairs, f"contexts-{k}").where(F.col("n") >= max(2, eps * n))  # 1 / eps rows at most
+        entry_keys, entry_n = table(found)
+        order = np.argsort(entry_keys)
+        settle(tree, k, entry_keys[order], entry_n[order], divergence)
+        # Candidates of the next length: pairs that are common enough, as context and last word.
+        common = np.flatnonzero(tree.levels[k].entry_n >= max(2, p_min * n))
+        place, last = np.divmod(tree.levels[k].entry_keys[common], m)
+        if k == 0:
+            short = Index(tree.levels[0].keys).find(last.astype(np.int64))
+        else:
+            down = tree.levels[k].shorter[place]
+            short = Index(tree.levels[k].keys).find(down * m + last)
+        keys, total, shorter = tree.levels[k].entry_keys[common], tree.levels[k].entry_n[common], short
+    return tree, counts
+
+
+def settle(tree: Tree, k: int, entry_keys: np.ndarray, entry_n: np.ndarray, divergence: float) -> None:
+    """Distributions of the contexts of level ``k`` and which of them are states."""
+    level, m = tree.levels[k], np.int64(max(len(tree.words), 1))
+    level.entry_keys, level.entry_n = entry_keys, entry_n
+    place, word = np.divmod(entry_keys, m)
+    size = len(level.keys)
+    kept, types = np.bincount(place, entry_n, size), np.bincount(place, minlength=size)
+    rest = np.maximum(level.total - kept, 0)
+    whole = kept + rest + types
+    level.back = np.where(whole > 0, (rest + types) / np.maximum(whole, 1), 1.0)
+    # The parents' probability of each next word, through the shorter states.
+    reader = Reader(Tree(tree.words, tree.counts, tree.n, tree.v, tree.levels[:k]))
+    chain, at = [None] * k, level.shorter[place]
+    for j in range(k - 1, -1, -1):
+        chain[j] = at
+        at = np.where(at >= 0, tree.levels[j].shorter[np.maximum(at, 0)], -1) if j else at
+    parent = 10.0 ** reader.log_p(word, chain)
+    level.entry_p = (entry_n + (rest + types)[place] * parent) / whole[place]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        q = entry_n / np.maximum(kept + rest, 1)[place]
+        apart = np.bincount(place, q * np.log(q / parent), size)
+        left, covered = rest / np.maximum(kept + rest, 1), np.bincount(place, parent, size)
+        apart += np.where(left > 0, left * np.log(left / np.maximum(1 - covered, 1e-12)), 0.0)
+    level.state = (types > 0) & (apart >= divergence)
+
+
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 2,
+          p_min: float = 1e-4, eps: float = 1e-6, divergence: float = 0.02) -> DataFrame:
+    """One row per document row: ``doc_id, learn, n_tokens, n_known, train_tokens,
+    base_score, score``, scores as log10 probabilities of the whole text.
+
+    ``learn`` is a condition on the input's columns that marks the texts learned
+    from. ``base_score`` is that of the root alone. NULL and empty texts are one
+    end token. Rows with NULL or repeated ids get a row each; equal texts score
+    alike. Without training texts every token has the root's even probability.
+    An empty table gives no rows; input columns may have any name.
+    """
+    spark = docs.sparkSession
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                         F.coalesce(learn, F.lit(False)).alias("learn"))
+    tree, counts = grow(source, depth, p_min, eps, divergence)
+    sent = spark.sparkContext.broadcast(tree)
+
+    def run(batches):
+        reader = Reader(sent.value)
+        base = np.log10(reader.tree.root(reader.tree.counts))
+        done = TaskContext.get().partitionId() << 40
+        for part, data, offsets in textbytes.slices(batches):
+            rows = part.num_rows
+            h, row = tokens(data, offsets)
+            ids = reader.ids(h)
+            known = ids >= 0
+            log_p = reader.log_p(ids, reader.contexts_of(ids, row))
+            single = np.zeros(len(ids))
+            single[known] = base[ids[known]]
+            rare, n = np.unique(np.stack([row[~known], h[~known]]), axis=1, return_counts=True) if not known.all() else (np.zeros((2, 0), dtype=np.int64), np.zeros(0, dtype=np.int64))
+            total = [np.bincount(row, minlength=rows), np.bincount(row[known], minlength=rows),
+                     np.bincount(row, single, rows), np.bincount(row, log_p, rows)]
+            none = len(n)
+            pad = lambda x: pa.concat_arrays([x, pa.nulls(none, x.type)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[done + np.arange(rows), done + rare[0]]), pad(part.column(0).cast(pa.int64())),
+                 pad(part.column(part.schema.names.index("learn"))), *(pad(pa.array(x)) for x in total),
+                 pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(rare[1])]),
+                 pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(n.astype(np.int64))])],
+                names=["rid", "doc_id", "learn", "n_tokens", "n_known", "base", "score", "word", "n"])
+            done += rows
+
+    parts = materialise(source.mapInArrow(run, "rid long, doc_id long, learn boolean, n_tokens long, n_known long, base double, "
+                                               "score double, word long, n long"), "scored-parts")
+    whole = F.lit(float(tree.n + ALPHA * (tree.v + 1)))
+    looked_up = F.coalesce(F.col("c"), F.lit(0))
+    rare = (parts.where("word is not null").select("rid", "word", "n")
+            .join(counts.select(F.col("key").alias("word"), F.col("n").alias("c")), "word", "left")
+            .select("rid", (F.col("n") * F.log10((looked_up + ALPHA) / whole)).alias("more"), F.when(looked_up > 0, F.col("n")).otherwise(0).alias("met"))
+            .groupBy("rid").agg(F.sum("more").alias("more"), F.sum("met").alias("met")))
+    more = F.coalesce("more", F.lit(0.0))
+    return parts.where("word is null").join(rare, "rid", "left").select(
+        "doc_id", "learn", "n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
+        F.lit(tree.n).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"))
