@@ -16,6 +16,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from estrato.session import materialise
+
 #: The phrases of the base scan and their labels.
 PHRASES = (
     ("gnu general public license", "gpl"),
@@ -41,9 +43,10 @@ TEMPLATES = (
     ("all rights reserved", "all-rights-reserved"),
 )
 
-#: A word, and what may stand between two.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A word, and what may stand between two. Written as ranges: the negated form
+#: of the same set takes the regex engine ten times as long.
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+GAP = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -88,9 +91,9 @@ def template_join(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8)
     vocabulary = sorted({w for s in sets for w in s})
     known = F.array(*[F.lit(w) for w in vocabulary])
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.split("text", "\n")).alias("line"))
-    # Global word order; an order by F.lower is as exact as any other, and cheaper.
-    rough = F.array_intersect(F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0)), known)
-    counted = {r["word"]: r["n"] for r in lines.select(F.explode(rough).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
+    held = materialise(lines.select("doc_id", "text_hash", F.array_intersect(words_of(F.col("line")), known).alias("held"))
+                       .where(F.size("held") >= min(need)), "license-blocks")
+    counted = {r["word"]: r["n"] for r in held.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     order = sorted(vocabulary, key=lambda w: (counted.get(w, 0), w))
     rank = {w: k for k, w in enumerate(order)}
     index, whole = [], []
@@ -100,12 +103,8 @@ def template_join(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8)
         index += [(ranks[i], t, i, len(ranks), k) for i in range(len(ranks) - k + 1)]
     prefixes = spark.createDataFrame(index, "word int, template int, i int, size int, need int")
     whole = spark.createDataFrame(whole, "template int, label string, ranks array<int>, need int")
-    rare = "(?i)(?<![^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F])(?:" + "|".join(sorted({order[x[0]] for x in index})) + ")(?![^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F])"
     ranked = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, rank[w])])
-    blocks = (lines.where(F.col("line").rlike(rare))
-              .select("doc_id", "text_hash", F.array_intersect(words_of(F.col("line")), known).alias("held"))
-              .where(F.size("held") >= min(need))
-              .select("doc_id", "text_hash", F.array_sort(F.transform("held", lambda w: F.element_at(ranked, w))).alias("block")))
+    blocks = held.select("doc_id", "text_hash", F.array_sort(F.transform("held", lambda w: F.element_at(ranked, w))).alias("block"))
     met = blocks.select("doc_id", "text_hash", "block", F.posexplode("block").alias("j", "word")).join(F.broadcast(prefixes), "word")
     met = met.where((F.col("j") <= F.size("block") - F.col("need"))
                     & (F.least(F.col("size") - F.col("i"), F.size("block") - F.col("j")) >= F.col("need")))
