@@ -3,7 +3,7 @@
 The distinct fingerprints form a binary trie. A join walks pairs of its nodes
 together, adds up the bits in which their paths differ and leaves a pair as soon
 as they exceed the error budget. Spark gets the top of the walk: every pair of
-nodes at one depth that is still within the budget is a task of its own. Bits
+nodes at one depth that is still within the budget is a group of its own. Bits
 are taken in order of balance, so that the nodes at that depth are of like size.
 Equal texts have equal fingerprints, so groups of copies are one trie leaf.
 """
@@ -138,36 +138,40 @@ def links(fps: DataFrame, budget: int) -> DataFrame:
     counts = fps.agg(F.count("*").alias("n"), *[F.sum(F.shiftright("fp", k).bitwiseAND(1)).alias(f"b{k}") for k in range(64)]).first()
     n = counts["n"]
     order = sorted(range(64), key=lambda k: abs(2 * (counts[f"b{k}"] or 0) - n))
-    depth = min(16, max(0, int(np.ceil(np.log2(max(n, 1) / CELL)))))
-    nodes = np.arange(1 << depth, dtype=np.uint64)
-    flips = np.array([x for x in range(1 << depth) if x.bit_count() <= budget], dtype=np.uint64) if depth else nodes
+    depth = min(16, max(4, int(np.ceil(np.log2(max(n, 1) / CELL)))))
+    flips = np.array([x for x in range(1 << depth) if x.bit_count() <= budget], dtype=np.uint64)
 
     def deal(batches):
+        """The fingerprints of a batch below each node, once for every pair of nodes, as one array."""
         for batch in batches:
-            fp = batch.column(0).to_numpy().view(np.uint64)
-            own = permute(fp, order) >> np.uint64(64 - depth) if depth else np.zeros(len(fp), dtype=np.uint64)
+            fp = np.sort(permute(batch.column(0).to_numpy().view(np.uint64), order))
+            node = fp >> np.uint64(64 - depth)
+            own = np.unique(node)
+            cut = np.r_[np.searchsorted(node, own), len(fp)]
             for flip in flips:
                 other = own ^ flip
+                cell = ((np.minimum(own, other) << np.uint64(16)) | np.maximum(own, other)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(((np.minimum(own, other) << np.uint64(16)) | np.maximum(own, other)).view(np.int64)),
-                     pa.array((own > other)), batch.column(0)], names=["cell", "upper", "fp"])
+                    [pa.array(cell), pa.array(own > other), pa.array([fp[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
+                    names=["cell", "upper", "fps"])
 
     def join(frame: pd.DataFrame) -> pd.DataFrame:
-        fp = frame["fp"].to_numpy().view(np.uint64)
-        cell, upper = int(frame["cell"].iloc[0]), frame["upper"].to_numpy()
+        cell = int(frame["cell"].iloc[0])
         same = cell >> 16 == cell & 0xFFFF
-        key = permute(fp, order)
+        parts = [np.frombuffer(x, dtype=np.uint64) for x in frame["fps"]]
+        key, upper = np.concatenate(parts), np.repeat(frame["upper"].to_numpy(), [len(x) for x in parts])
         rank = np.argsort(key)
-        key, fp, upper = key[rank], fp[rank], upper[rank]
+        key, upper = key[rank], upper[rank]
         left = np.flatnonzero(~upper)
         right = left if same else np.flatnonzero(upper)
-        forest = Forest(len(fp))
+        forest = Forest(len(key))
         for i, j in walk(key[left], key[right], same, depth, (cell >> 16 ^ cell & 0xFFFF).bit_count(), budget):
             forest.add(left[i], right[j])
-        moved = np.flatnonzero(forest.label != np.arange(len(fp)))
+        moved = np.flatnonzero(forest.label != np.arange(len(key)))
+        fp = permute(key, [63 - order.index(63 - k) for k in range(64)])
         return pd.DataFrame({"a": fp[moved].view(np.int64), "b": fp[forest.label[moved]].view(np.int64)})
 
-    return fps.mapInArrow(deal, "cell long, upper boolean, fp long").groupBy("cell").applyInPandas(join, "a long, b long")
+    return fps.mapInArrow(deal, "cell long, upper boolean, fps binary").groupBy("cell").applyInPandas(join, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, budget: int = 2) -> DataFrame:
