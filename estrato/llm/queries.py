@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, licenses, linedup, packing, quality, simhash, suffixtree
+from estrato.llm import decontaminate, licenses, linedup, packing, quality, simhash, suffixtree, vectors
 from estrato.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -58,3 +58,22 @@ def op1_suffix_tree(spark, sf_dir):
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
     out = suffixtree.score(table(spark, sf_dir, "documents"), learn)
     return out.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+OP3_SQL = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) as (
+  select vec_id, vec_id from v union select r.a, l.b from reach r join links l on r.b = l.a),
+n as (select a, count(*) as n_links from links group by a)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from (select a as vec_id, min(b) as component_id from reach group by a) left join n on n.a = vec_id
+"""
+
+
+@query("op3_embeddings", OP3_SQL)
+def op3_embeddings(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings")).drop("recall")
