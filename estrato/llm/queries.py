@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, licenses, linedup, packing, quality, simhash, suffixtree, vectors
+from estrato.llm import decontaminate, licenses, linedup, packing, quality, repeats, simhash, suffixtree, units, vectors
 from estrato.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -77,3 +77,22 @@ from (select a as vec_id, min(b) as component_id from reach group by a) left joi
 @query("op3_embeddings", OP3_SQL)
 def op3_embeddings(spark, sf_dir):
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings")).drop("recall")
+
+
+def span_bytes(spans: str):
+    return F.coalesce(F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"]), F.lit(0))
+
+
+@query("op4_suffix_array")
+def op4_suffix_array(spark, sf_dir):
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return out.select("doc_id", "n_bytes", span_bytes("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_substring_dedup")
+def op6_substring_dedup(spark, sf_dir):
+    out = units.remove_repeated_units(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), span_bytes("removed").alias("removed_bytes"),
+                      F.transform("removed", lambda s: s["begin"]).alias("removed_begin"),
+                      F.transform("removed", lambda s: s["end"]).alias("removed_end"), F.sha2("kept", 256).alias("kept_sha256"))
