@@ -29,7 +29,25 @@ def op7_simhash(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-@query("op2_line_dedup")
+OP2_SQL = """
+with d as (
+  select doc_id, coalesce(doc_id, 9223372036854775807) as own, row_number() over () as rid,
+    string_split(coalesce(text, ''), chr(10)) as lines from documents),
+l as (
+  select doc_id, own, rid, unnest(range(len(lines))) as pos, unnest(lines) as line from d),
+k as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+g as (
+  select key, min(own) as first from k where length(key) >= 10 group by key having min(own) < max(own)),
+m as (
+  select k.*, coalesce(own > first, false) as gone from k left join g using (key))
+select doc_id, count(*) as n_lines, sum(gone::int)::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from m group by rid, doc_id
+"""
+
+
+@query("op2_line_dedup", OP2_SQL)
 def op2_line_dedup(spark, sf_dir):
     out = linedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
     return out.select(F.col("rest.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -48,7 +66,40 @@ def op10_quality(spark, sf_dir):
     return out.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
-@query("op5_licenses")
+def op5_sql() -> str:
+    """The same by a plain comparison of every line with every template."""
+    def stands(phrase: str) -> str:
+        same = " and ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(), 1))
+        return f"list_filter(range(0, len(ws) - {len(phrase.split()) - 1}), lambda i: {same})"
+
+    places = ", ".join(f"{stands(p)} as p{k}" for k, (p, _) in enumerate(licenses.PHRASES))
+    base = " || ".join(f"case when len(p{k}) > 0 then ['{label}'] else [] end" for k, (_, label) in enumerate(licenses.PHRASES))
+    every = " || ".join(f"p{k}" for k in range(len(licenses.PHRASES)))
+    templates = ", ".join(f"({sorted(set(t.split()))}, '{label}')" for t, label in licenses.TEMPLATES)
+    lowered = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = r"'[0-9a-z\x{80}-\x{10FFFF}]+'"
+    return f"""
+with d as (
+  select doc_id, row_number() over () as rid, coalesce(text, '') as text from documents),
+t(words, label) as (values {templates}),
+l as (
+  select rid, list_distinct(regexp_extract_all({lowered.format('line')}, {word})) as ws
+  from (select rid, unnest(string_split(text, chr(10))) as line from d)),
+m as (
+  select rid, list_distinct(list(label)) as more, max(len(list_intersect(ws, words)) / len(words)) as best
+  from l, t where len(list_intersect(ws, words)) >= ceil(0.8 * len(words) - 1e-9) group by rid),
+w as (
+  select doc_id, rid, regexp_extract_all({lowered.format('text')}, {word}) as ws from d),
+p as (select doc_id, rid, len(ws) as n_words, {places} from w),
+b as (select doc_id, rid, n_words, {every} as every, list_sort({base}) as base from p)
+select doc_id, n_words, len(every)::bigint as n_base, list_min(every) as first_word, list_max(every) as last_word,
+  array_to_string(base, ',') as base_labels, array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ',') as labels,
+  greatest(case when len(every) > 0 then 1.0::double else 0.0::double end, coalesce(best, 0.0)::double) as score
+from b left join m using (rid)
+"""
+
+
+@query("op5_licenses", op5_sql())
 def op5_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 

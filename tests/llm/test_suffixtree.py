@@ -1,0 +1,135 @@
+"""The suffix tree against plain counts, and its distributions as a whole."""
+
+import math
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from estrato.llm import suffixtree as st, textbytes
+
+
+def words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())) + ["<end>"]
+
+
+def plain(rows, depth, p_min, eps, divergence):
+    """(learn, text) to (n_tokens, n_known, N, base, score), by dictionaries."""
+    counts, n = {}, 0
+    for learn, text in rows:
+        if learn:
+            for w in words(text):
+                counts[w] = counts.get(w, 0) + 1
+                n += 1
+    v = len(counts)
+
+    def root(w):
+        return (counts.get(w, 0) + 0.1) / (n + 0.1 * (v + 1))
+
+    kept = {w for w, c in counts.items() if c >= max(2, eps * n)}
+    levels = []
+    contexts = {(w,): c for w, c in counts.items() if c >= max(2, p_min * n)}
+
+    def prob(w, ctx, k):
+        """After the longest state of at most k words."""
+        for j in range(min(k, len(ctx)), 0, -1):
+            own = ctx[len(ctx) - j:]
+            if own in levels[j - 1] and levels[j - 1][own]["state"]:
+                s = levels[j - 1][own]
+                below = prob(w, ctx, j - 1)
+                if w in s["next"]:
+                    return (s["next"][w] + s["rest"] * below) / s["whole"]
+                return s["rest"] / s["whole"] * below
+        return root(w)
+
+    for k in range(1, depth + 1):
+        pairs = {}
+        for learn, text in rows:
+            if learn:
+                seq = ["<end>", *words(text)]
+                for i in range(1, len(seq)):
+                    ctx = tuple(seq[max(0, i - k):i])
+                    if len(ctx) == k and ctx in contexts and seq[i] in kept:
+                        pairs[ctx, seq[i]] = pairs.get((ctx, seq[i]), 0) + 1
+        level = {c: {"next": {}, "total": t} for c, t in contexts.items()}
+        for (c, w), m in pairs.items():
+            if m >= max(2, eps * n):
+                level[c]["next"][w] = m
+        for c, s in level.items():
+            explicit = sum(s["next"].values())
+            left = max(s["total"] - explicit, 0)
+            s["rest"], s["whole"] = left + len(s["next"]), explicit + left + len(s["next"])
+            far, covered = 0.0, 0.0
+            for w, m in s["next"].items():
+                q, p = m / (explicit + left), prob(w, c, k - 1)
+                far += q * math.log(q / p)
+                covered += p
+            if left:
+                q = left / (explicit + left)
+                far += q * math.log(q / max(1 - covered, 1e-12))
+            s["state"] = bool(s["next"]) and far >= divergence
+        levels.append(level)
+        contexts = {(*c, w): m for c, s in level.items() for w, m in s["next"].items() if m >= max(2, p_min * n)}
+    out = []
+    for learn, text in rows:
+        seq = ["<end>", *words(text)]
+        score = sum(math.log10(prob(seq[i], tuple(seq[max(0, i - depth):i]), depth)) for i in range(1, len(seq)))
+        out.append((len(seq) - 1, sum(w in counts for w in seq[1:]), n, sum(math.log10(root(w)) for w in seq[1:]), score))
+    return out
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_matches_plain(docs, rows, depth):
+    how = dict(depth=depth, p_min=0.002, eps=0.0002, divergence=0.02)
+    got = st.score(docs.where("doc_id is null or doc_id <> 4000"), F.col("doc_id") % 5 != 0, **how).collect()
+    some = [r for r in rows if r[0] != 4000]
+    learn = [r[0] is not None and r[0] % 5 != 0 for r in some]
+    want = sorted(((str(r[0]), *w) for r, w in zip(some, plain([(a, r[1]) for a, r in zip(learn, some)], **how))))
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got)
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert np.allclose([g[4:] for g in got], [w[4:] for w in want], rtol=1e-9)
+    assert sum(g[5] for g in got) > sum(g[4] for g in got)
+
+
+def test_states_sum_to_one(docs):
+    source = docs.select("doc_id", "text", F.lit(True).alias("learn"))
+    tree, counts = st.grow(source, 2, 0.001, 0.0001, 0.01)
+    reader = st.Reader(tree)
+    every = np.array([r["key"] for r in counts.collect()])
+    seen = {r["key"]: r["n"] for r in counts.collect()}
+    ids = reader.ids(every)
+    assert any(x.state.any() for x in tree.levels)
+    for k, level in enumerate(tree.levels):
+        for place in np.flatnonzero(level.state)[:20]:
+            chain, at = [np.full(len(ids), -1)] * len(tree.levels), place
+            for j in range(k, -1, -1):
+                chain[j] = np.full(len(ids), at)
+                at = tree.levels[j].shorter[at] if j else at
+            factor = 10 ** reader.log_p(ids, chain)
+            p = np.where(ids >= 0, factor, factor * np.array([tree.root(seen[int(h)]) for h in every]))
+            unknown = 10 ** reader.log_p(np.array([-1]), [c[:1] for c in chain])[0] * tree.root(0)
+            assert abs(p.sum() + unknown - 1) < 1e-9
+
+
+def test_index_finds_what_is_there():
+    keys = np.unique(np.random.default_rng(0).integers(-2 ** 62, 2 ** 62, 5000))
+    index = st.Index(keys[::2])
+    assert (index.find(keys[::2]) == np.arange(len(keys[::2]))).all() and (index.find(keys[1::2]) == -1).all()
+    assert (st.Index(keys[:0]).find(keys) == -1).all()
+
+
+def test_nothing_to_learn_from(spark, docs, no_docs):
+    out = st.score(docs, F.lit(False)).collect()
+    assert all(r["train_tokens"] == r["n_known"] == 0 and abs(r["score"]) < 1e-9 for r in out)
+    assert st.score(no_docs, F.lit(True)).count() == 0
+    odd = spark.createDataFrame([(1, "a b", 1.0), (2, "a b", 2.0)], "doc_id long, text string, score double")
+    assert len({r["score"] for r in st.score(odd, F.col("score") > 0).collect()}) == 1
+
+
+def test_small_gathering_gives_the_same(docs, monkeypatch):
+    whole = sorted(map(str, st.score(docs, F.lit(True), p_min=0.001).collect()))
+    monkeypatch.setattr(st, "GATHER", 50)
+    monkeypatch.setattr(st, "HELD", 100)
+    monkeypatch.setattr(textbytes, "SLICE_BYTES", 1000)
+    assert sorted(map(str, st.score(docs, F.lit(True), p_min=0.001).collect())) == whole
