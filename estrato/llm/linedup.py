@@ -92,8 +92,8 @@ def suspects_of(frame: pd.DataFrame) -> pd.DataFrame:
     return out[[len(h) > 0 for h in hits]]
 
 
-def repeated_keys(docs: DataFrame, min_chars: int, min_docs: int = 2) -> DataFrame:
-    """(doc, h1, h2): the lines to drop, those of every document but the first."""
+def repeated_keys(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(doc, h1, h2): the lines to drop, those of every document but the first; not all distinct."""
     blocks = materialise(line_blocks(docs, min_chars), "line-blocks")
     keys = blocks.agg(F.sum("n")).first()[0] or 0
     segments = max(1, -(-keys // SEGMENT_KEYS))
@@ -128,9 +128,10 @@ def repeated_keys(docs: DataFrame, min_chars: int, min_docs: int = 2) -> DataFra
                .groupBy("block").agg(F.collect_list(F.struct("segment", "hits")).alias("hits")))
     suspects = materialise(blocks.join(answers, "block").select("doc", "h1", "h2", "hits")
                            .mapInArrow(settle, "doc long, h1 long, h2 long"), "line-suspects")
-    confirmed = (suspects.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-                 .where("first < last").select("h1", "h2", "first"))
-    return suspects.join(confirmed, ["h1", "h2"]).where("doc > first").select("doc", "h1", "h2").distinct()
+    confirmed = suspects.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    # Written, so that both sides of the join are plain shuffles, of which Spark can split a hot key.
+    confirmed = materialise(confirmed.select("h1", "h2", "first"), "line-first")
+    return suspects.join(confirmed, ["h1", "h2"]).where("doc > first").select("doc", "h1", "h2")
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
@@ -148,7 +149,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                          F.col(f"`{text_col}`").cast("string").alias("text"),
                          F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest"))
     drops = repeated_keys(source.select("doc", "text"), min_chars)
-    drops = drops.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("drop"))
+    drops = drops.groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("drop"))
 
     def rebuild(batches):
         for part, data, offsets in textbytes.slices(batches, "text"):
