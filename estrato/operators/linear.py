@@ -8,17 +8,19 @@ search that fits 5 folds x 7 settings reads the data once instead of 35 times.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_SLOTS = 4096       # also the limit of the one-pass solver used for the final fit
-
+MAX_SLOTS = 2048       # wider vectors are searched and fitted by the iterative solver
+BLOCK = 256            # matrix rows of one partial block
 
 @dataclass
 class Gram:
@@ -48,24 +50,28 @@ class Gram:
         return float(np.sqrt(max(self.centred()[4], 0.0) / self.n))
 
 
+def slot_count(df: DataFrame, features: str = "features") -> int:
+    one = df.select(features).first()
+    if one is None:
+        raise ValueError("no rows to fit")
+    return int(one[0].size)
+
+
 def grams_by_fold(df: DataFrame, fold: str = "fold", features: str = "features",
                   label: str = "label") -> dict[int, Gram]:
-    """One Gram matrix per fold.
+    """One Gram matrix per fold, for up to ``MAX_SLOTS`` slots.
 
-    Tasks add up their batches with matrix products; the partial matrices are
-    summed cell by cell across the cluster. Splits are read in at most a few
-    tasks per core, which bounds the number of partials by the cluster and not
-    by the data.
+    Tasks add up their batches with matrix products and send the upper triangle
+    as a few binary blocks of matrix rows; blocks are summed across the cluster,
+    and the driver gets each block of each fold once. Neither the number of
+    tasks nor of rows is held down: the scan is split as the input is.
     """
-    spark = df.sparkSession
-    one = df.select(features).first()
-    if one is None:
-        raise ValueError("no rows to fit")
-    slots = int(one[0].size)
-    shift = float(df.agg(F.avg(label)).first()[0])   # reads the label column only
+    slots = slot_count(df, features)
     if slots > MAX_SLOTS:
-        raise ValueError(f"{slots} feature slots: fit these with an iterative solver")
+        raise ValueError(f"{slots} slots: use the iterative solver")
+    shift = float(df.agg(F.avg(label)).first()[0])   # reads the label column only
     width = slots + 2
+    starts = range(0, width, BLOCK)
 
     def partials(batches):
         sums: dict[int, np.ndarray] = {}
@@ -77,22 +83,31 @@ def grams_by_fold(df: DataFrame, fold: str = "fold", features: str = "features",
             for k in np.unique(folds):
                 part = z[folds == k]
                 sums[int(k)] = sums.get(int(k), 0.0) + part.T @ part
-        if sums:
+        for k, m in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()),
-                 pa.array([m.ravel().tolist() for m in sums.values()], pa.list_(pa.float64()))],
-                names=["fold", "cells"])
-
+                [pa.array([k] * len(starts), pa.int32()), pa.array(starts, pa.int32()),
+                 pa.array([np.ascontiguousarray(m[a:a + BLOCK, a:]).tobytes() for a in starts],
+                          pa.binary())], names=["fold", "start", "cells"])
+
+    def add_up(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(c, dtype=np.float64) for c in frame["cells"])
+        return pd.DataFrame({"fold": frame["fold"].iloc[:1], "start": frame["start"].iloc[:1],
+                             "cells": [total.tobytes()]})
+
+    # Two levels of adding: of some partials each, then of their sums.
+    lot = F.pmod(F.monotonically_increasing_id(), F.lit(16)).alias("lot")
+    schema = "fold int, start int, cells binary"
     rows = df.select(F.col(fold).cast("int").alias("fold"), F.col(label).cast("double").alias("y"),
                      vector_to_array(features).alias("x"))
-    tasks = max(1, 4 * spark.sparkContext.defaultParallelism)
-    cells = (rows.coalesce(tasks).mapInArrow(partials, "fold int, cells array<double>")
-             .select("fold", F.posexplode("cells").alias("cell", "v"))
-             .groupBy("fold", "cell").agg(F.sum("v").alias("v")))
+    some = (rows.mapInArrow(partials, schema).select("*", lot)
+            .groupBy("fold", "start", "lot").applyInPandas(lambda f: add_up(f), schema))
+    blocks = some.groupBy("fold", "start").applyInPandas(add_up, schema).toArrow()
     out: dict[int, Gram] = {}
-    for r in cells.collect():
-        g = out.setdefault(r["fold"], Gram(np.zeros((width, width)), shift))
-        g.matrix.flat[r["cell"]] = r["v"]
+    for k, a, cells in zip(*(blocks.column(i).to_pylist() for i in range(3))):
+        g = out.setdefault(k, Gram(np.zeros((width, width)), shift))
+        part = np.frombuffer(cells, dtype=np.float64).reshape(-1, width - a)
+        g.matrix[a:a + len(part), a:] = part
+        g.matrix[a:, a:a + len(part)] = part.T
     return out
 
 
@@ -125,7 +140,8 @@ def _lasso(xx: np.ndarray, xy: np.ndarray, alpha: float, rounds: int = 10_000,
             moved = max(moved, abs(new - w[j]))
             w[j] = new
         if moved <= tol * max(1.0, np.abs(w).max(initial=0.0)):
-            break
+            return w
+    warnings.warn(f"lasso at alpha {alpha}: not converged after {rounds} rounds, last change {moved:g}")
     return w
 
 
@@ -154,25 +170,60 @@ def _total(grams: dict[int, Gram]) -> Gram:
     return total
 
 
-def estimator(family: str, gram: Gram, alpha: float = 0.0, features: str = "features",
-              label: str = "label", prediction: str = "prediction") -> LinearRegression:
-    """The built-in one-pass estimator with the same optimum as :func:`solve`.
+def estimator(family: str, spread: Gram | LabelSpread | None, alpha: float = 0.0,
+              features: str = "features", label: str = "label", prediction: str = "prediction",
+              solver: str = "normal") -> LinearRegression:
+    """The built-in estimator with the same optimum as :func:`solve`: in one pass,
+    or (``solver="l-bfgs"``) by iterations, for vectors of any width.
 
     Its ridge penalty is relative to the mean square of the label scaled by
     its deviation, hence the factor.
     """
     base = dict(featuresCol=features, labelCol=label, predictionCol=prediction,
-                solver="normal", standardization=False, maxIter=1000, tol=1e-9)
+                solver=solver, standardization=False, maxIter=1000, tol=1e-9)
     if family == "Linear":
         return LinearRegression(regParam=0.0, **base)
     if family == "Ridge":
-        return LinearRegression(regParam=alpha * gram.label_deviation() / gram.n,
+        return LinearRegression(regParam=alpha * spread.label_deviation() / spread.n,
                                 elasticNetParam=0.0, **base)
     if family == "Lasso":
         return LinearRegression(regParam=alpha, elasticNetParam=1.0, **base)
     raise ValueError(f"not a linear family: {family}")
 
 
+@dataclass
+class LabelSpread:
+    """What the ridge penalty is scaled by, where there is no Gram matrix."""
+
+    n: float
+    deviation: float
+
+    def label_deviation(self) -> float:
+        return self.deviation
+
+
+def label_spread(df: DataFrame, label: str = "label") -> LabelSpread:
+    n, deviation = df.agg(F.count(label), F.stddev_pop(label)).first()
+    return LabelSpread(n, deviation or 0.0)
+
+
+def cross_validate_wide(df: DataFrame, family: str, grid: list[dict], fold: str = "fold",
+                        features: str = "features", label: str = "label") -> list[dict]:
+    """As :func:`cross_validate`, by the iterative solver: one fit for each setting
+    and fold, whose state is one vector and not a matrix of slots by slots."""
+    folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
+    out = []
+    for k in folds:
+        rest, held = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
+        spread = label_spread(rest, label)
+        for i, params in enumerate(grid):
+            learner = estimator(family, spread, params.get("alpha", 0.0), features, label, solver="l-bfgs")
+            error = F.col(label) - F.col("prediction")
+            mse = learner.fit(rest).transform(held).agg(F.avg(error * error)).first()[0]
+            out.append({"family": family, "grid_idx": i, "params": params, "fold": k, "mse": mse})
+    return out
+
+
 def total_gram(grams: dict[int, Gram]) -> Gram:
     """The Gram matrix of all folds together."""
     return _total(grams)

@@ -12,7 +12,7 @@ from estrato import config
 CV_SCHEMA = ("family string, family_order int, grid_idx int, params map<string,string>, "
              "fold int, mse double")
 BOARD_SCHEMA = ("family string, family_order int, params map<string,string>, "
-                "train_r2 double, cv_mse double")
+                "train_r2 double, cv_mse double, depth int")
 
 
 def grid_points(grid: dict[str, list]) -> list[dict]:
@@ -40,5 +40,13 @@ def best_family(board: DataFrame, by: str = "train_r2", largest: bool = True) ->
     return board.orderBy(score, F.col("family_order")).limit(1)
 
 
+def choose_family(board: DataFrame, select_by: str = "train") -> DataFrame:
+    """The winning row of a leaderboard: highest training R² (``train``) or least
+    cross-validated error (``cv``)."""
+    if select_by == "cv":
+        return best_family(board, "cv_mse", largest=False)
+    return best_family(board, "train_r2")
+
+
 def family_order(family: str) -> int:
     return config.FAMILIES.index(family)

@@ -9,9 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato import config
-from estrato.operators.evaluate import mean_squared_errors
 
 UNLIMITED_DEPTH = 30       # the learner's limit stands for "no limit"
+MAX_BINS = 32              # values of a feature that splits tell apart, unless set otherwise
+
+
+def depth_of(family: str, params: dict) -> int:
+    """The depth a setting is fitted with: "no limit" is the learner's largest."""
+    depth = params.get("max_depth", 3 if family == "GradientBoosting" else None)
+    if depth is not None and depth > UNLIMITED_DEPTH:
+        raise ValueError(f"max_depth {depth}: the learner goes down to {UNLIMITED_DEPTH}")
+    return UNLIMITED_DEPTH if depth is None else depth
 
 
 def estimator(family: str, params: dict, features: str = "features", label: str = "label",
@@ -19,46 +27,58 @@ def estimator(family: str, params: dict, features: str = "features", label: str
     """A tree learner for one grid point.
 
     ``min_samples_split`` s becomes a smallest leaf of s // 2 rows, the nearest
-    rule the learner has. Nodes are cached by row and checkpointed, so a lost
-    executor does not restart deep trees.
+    rule the learner has. ``bootstrap`` (default true) and ``max_bins`` may be
+    given too. Nodes are cached by row and checkpointed, so a lost executor does
+    not restart deep trees.
     """
     base = dict(featuresCol=features, labelCol=label, predictionCol=prediction, seed=seed,
                 featureSubsetStrategy="all", cacheNodeIds=True, checkpointInterval=10,
-                maxMemoryInMB=512)
-    depth = params.get("max_depth", 3 if family == "GradientBoosting" else None)
-    base["maxDepth"] = UNLIMITED_DEPTH if depth is None else min(depth, UNLIMITED_DEPTH)
+                maxMemoryInMB=512, maxDepth=depth_of(family, params),
+                maxBins=params.get("max_bins", MAX_BINS))
     if family == "RandomForest":
         leaf = max(1, params.get("min_samples_split", 2) // 2)
-        return RandomForestRegressor(numTrees=params.get("n_estimators", 100),
-                                     minInstancesPerNode=leaf, subsamplingRate=1.0, **base)
+        return RandomForestRegressor(numTrees=params.get("n_estimators", 100), subsamplingRate=1.0,
+                                     minInstancesPerNode=leaf, bootstrap=params.get("bootstrap", True), **base)
     if family == "GradientBoosting":
         return GBTRegressor(maxIter=params.get("n_estimators", 100), lossType="squared",
                             stepSize=params.get("learning_rate", 0.1), **base)
     raise ValueError(f"not a tree family: {family}")
 
 
+def _fit_and_score(family: str, params: dict, rounds: list[int], rest: DataFrame, held: DataFrame,
+                   features: str, label: str, seed: int) -> list[float]:
+    """The held-out error after each number of ``rounds``; the model is dropped here."""
+    model = estimator(family, params | {"n_estimators": max(rounds)}, features, label, "prediction", seed).fit(rest)
+    if family == "GradientBoosting":
+        errors = model.evaluateEachIteration(held.select(features, label), "squared")
+        return [errors[n - 1] for n in rounds]
+    error = F.col(label) - F.col("prediction")
+    return [model.transform(held.select(features, label)).agg(F.avg(error * error)).first()[0]]
+
+
 def cross_validate(df: DataFrame, family: str, grid: list[dict], fold: str = "fold",
                    features: str = "features", label: str = "label",
                    parallelism: int = 2, seed: int = config.SEED) -> list[dict]:
     """(family, grid_idx, params, fold, mse) for every setting and fold.
 
     A fold is a filter on the written feature table: no copies per fold are
-    cached. All models of a fold are scored in one scan of its held-out rows.
+    cached. At most ``parallelism`` models exist at a time; each is scored and
+    dropped. Boosting with fewer rounds is the beginning of boosting with more,
+    so settings that differ only in them share one fit.
     """
     folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
+    fits: dict[tuple, list[int]] = {}
+    for i, params in enumerate(grid):
+        rest = {k: v for k, v in params.items() if family != "GradientBoosting" or k != "n_estimators"}
+        fits.setdefault(tuple(sorted(rest.items(), key=str)), []).append(i)
     out = []
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
         for k in folds:
             rest, held = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
-            fits = list(pool.map(
-                lambda item: estimator(family, item[1], features, label,
-                                       f"prediction_{item[0]}", seed).fit(rest),
-                list(enumerate(grid))))
-            scored = held.select(features, label)
-            for model in fits:
-                scored = model.transform(scored)
-            names = {str(i): f"prediction_{i}" for i in range(len(grid))}
-            mse = mean_squared_errors(scored, names, label)
-            out += [{"family": family, "grid_idx": i, "params": p, "fold": k, "mse": mse[str(i)]}
+            rounds = [[grid[i].get("n_estimators", 100) for i in own] for own in fits.values()]
+            errors = pool.map(lambda own, n: _fit_and_score(family, grid[own[0]], n, rest, held, features, label, seed),
+                              fits.values(), rounds)
+            mse = {i: e for own, found in zip(fits.values(), errors) for i, e in zip(own, found)}
+            out += [{"family": family, "grid_idx": i, "params": p, "fold": k, "mse": mse[i]}
                     for i, p in enumerate(grid)]
     return out

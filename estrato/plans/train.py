@@ -32,56 +32,59 @@ class Search:
     cv: list[dict] = field(default_factory=list)
 
     def cv_frame(self, spark) -> DataFrame:
-        rows = [(r["family"], select.family_order(r["family"]), r["grid_idx"],
-                 select.params_text(r["params"]), int(r["fold"]), r["mse"]) for r in self.cv]
-        return spark.createDataFrame(rows, select.CV_SCHEMA)
+        return cv_frame(spark, self.cv)
 
     def leaderboard(self, spark) -> DataFrame:
-        rows = [(c.family, select.family_order(c.family), select.params_text(c.params),
-                 c.train_r2, c.cv_mse) for c in self.candidates]
+        """One row per family, with the depth its trees were fitted with."""
+        rows = [(c.family, select.family_order(c.family), select.params_text(c.params), c.train_r2, c.cv_mse,
+                 None if c.family in LINEAR else trees.depth_of(c.family, c.params)) for c in self.candidates]
         return spark.createDataFrame(rows, select.BOARD_SCHEMA)
 
-    def best(self, select_by: str = "train") -> Candidate:
-        """Highest training R² (``train``) or least cross-validated error
-        (``cv``, only searched families); declared order on ties."""
-        if select_by == "cv":
-            searched = [c for c in self.candidates if c.cv_mse is not None]
-            if searched:
-                return min(searched, key=lambda c: (c.cv_mse, select.family_order(c.family)))
-        ordered = sorted(self.candidates, key=lambda c: select.family_order(c.family))
-        return max(ordered, key=lambda c: c.train_r2 if c.train_r2 is not None else float("-inf"))
+    def best(self, spark, select_by: str = "train") -> Candidate:
+        """The winner by :func:`select.choose_family`; declared order on ties."""
+        family = select.choose_family(self.leaderboard(spark), select_by).first()["family"]
+        return next(c for c in self.candidates if c.family == family)
+
+
+def cv_frame(spark, cv: list[dict]) -> DataFrame:
+    rows = [(r["family"], select.family_order(r["family"]), r["grid_idx"],
+             select.params_text(r["params"]), int(r["fold"]), r["mse"]) for r in cv]
+    return spark.createDataFrame(rows, select.CV_SCHEMA)
 
 
 def search_models(train: DataFrame, families: Sequence[str] = config.FAMILIES,
                   grids: dict | None = None, fold: str = "fold", parallelism: int = 2,
                   seed: int = config.SEED) -> Search:
-    """Grid search per family, refit of the best setting, training score.
+    """Cross-validation of every family and setting, refit of the best setting,
+    training score.
 
     ``train`` has ``features``, ``label`` and ``fold`` and should be a written
-    table. The linear families share one scan for all folds and settings; the
-    training scores of all winners come from one more scan.
+    table. The linear families share one scan for all folds and settings, or,
+    beyond ``linear.MAX_SLOTS`` slots, are fitted by iterations; the training
+    scores of all winners come from one more scan.
     """
     grids = config.PARAM_GRIDS if grids is None else grids
-    grams = (linear.grams_by_fold(train, fold) if any(f in LINEAR for f in families) else None)
-    total = linear.total_gram(grams) if grams else None
-    result = Search([])
+    spark = train.sparkSession
+    wide = linear.slot_count(train) > linear.MAX_SLOTS
+    some = any(f in LINEAR for f in families)
+    grams = linear.grams_by_fold(train, fold) if some and not wide else None
+    total = linear.total_gram(grams) if grams else linear.label_spread(train)
+    result, points = Search([]), {f: select.grid_points(grids.get(f) or {}) for f in families}
+    for family in sorted(families, key=select.family_order):
+        if family not in LINEAR:
+            rows = trees.cross_validate(train, family, points[family], fold, parallelism=parallelism, seed=seed)
+        elif wide:
+            rows = linear.cross_validate_wide(train, family, points[family], fold)
+        else:
+            rows = linear.cross_validate(grams, family, points[family])
+        result.cv += rows
+    chosen = {r["family"]: r for r in select.best_grid_point(cv_frame(spark, result.cv)).collect()}
     for family in sorted(families, key=select.family_order):
-        points = select.grid_points(grids.get(family) or {})
-        cv_mse, best = None, points[0]
-        if grids.get(family):
-            if family in LINEAR:
-                rows = linear.cross_validate(grams, family, points)
-            else:
-                rows = trees.cross_validate(train, family, points, fold,
-                                            parallelism=parallelism, seed=seed)
-            result.cv += rows
-            mean = [sum(r["mse"] for r in rows if r["grid_idx"] == i)
-                    / sum(1 for r in rows if r["grid_idx"] == i) for i in range(len(points))]
-            at = min(range(len(points)), key=lambda i: (mean[i], i))
-            cv_mse, best = mean[at], points[at]
+        best, cv_mse = points[family][chosen[family]["grid_idx"]], chosen[family]["cv_mse"]
         column = f"prediction_{family}"
         if family in LINEAR:
-            learner = linear.estimator(family, total, best.get("alpha", 0.0), prediction=column)
+            learner = linear.estimator(family, total, best.get("alpha", 0.0), prediction=column,
+                                       solver="l-bfgs" if wide else "normal")
         else:
             learner = trees.estimator(family, best, prediction=column, seed=seed)
         result.candidates.append(Candidate(family, best, learner.fit(train), cv_mse))
@@ -128,13 +131,14 @@ def train_target(df: DataFrame, preset: config.TargetPreset, keys: Sequence[str]
     pre = features.fit_preprocessor(train, frame.numeric, frame.categorical)
     vectors = materialise(pre.transform(train).select("features", "label", "fold"),
                           f"vectors-{preset.name}")
+    used = pre.numeric + pre.categorical      # features without a training value are not in the model
     search = search_models(vectors, families, grids, parallelism=parallelism, seed=seed)
-    best = search.best(select_by)
+    best = search.best(df.sparkSession, select_by)
     pipeline = PipelineModel([*pre.model.stages, best.model])
     # The scored test rows serve the metrics and every later look at them.
     scored = pipeline.transform(test).select(*keys, "label", "prediction")
     evaluated = materialise(evaluate.add_residual(scored), f"evaluated-{preset.name}")
     metrics = evaluate.regression_metrics(evaluated)
     if save_to is not None:
-        artifacts.save_artifacts(save_to, preset.name, pipeline, metrics, frame.features)
-    return Trained(preset.name, best, search, pre, pipeline, frame.features, metrics, evaluated)
+        artifacts.save_artifacts(save_to, preset.name, pipeline, metrics, used)
+    return Trained(preset.name, best, search, pre, pipeline, used, metrics, evaluated)

@@ -75,3 +75,43 @@ def test_collinear_levels(spark, data):
     rows = both.orderBy("a").select("a", "d", "e").collect()
     want = np.array([[*r] for r in rows]) @ w + b
     assert np.allclose(got, want, atol=1e-4)
+
+
+def wide_rows(spark, n, slots, folds=5):
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(n):
+        own = sorted(set(rng.integers(2, slots, 3).tolist()))
+        x = {0: float(i % 7), 1: float(i % 3), **{j: 1.0 for j in own}}
+        rows.append((Vectors.sparse(slots, x), 3.0 * x[0] - 2.0 * x[1] + 10, i % folds))
+    return spark.createDataFrame(rows, ["features", "label", "fold"])
+
+
+def test_blocks_cover_the_matrix(spark, data, monkeypatch):
+    whole = linear.grams_by_fold(data[3])
+    monkeypatch.setattr(linear, "BLOCK", 3)
+    for k, g in linear.grams_by_fold(data[3]).items():
+        assert np.allclose(g.matrix, whole[k].matrix)
+
+
+def test_wide_vectors_are_searched_by_iterations(spark):
+    from estrato.plans import train
+    df = wide_rows(spark, 120, 5000, 2).repartition(2).cache()
+    found = train.search_models(df, ["Linear", "Ridge"], {"Ridge": {"alpha": [0.1, 100.0]}})
+    assert [c.family for c in found.candidates] == ["Linear", "Ridge"]
+    assert found.candidates[1].params == {"alpha": 0.1} and all(c.train_r2 > 0.9 for c in found.candidates)
+
+
+def test_iterations_agree_with_the_matrices(data):
+    *_, df = data
+    grams = linear.grams_by_fold(df)
+    for family in ("Linear", "Ridge", "Lasso"):
+        a = linear.cross_validate(grams, family, [{"alpha": 0.5}])
+        b = linear.cross_validate_wide(df, family, [{"alpha": 0.5}])
+        assert [r["mse"] for r in a] == pytest.approx([r["mse"] for r in b], rel=1e-4)
+
+
+def test_lasso_says_when_it_did_not_converge():
+    with pytest.warns(UserWarning, match="not converged"):
+        linear._lasso(np.array([[1.0, 0.99], [0.99, 1.0]]), np.array([1.0, 0.5]), 0.01, rounds=2)
