@@ -8,7 +8,7 @@ from checks import geo
 from checks.explore import SCORED, rounded, scored
 from checks.registry import query, table
 from estrato import config
-from estrato.operators import evaluate, features, linear, select, split, trees
+from estrato.operators import evaluate, linear, select, split, trees
 from estrato.plans import train as plan
 from estrato.session import materialise, new_path
 from estrato.sources import artifacts
@@ -59,7 +59,7 @@ def model_leaderboard(spark, sf):
 
 @query("model_select", f"select * from ({BOARD_SQL}) b order by train_r2 desc, family_order limit 1")
 def model_select(spark, sf):
-    return select.best_family(_board(spark, sf))
+    return select.choose_family(_board(spark, sf))
 
 
 # --- fits with a closed form ---------------------------------------------------
@@ -112,6 +112,53 @@ def fit_lasso(spark, sf):
     return _fitted(spark, sf, "Lasso", ALPHAS)
 
 
+# --- two features ---------------------------------------------------------------
+
+TWO_SQL = (f"select profundidad_media as x, nspt as z, qadm_kg_cm2 as y from ({geo.CLEAN_SQL}) c "
+           "where qadm_kg_cm2 is not null and nspt is not null")
+TWO_SUMS = ("select count(*) as n, avg(x) as mx, avg(z) as mz, avg(y) as my, var_pop(x) as xx, var_pop(z) as zz, "
+            "covar_pop(x, z) as xz, covar_pop(x, y) as xy, covar_pop(z, y) as zy, var_pop(y) as yy from d")
+_ALPHAS = ", ".join(f"(cast({a} as double))" for a in ALPHAS)
+
+
+def _two(spark, sf, family):
+    rows = geo.clean(spark, sf).filter("qadm_kg_cm2 is not null and nspt is not null").selectExpr(
+        "profundidad_media as x", "nspt as z", "qadm_kg_cm2 as label", "0 as fold")
+    rows = materialise(VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(rows), "xz")
+    gram = linear.total_gram(linear.grams_by_fold(rows))
+    out = []
+    for a in ALPHAS:
+        m = linear.estimator(family, gram, a).fit(rows)
+        out.append((a, *(round(float(w), 4) + 0.0 for w in m.coefficients), round(m.intercept, 3)))
+    return spark.createDataFrame(out, "alpha double, slope_x double, slope_z double, intercept double")
+
+
+@query("fit_ridge_two", f"""
+with d as ({TWO_SQL}), s as ({TWO_SUMS}),
+w as (select a, mx, mz, my, ((zz + a / n) * xy - xz * zy) / ((xx + a / n) * (zz + a / n) - xz * xz) as wx,
+  ((xx + a / n) * zy - xz * xy) / ((xx + a / n) * (zz + a / n) - xz * xz) as wz from s, (values {_ALPHAS}) t(a))
+select a as alpha, round(wx, 4) + 0.0 as slope_x, round(wz, 4) + 0.0 as slope_z,
+  round(my - wx * mx - wz * mz, 3) + 0.0 as intercept from w""")
+def fit_ridge_two(spark, sf):
+    return _two(spark, sf, "Ridge")
+
+
+@query("fit_lasso_two", f"""
+with d as ({TWO_SQL}), s as ({TWO_SUMS}), sa as (select * from s, (values {_ALPHAS}) t(a)),
+c as (  -- the optimum is the best of: one slope alone, and both with given signs
+  select sa.*, sign(xy) * greatest(abs(xy) - a, 0) / xx as wx, cast(0 as double) as wz from sa
+  union all select sa.*, 0, sign(zy) * greatest(abs(zy) - a, 0) / zz from sa
+  union all select sa.*, (zz * (xy - a * sx) - xz * (zy - a * sz)) / (xx * zz - xz * xz),
+    (xx * (zy - a * sz) - xz * (xy - a * sx)) / (xx * zz - xz * xz)
+  from sa, (values (1, 1), (1, -1), (-1, 1), (-1, -1)) t(sx, sz)),
+o as (select *, row_number() over (partition by a order by (yy - 2 * wx * xy - 2 * wz * zy + wx * wx * xx
+    + 2 * wx * wz * xz + wz * wz * zz) / 2 + a * (abs(wx) + abs(wz))) as rn from c)
+select a as alpha, round(wx, 4) + 0.0 as slope_x, round(wz, 4) + 0.0 as slope_z,
+  round(my - wx * mx - wz * mz, 3) + 0.0 as intercept from o where rn = 1""")
+def fit_lasso_two(spark, sf):
+    return _two(spark, sf, "Lasso")
+
+
 CV_CLOSED = f"""
 with xy as (select *, ntile(5) over (order by md5('42:' || cast(sample_id as string))) - 1 as fold
             from ({XY_SQL}) d),
@@ -188,57 +235,99 @@ def metrics_roundtrip(spark, sf):
     return rounded(back.withColumn("features", F.concat_ws(",", "features")), "features")
 
 
-# --- trees and whole runs (no SQL) ---------------------------------------------------
+# --- trees: deep enough, without drawing rows, they predict the mean of each value ------
 
-def _vectors(spark, sf):
-    frame = features.feature_frame(geo.clean(spark, sf), config.QADM, ["sample_id"], check=False)
-    rows = materialise(frame.df, "rows")
-    pre = features.fit_preprocessor(rows, frame.numeric, frame.categorical)
-    folds = split.assign_folds(pre.transform(rows), ["sample_id"])
-    return materialise(folds.select("sample_id", "features", "label", "fold"), "vectors"), pre
+FULL_DEPTH = {"bootstrap": False, "max_bins": 256}
+MEANS = f"select x, round(avg(y), 4) + 0.0 as prediction, count(*) as n from ({XY_SQL}) xy group by x"
 
 
-def _fit(spark, sf, family, params):
-    rows, _ = _vectors(spark, sf)
-    model = trees.estimator(family, params).fit(rows)
-    return rounded(evaluate.regression_metrics(model.transform(rows)), "n")
+def _by_value(spark, sf, family, params):
+    rows = materialise(_xy(spark, sf).select("x", "features", "label"), "xy")
+    scored_ = trees.estimator(family, params).fit(rows).transform(rows)
+    return scored_.groupBy("x").agg(F.round(F.avg("prediction"), 4).alias("prediction"), F.count("*").alias("n"))
 
 
-@query("fit_random_forest")
+@query("fit_random_forest", MEANS)
 def fit_random_forest(spark, sf):
-    return _fit(spark, sf, "RandomForest", {"n_estimators": 20, "max_depth": 8})
+    return _by_value(spark, sf, "RandomForest", {"n_estimators": 3, "max_depth": None, **FULL_DEPTH})
 
 
-@query("fit_gbt")
+@query("fit_gbt", MEANS)
 def fit_gbt(spark, sf):
-    return _fit(spark, sf, "GradientBoosting",
-                {"n_estimators": 10, "max_depth": 5, "learning_rate": 0.2})
+    """The first tree counts in full, and leaves nothing to the second."""
+    return _by_value(spark, sf, "GradientBoosting", {"n_estimators": 2, "max_depth": 20, "max_bins": 256})
 
 
-@query("feature_importance")
+@query("feature_importance", "select 'x' as feature, cast(count(distinct x) > 1 as int) * 1.0::double as importance "
+                             f"from ({XY_SQL}) xy union all select 'k', 0.0")
 def feature_importance(spark, sf):
-    rows, pre = _vectors(spark, sf)
-    model = trees.estimator("RandomForest", {"n_estimators": 20, "max_depth": 8}).fit(rows)
-    return evaluate.feature_importance(spark, model, pre.slots)
+    """A feature that tells all and a constant one."""
+    rows = VectorAssembler(inputCols=["x", "k"], outputCol="both").transform(
+        _xy(spark, sf).withColumn("k", F.lit(1.0)))
+    model = trees.estimator("RandomForest", {"n_estimators": 3, "max_depth": 6}, features="both").fit(
+        materialise(rows.select("both", "label"), "xk"))
+    return evaluate.feature_importance(spark, model, ["x", "k"])
+
+
+#: Every axis of the full grids, with few trees: the values do not change the result.
+AXES = {
+    "RandomForest": {"n_estimators": [1, 2], "max_depth": [None, 10, 30], "min_samples_split": [2, 3], "bootstrap": [False]},
+    "GradientBoosting": {"n_estimators": [1, 2, 3], "learning_rate": [0.1, 0.2], "max_depth": [5, 7]},
+}
+POINTS = {family: len(select.grid_points(grid)) for family, grid in AXES.items()}
+
+
+@query("grid_search_trees", f"""
+with xy as (select sample_id, sample_id % 5 as x, y,
+    ntile(5) over (order by md5('42:' || cast(sample_id as string))) - 1 as fold from ({XY_SQL}) d),
+m as (select a.fold, a.x, sum(b.s) / sum(b.n) as mean
+  from (select distinct fold, x from xy) a
+  join (select fold, x, sum(y) as s, count(*) as n from xy group by fold, x) b on b.x = a.x and b.fold <> a.fold
+  group by a.fold, a.x),
+e as (select xy.fold, avg(pow(y - mean, 2)) as mse from xy join m on m.fold = xy.fold and m.x = xy.x group by xy.fold)
+select family, cast(i as int) as grid_idx, cast(fold as int) as fold, round(mse, 4) + 0.0 as mse
+from e, (select 'RandomForest' as family, unnest(range({POINTS['RandomForest']})) as i
+  union all select 'GradientBoosting', unnest(range({POINTS['GradientBoosting']}))) g""")
+def grid_search_trees(spark, sf):
+    rows = _xy(spark, sf).select("sample_id", (F.col("sample_id") % 5).cast("double").alias("v"), "label")
+    rows = VectorAssembler(inputCols=["v"], outputCol="features").transform(rows)
+    folds = materialise(split.assign_folds(materialise(rows, "v"), ["sample_id"]), "v-folds")
+    out = []
+    for family, grid in AXES.items():
+        out += trees.cross_validate(folds, family, select.grid_points(grid), parallelism=4)
+    return plan.cv_frame(spark, out).select("family", "grid_idx", "fold", F.round("mse", 4).alias("mse"))
 
 
-SMALL_GRIDS = {**config.PARAM_GRIDS,
-               "RandomForest": {"n_estimators": [5], "max_depth": [4, 8]},
-               "GradientBoosting": {"n_estimators": [3], "max_depth": [3]}}
+# --- whole runs ------------------------------------------------------------------------
 
+#: A target that a line meets exactly, and too many values of it for shallow trees.
+LINE = "3 * profundidad_media + 10"
+SHALLOW = {**config.PARAM_GRIDS,
+           "RandomForest": {"n_estimators": [1, 2], "max_depth": [2, 3], "min_samples_split": [2, 10]},
+           "GradientBoosting": {"n_estimators": [1, 2], "learning_rate": [0.1, 0.2], "max_depth": [1, 2]}}
+RUN_SQL = f"""
+with n as (select count(*) as n from ({geo.CLEAN_SQL}) c)
+select family, cast(position as int) as family_order, family = 'Linear' as chosen,
+  cast(ceil(n * 0.25) as bigint) as test_rows, cast(0 as double) as test_mse
+from n, (values {", ".join(f"('{f}', {i})" for i, f in enumerate(config.FAMILIES))}) t(family, position)"""
 
-@query("grid_search_trees")
-def grid_search_trees(spark, sf):
-    rows, _ = _vectors(spark, sf)
-    cv = trees.cross_validate(rows, "RandomForest",
-                              select.grid_points(SMALL_GRIDS["RandomForest"]))
-    return plan.Search([], cv).cv_frame(spark).withColumn("params", F.to_json("params"))
 
+def _run(spark, sf, select_by):
+    rows = geo.clean(spark, sf).withColumn("qadm_kg_cm2", F.expr(LINE))
+    done = plan.train_target(rows, config.QADM, ["sample_id"], grids=SHALLOW, select_by=select_by,
+                             parallelism=4, save_to=new_path(spark, "models"))
+    metrics = done.metrics.select(F.col("n").alias("test_rows"), (F.round("mse", 6) + 0.0).alias("test_mse"))
+    board = done.search.leaderboard(spark).select("family", "family_order", (F.col("family") == done.best.family).alias("chosen"))
+    return board.crossJoin(metrics)
 
-@query("train_target")
+
+@query("train_target", RUN_SQL)
 def train_target(spark, sf):
-    """The whole training run on the cleaned rows, with short tree grids."""
-    done = plan.train_target(geo.clean(spark, sf), config.QADM, ["sample_id"], grids=SMALL_GRIDS,
-                             save_to=new_path(spark, "models"))
-    board = done.search.leaderboard(spark).withColumn("params", F.to_json("params"))
-    return board.withColumn("chosen", F.col("family") == done.best.family)
+    """The whole run: guards, split, preprocessing, search, refit, evaluation, storage."""
+    return _run(spark, sf, "train")
+
+
+@query("model_select_cv", RUN_SQL)
+def model_select_cv(spark, sf):
+    """The same, chosen by cross-validated error, families without a grid included."""
+    return _run(spark, sf, "cv")

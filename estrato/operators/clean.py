@@ -38,7 +38,7 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = config.NUMERIC_COLUMN
     # Two projections: the parsed number is computed once and looked at twice.
     parsed = df.withColumns({
         c: C.text_to_double(C.col(c), decimal_comma) if types[c] == "string"
-        else C.col(c).cast("double") for c in found})
+        else C.col(c).try_cast("double") for c in found})
     return parsed.withColumns({c: C.finite(C.col(c)) for c in found})
 
 

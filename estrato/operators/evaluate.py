@@ -41,7 +41,7 @@ def _metrics(tag: str = "") -> list[Column]:
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                        by: Sequence[str] = ()) -> DataFrame:
     """MSE, RMSE, MAE, R² and row count in one aggregation (per group of ``by``)."""
-    parts = _parts(C.col(label).cast("double"), C.col(prediction).cast("double"))
+    parts = _parts(C.col(label).try_cast("double"), C.col(prediction).try_cast("double"))
     grouped = df.groupBy(*[C.col(b) for b in by]).agg(*parts) if by else df.agg(*parts)
     return grouped.select(*[C.col(b) for b in by], *_metrics())
 
@@ -52,9 +52,9 @@ def compare_predictions(df: DataFrame, predictions: dict[str, str],
 
     ``predictions`` maps a name to its column; result (name, mse, …, n)."""
     parts, rows = [], []
-    y = C.col(label).cast("double")
+    y = C.col(label).try_cast("double")
     for i, (name, column) in enumerate(predictions.items()):
-        parts += _parts(y, C.col(column).cast("double"), str(i))
+        parts += _parts(y, C.col(column).try_cast("double"), str(i))
         rows.append(F.struct(F.lit(name).alias("name"), *_metrics(str(i))))
     return df.agg(*parts).select(F.inline(F.array(*rows)))
 
@@ -62,7 +62,7 @@ def compare_predictions(df: DataFrame, predictions: dict[str, str],
 def mean_squared_errors(df: DataFrame, predictions: dict[str, str],
                         label: str = "label") -> dict[str, float]:
     """Error of many prediction columns over the same rows."""
-    y = C.col(label).cast("double")
+    y = C.col(label).try_cast("double")
     row = aggregate_row(df, [
         (2, [F.avg((y - C.col(c)) * (y - C.col(c))).alias(f"e{i}")])
         for i, c in enumerate(predictions.values())])

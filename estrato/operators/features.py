@@ -85,9 +85,9 @@ def feature_frame(df: DataFrame, preset: config.TargetPreset,
     categorical = resolve_features(df, preset.categorical)
     out = target_rows(df, preset.target).select(
         *[C.col(k) for k in keys if k not in numeric + categorical],
-        *[C.col(c).cast("double").alias(c) for c in numeric],
+        *[C.col(c).try_cast("double").alias(c) for c in numeric],
         *[C.col(c) for c in categorical],
-        C.col(preset.target).cast("double").alias(LABEL))
+        C.col(preset.target).try_cast("double").alias(LABEL))
     return FeatureFrame(out, numeric, categorical, list(keys))
 
 
@@ -132,7 +132,7 @@ def scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         if p.median is None:
             gone.append(c)
             continue
-        filled = F.coalesce(C.col(c).cast("double"), F.lit(p.median))
+        filled = F.coalesce(C.col(c).try_cast("double"), F.lit(p.median))
         out[c] = standardise(filled, p.imputed.mean, p.imputed.var ** 0.5)
     return df.withColumns(out).drop(*gone) if out else df.drop(*gone)
 
@@ -195,7 +195,7 @@ def fit_preprocessor(train: DataFrame, numeric: Sequence[str],
     for c, name in zip(kept, scaled):
         p = profile[c]
         sd = p.imputed.var ** 0.5
-        exprs.append(f"(coalesce(cast({_q(c)} as double), {_d(p.median)}) - {_d(p.imputed.mean)})"
+        exprs.append(f"(coalesce(try_cast({_q(c)} as double), {_d(p.median)}) - {_d(p.imputed.mean)})"
                      f" / {_d(sd if sd > 0 else 1.0)} as {name}")
     for c, name in zip(kept_cat, filled):
         fill = min(vocab[c], key=lambda level: (-level[1], level[0]))[0]

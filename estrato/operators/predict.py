@@ -54,7 +54,7 @@ def profile_inputs(grid: DataFrame, features: Sequence[str], defaults: dict,
     source: dict[str, Column] = {depth_feature: C.col(depth)}
     for name in ("norte", "este"):
         if name in grid.columns:
-            source[name] = C.col(name).cast("double")
+            source[name] = C.col(name).try_cast("double")
     source.update(given or {})
     for name, value in defaults.items():
         source.setdefault(name, F.lit(value))

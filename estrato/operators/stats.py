@@ -9,10 +9,12 @@ and category counts are spread over the cluster before the winner is taken.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from math import sqrt
 from typing import Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +58,7 @@ class _Target:
 
     @property
     def x(self) -> Column:
-        return C.col(self.column).cast("double")
+        return C.col(self.column).try_cast("double")
 
     def held(self, low: float | None, high: float | None) -> Column:
         keep = self.x.isNotNull()
@@ -97,7 +99,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, Sequence[int]],
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    row = aggregate_row(df, [(1, [F.count(C.col(c)).alias(f"n{i}")])
+    row = aggregate_row(df, [(1, [F.count(C.col(c).try_cast("double")).alias(f"n{i}")])
                              for i, c in enumerate(columns)])
     return {c: row[f"n{i}"] for i, c in enumerate(columns)}
 
@@ -226,7 +228,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> dict[str, NumericP
         return {}
     parts = [(1, [F.count("*").alias("total")])]
     for i, name in enumerate(columns):
-        x = C.col(name).cast("double")
+        x = C.col(name).try_cast("double")
         parts.append((6, [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                           F.var_pop(x).alias(f"v{i}")]))
     row = aggregate_row(df, parts)
@@ -278,50 +280,73 @@ def correlation_columns(df: DataFrame, columns: Sequence[str] | None = None) ->
     return numeric_columns(df)
 
 
+def _null_if_absent(batch) -> np.ndarray:
+    """Rows by columns, NaN where a value is absent or not finite."""
+    x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.float64)
+    return np.where(np.isfinite(x), x, np.nan)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of all pairs over their pairwise-complete rows.
 
     Long form (idx_a, idx_b, var_a, var_b, corr, n), both triangles and the
-    diagonal. A few pairs share a scan of their columns, as many as compiled
-    code takes. A pair with a constant side has no correlation: NULL.
+    diagonal. One scan, whatever the number of columns: each task adds up the
+    products of its batches, of values shifted by a constant of each column, and
+    sends matrices of columns by columns. A pair with a constant side has no
+    correlation: NULL. Values that are not finite are absent.
     """
     names = correlation_columns(df, columns)
-    x = ["cast(`" + c.replace("`", "``") + "` as double)" for c in names]
-    shown = ["'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in names]
-
-    def cell(i, j, corr, n):
-        return (f"named_struct('idx_a', {i}, 'idx_b', {j}, 'var_a', {shown[i]}, "
-                f"'var_b', {shown[j]}, 'corr', {corr}, 'n', {n})")
-
-    # (buffer fields, aggregates, cells) per pair; as text, since building so
-    # many expressions call by call takes longer than a small query.
-    items = []
-    for i, a in enumerate(x):
-        items.append((4, [f"var_pop({a}) as v_{i}", f"count({a}) as n_{i}"],
-                      [cell(i, i, f"case when v_{i} > 0 then 1.0D end", f"n_{i}")]))
-        for j, b in enumerate(x[:i]):
-            pair = f"{i}_{j}"
-            scale = f"nullif(sqrt(va_{pair}) * sqrt(vb_{pair}), 0)"
-            corr = (f"case when {scale} is not null then "
-                    f"greatest(-1.0D, least(1.0D, cov_{pair} / {scale})) end")
-            items.append((11, [
-                f"covar_pop({a}, {b}) as cov_{pair}",
-                f"var_pop(case when {b} is not null then {a} end) as va_{pair}",
-                f"var_pop(case when {a} is not null then {b} end) as vb_{pair}",
-                f"count_if({a} is not null and {b} is not null) as n_{pair}"],
-                [cell(i, j, corr, f"n_{pair}"), cell(j, i, corr, f"n_{pair}")]))
-    parts, batch, used = [], [], 0
-    for item in items:
-        if batch and used + item[0] > FIELDS:
-            parts.append(batch)
-            batch, used = [], 0
-        batch.append(item)
-        used += item[0]
-    parts.append(batch)
-    return reduce(DataFrame.union, [
-        df.agg(*[F.expr(e) for _, exprs, _ in part for e in exprs])
-        .selectExpr("inline(array(" + ", ".join(c for *_, cells in part for c in cells) + "))")
-        for part in parts])
+    spark, p = df.sparkSession, len(names)
+    values = df.select(*[C.col(c).try_cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    near = values.limit(1000).agg(*[F.avg(f"c{i}") for i in range(p)]).first()   # any constant does
+    shift = np.array([0.0 if v is None or not np.isfinite(v) else v for v in near])
+
+    def partials(batches):
+        sums = np.zeros((4, p, p))
+        least, most = np.full((p, p), np.inf), np.full((p, p), -np.inf)
+        for batch in batches:
+            x = _null_if_absent(batch) - shift
+            mask = ~np.isnan(x)
+            x, m = np.where(mask, x, 0.0), mask.astype(np.float64)
+            sums += np.stack([x.T @ x, (x * x).T @ m, x.T @ m, m.T @ m])
+            # Range of each column over the rows where another is there: once for
+            # each set of rows, as most columns have the same ones.
+            rows, which = np.unique(mask, axis=1, return_inverse=True)
+            for k in range(rows.shape[1]):
+                own, to = mask & rows[:, k:k + 1], which == k
+                low = np.where(own, x, np.inf).min(axis=0, initial=np.inf)
+                high = np.where(own, x, -np.inf).max(axis=0, initial=-np.inf)
+                least[:, to] = np.minimum(least[:, to], low[:, None])
+                most[:, to] = np.maximum(most[:, to], high[:, None])
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([sums.tobytes()]), pa.array([least.tobytes()]), pa.array([most.tobytes()])],
+                                         names=["lot", "sums", "least", "most"])
+
+    def add_up(frame):
+        arrays = {c: [np.frombuffer(v) for v in frame[c]] for c in ("sums", "least", "most")}
+        return pd.DataFrame({"lot": [0], "sums": [sum(arrays["sums"]).tobytes()],
+                             "least": [np.minimum.reduce(arrays["least"]).tobytes()], "most": [np.maximum.reduce(arrays["most"]).tobytes()]})
+
+    def finish(frame):
+        one = add_up(frame).iloc[0]
+        cross, square, total, n = np.frombuffer(one["sums"]).reshape(4, p, p)
+        varies = (np.frombuffer(one["least"]) < np.frombuffer(one["most"])).reshape(p, p)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cov = cross - total * total.T / n
+            var = square - total * total / n
+            corr = np.clip(cov / np.sqrt(var * var.T), -1, 1)
+        corr[np.arange(p), np.arange(p)] = 1.0
+        known = varies & varies.T & (n > 0)
+        a, b = (x.ravel() for x in np.indices((p, p)))
+        yield pd.DataFrame({"idx_a": a, "idx_b": b, "var_a": [names[i] for i in a], "var_b": [names[i] for i in b],
+                            "corr": [float(c) if k else None for c, k in zip(corr.ravel(), known.ravel())],
+                            "n": n.ravel().astype(np.int64)})
+
+    schema = "lot int, sums binary, least binary, most binary"
+    some = (values.mapInArrow(partials, schema)
+            .withColumn("lot", F.pmod(F.monotonically_increasing_id(), F.lit(16)).cast("int"))
+            .groupBy("lot").applyInPandas(add_up, schema))
+    return some.groupBy("lot").applyInPandas(
+        lambda f: next(finish(f)), "idx_a int, idx_b int, var_a string, var_b string, corr double, n long")
 
 
 def lower_triangle(matrix: DataFrame, digits: int = 2) -> DataFrame:

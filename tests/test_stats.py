@@ -109,3 +109,25 @@ def test_wide_matrix_is_split(spark, monkeypatch):
     for r in got:
         assert r["corr"] == pytest.approx(want.loc[r["var_a"], r["var_b"]])
     assert stats.value_counts(df, df.columns) == dict.fromkeys(df.columns, 50)
+
+
+def test_correlation_is_one_scan_for_any_number_of_columns(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(50, 100))
+    x[:, 1] = 7.0
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"c{i} double" for i in range(100)))
+    df = df.withColumn("c2", F.when(F.col("c3") > 0, F.col("c2")))
+    m = stats.correlation_matrix(df)
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and plan.count("MapInArrow") == 1
+    got = {(r["idx_a"], r["idx_b"]): (r["corr"], r["n"]) for r in m.collect()}
+    assert len(got) == 10_000 and got[0, 1] == (None, 50) and got[5, 5] == (1.0, 50)
+    assert got[0, 9][0] == pytest.approx(np.corrcoef(x[:, 0], x[:, 9])[0, 1])
+    own = x[:, 3] > 0
+    assert got[2, 3] == (pytest.approx(np.corrcoef(x[own, 2], x[own, 3])[0, 1]), own.sum())
+
+
+def test_text_cells_do_not_stop_a_statistic(spark):
+    df = spark.createDataFrame([("1,5", 1.0), ("2", 2.0), ("4", 3.0)], "a string, b double")
+    assert stats.exact_medians(df, ["a"])["a"] == 3.0
+    assert {r["n"] for r in stats.correlation_matrix(df, ["a", "b"]).collect()} == {2, 3}
