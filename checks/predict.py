@@ -104,12 +104,12 @@ p1 as (select g.*, b + w * profundidad as nspt from ({GRID_SQL}) g, m1),
 p2 as (select p1.*, my + wx * (profundidad - mx) + wz * (nspt - mz) as qadm from p1, m2)"""
 
 
-_stored: dict[tuple[int, str], str] = {}
+_stored: dict[tuple[str, str], str] = {}
 
 
 def models(spark, sf) -> str:
     """Train and store both stand-ins, once per session and table folder."""
-    key = (id(spark.sparkContext), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _stored:
         _stored[key] = _train(spark, sf)
     return _stored[key]
@@ -135,7 +135,7 @@ def profile_nspt(spark, sf):
     found = artifacts.load_artifacts(spark, models(spark, sf), "nspt")
     out = predict.predict_profile(grid(spark, sf), found.features, config.NSPT_DEFAULTS,
                                   found.model.transform, "NSPT_prediccion",
-                                  keep=["request_id", "depth_idx"])
+                                  keep=["request_id", "depth_idx"]).drop("NSPT_prediccion_defaulted")
     return out.withColumn("NSPT_prediccion", F.round("NSPT_prediccion", 5))
 
 
@@ -143,37 +143,43 @@ def profile_nspt(spark, sf):
 select request_id, location, depth_idx, round(profundidad, 9) + 0.0 as profundidad,
   round(nspt, 5) + 0.0 as NSPT_prediccion, round(qadm, 5) + 0.0 as Qadm_prediccion from p2""")
 def profile_chain(spark, sf):
-    out = plan.predict_requests(spark, requests(spark, sf), models(spark, sf))
+    out = plan.predict_requests(spark, requests(spark, sf), models(spark, sf)).profiles
     return out.withColumns({"profundidad": F.round("profundidad", 9),
                             "NSPT_prediccion": F.round("NSPT_prediccion", 5),
                             "Qadm_prediccion": F.round("Qadm_prediccion", 5)})
 
 
-# One folder per location is many files: whole nations are the locations here.
-EXPORT_GRID = """
-select n_nationkey as request_id, concat('Sitio ', n_name) as location,
-  cast(count(c_custkey) as double) as max_depth
-from nation join customer on c_nationkey = n_nationkey group by n_nationkey, n_name"""
+@query("profile_errors", f"select request_id, location, error from ({PARSED_SQL}) p where error is not null")
+def profile_errors(spark, sf):
+    """The requests that the job gives no profile for."""
+    return plan.predict_requests(spark, requests(spark, sf), models(spark, sf)).errors
 
 
-@query("profile_export", f"""
-with t as ({TRAIN}),
-m1 as (select regr_slope(z, x) as w, regr_intercept(z, x) as b from t where z is not null),
-g as (select request_id, replace(location, ' ', '_') as location, i as depth_idx,
-        case when i = 99 then max_depth else i * (max_depth / 99) end as profundidad
-      from ({EXPORT_GRID}) e, range(100) r(i))
-select request_id, location, depth_idx, round(profundidad, 9) + 0.0 as profundidad,
-  round(b + w * profundidad, 5) + 0.0 as NSPT_prediccion from g, m1""")
+# A third model asks for inputs that no request and no default has.
+ASKS = ("profundidad_media", "vs_m_s", "potencia")
+
+
+@query("profile_defaults", "select 'nspt' as target, unnest(['vs_m_s', 'potencia']) as feature from (select count(*) from customer) c "
+                           "union all select 'qadm', 'potencia'")
+def profile_defaults(spark, sf):
+    rows = materialise(geo.clean(spark, sf).select("profundidad_media", "vs_m_s", F.lit(1.0).alias("potencia"), "nspt", "qadm_kg_cm2"), "rows")
+    root = new_path(spark, "models")
+    for preset in (config.NSPT, config.QADM):
+        part = rows.select(*ASKS, F.col(preset.target).alias("label")).na.drop()
+        model = Pipeline(stages=[VectorAssembler(inputCols=list(ASKS), outputCol="features"),
+                                 linear.estimator("Linear", None)]).fit(part)
+        artifacts.save_artifacts(root, preset.name, model, evaluate.regression_metrics(model.transform(part)), list(ASKS))
+    return plan.predict_requests(spark, requests(spark, sf), root).defaults
+
+
+@query("profile_export", CHAIN_SQL + """
+select request_id, replace(location, ' ', '_') as location, depth_idx, round(profundidad, 9) + 0.0 as profundidad,
+  round(nspt, 5) + 0.0 as NSPT_prediccion, round(qadm, 5) + 0.0 as Qadm_prediccion from p2""")
 def profile_export(spark, sf):
-    counts = table(spark, sf, "customer").groupBy("c_nationkey").agg(
-        F.count("*").cast("double").alias("max_depth"))
-    sites = counts.join(table(spark, sf, "nation"), F.expr("c_nationkey = n_nationkey")).selectExpr(
-        "cast(n_nationkey as bigint) as request_id", "concat('Sitio ', n_name) as location", "max_depth")
-    found = artifacts.load_artifacts(spark, models(spark, sf), "nspt")
-    out = predict.predict_chain(predict.depth_grid(sites), (found.features, found.model.transform),
-                                None).drop("Qadm_prediccion")
+    """Both targets for every request, written and read again."""
     path = new_path(spark, "profiles")
-    tables.write_profiles(out, path)
-    back = tables.load_table(spark, path, schema=out.schema, fmt="csv")
+    done = plan.export_requests(spark, requests(spark, sf), models(spark, sf), path)
+    back = tables.load_table(spark, path, schema=done.profiles.schema, fmt="csv")
     return back.withColumns({"profundidad": F.round("profundidad", 9),
-                             "NSPT_prediccion": F.round("NSPT_prediccion", 5)})
+                             "NSPT_prediccion": F.round("NSPT_prediccion", 5),
+                             "Qadm_prediccion": F.round("Qadm_prediccion", 5)})

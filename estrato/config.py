@@ -59,7 +59,7 @@ NUMBER_LETTERS = "dDfFnNiIxXpP"
 NUMERIC_COLUMNS = (
     "norte", "este", "de", "hasta", "potencia", "vs_m_s", "vp_m_s", "nspt",
     "n1_60", "ll_pct", "lp", "ip_pct", "w_pct", "gravas", "arenas", "finos",
-    "qadm_kg_cm2",
+    "qadm_kg_cm2", "profundidad_media",
 )
 
 CORRELATION_COLUMNS = (

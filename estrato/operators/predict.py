@@ -25,18 +25,15 @@ def depth_grid(df: DataFrame, max_depth: str = "max_depth", points: int = config
             .withColumn(out, C.depth_step(C.col(idx), C.col(max_depth), points)))
 
 
-def profile_grid(requests: DataFrame, points: int = config.PROFILE_POINTS,
-                 partitions: int | None = None) -> DataFrame:
+def profile_grid(requests: DataFrame, points: int = config.PROFILE_POINTS) -> DataFrame:
     """The depth rows of all valid requests.
 
-    Requests are few bytes, their depth rows and scoring are not: the requests
-    are dealt out to ``partitions`` tasks (default: the session's shuffle
-    partitions) before they grow, whatever files they came in.
+    Requests are few bytes, their depth rows and scoring are not: requests are
+    dealt out evenly before they grow, whatever files they came in, to as many
+    tasks as the session's settings and the size at run time ask for.
     """
-    if partitions is None:
-        partitions = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     valid = requests.filter("error is null").drop("error")
-    return depth_grid(valid.repartition(partitions), points=points)
+    return depth_grid(valid.hint("rebalance"), points=points)
 
 
 def profile_inputs(grid: DataFrame, features: Sequence[str], defaults: dict,
@@ -69,13 +66,14 @@ def profile_inputs(grid: DataFrame, features: Sequence[str], defaults: dict,
 def predict_profile(grid: DataFrame, features: Sequence[str], defaults: dict, score: Scorer,
                     out: str, given: dict[str, Column] | None = None,
                     keep: Sequence[str] = (), prediction: str = "prediction") -> DataFrame:
-    """``grid``'s ``keep`` columns plus the prediction named ``out``."""
+    """``grid``'s ``keep`` columns, the prediction named ``out`` and the features
+    that were set to 0 for it, ``{out}_defaulted``."""
     held = {k: f"__keep_{i}" for i, k in enumerate(keep)}
     base = grid.withColumns({h: C.col(k) for k, h in held.items()})
     inputs = profile_inputs(base, features, defaults, given, keep=list(held.values()))
     scored = score(inputs)
-    return scored.select(*[C.col(h).alias(k) for k, h in held.items()],
-                         C.col(prediction).alias(out))
+    return scored.select(*[C.col(h).alias(k) for k, h in held.items()], C.col(prediction).alias(out),
+                         C.col("defaulted_features").alias(f"{out}_defaulted"))
 
 
 KEYS = ("request_id", "location", "depth_idx", "profundidad")
@@ -92,16 +90,16 @@ def predict_chain(grid: DataFrame, nspt: tuple[Sequence[str], Scorer] | None,
     if nspt is None and qadm is None:
         raise ValueError("no model to predict with")
     coordinates = [c for c in ("norte", "este") if c in grid.columns]
+    first, second = config.NSPT.prediction, config.QADM.prediction
+    absent = {False: F.lit(None).cast("double"), True: F.lit(None).cast("array<string>")}
     if nspt is not None:
         features, score = nspt
-        grid = predict_profile(grid, features, config.NSPT.defaults, score,
-                               config.NSPT.prediction, keep=[*keys, *coordinates])
+        grid = predict_profile(grid, features, config.NSPT.defaults, score, first, keep=[*keys, *coordinates])
     else:
-        grid = grid.withColumn(config.NSPT.prediction, F.lit(None).cast("double"))
+        grid = grid.withColumns({first: absent[False], f"{first}_defaulted": absent[True]})
+    shown = [*keys, first, f"{first}_defaulted"]
     if qadm is None:
-        return grid.select(*keys, config.NSPT.prediction,
-                           F.lit(None).cast("double").alias(config.QADM.prediction))
+        return grid.select(*shown, absent[False].alias(second), absent[True].alias(f"{second}_defaulted"))
     features, score = qadm
-    given = {"nspt": C.col(config.NSPT.prediction)} if nspt is not None else None
-    return predict_profile(grid, features, config.QADM.defaults, score, config.QADM.prediction,
-                           given=given, keep=[*keys, config.NSPT.prediction])
+    given = {"nspt": C.col(first)} if nspt is not None else None
+    return predict_profile(grid, features, config.QADM.defaults, score, second, given=given, keep=shown)

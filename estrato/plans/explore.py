@@ -12,7 +12,7 @@ from estrato.operators import explore, stats
 
 @dataclass
 class Exploration:
-    correlation: DataFrame
+    correlation: DataFrame       # one row per pair
     vs_profile: DataFrame
     nspt_profile: DataFrame
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from estrato import config
+from estrato.functions import columns as C
 from estrato.operators import clean
+from estrato.session import materialise
 from estrato.sources import site_files, tables
 
 ROW_ID = "muestra_id"
@@ -17,36 +19,66 @@ ROW_ID = "muestra_id"
 
 @dataclass
 class CleanTable:
-    df: DataFrame                 # the written table without its all-NULL columns
+    df: DataFrame                 # the written table; it has no all-NULL column
     files: site_files.SiteFiles
-    dropped: list[str]            # all-NULL columns
+    dropped: list[str]            # all-NULL columns that were left out
 
     def audit(self) -> DataFrame:
-        """Cleaned rows per file, for every listed file."""
+        """Cleaned rows per file (or per site, where a site is a folder), for every
+        listed one, and a last row, ``total``,
+        of all of them (its ``archivo`` is NULL, its ``reason`` the number of
+        rejected files)."""
         rows = self.df.groupBy("archivo").agg(F.count("*").alias("n_rows"))
-        files = self.files.files.select(F.col("file_name").alias("archivo"), "encoding",
-                                        "data_rows", "reason")
-        return files.join(rows, "archivo", "left").select(
-            "archivo", "encoding", "data_rows", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-            "reason")
+        files = self.files.files.groupBy("archivo").agg(
+            F.max("encoding").alias("encoding"), F.sum("data_rows").alias("data_rows"), F.max("reason").alias("reason"))
+        each = files.join(rows, "archivo", "left").select(
+            F.lit("file").alias("kind"), "archivo", "encoding", "data_rows",
+            F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "reason")
+        all_ = each.agg(F.lit("total").alias("kind"), F.lit(None).cast("string").alias("archivo"),
+                        F.lit(None).cast("string").alias("encoding"), F.sum("data_rows").alias("data_rows"),
+                        F.sum("n_rows").alias("n_rows"), F.count("reason").cast("string").alias("reason"))
+        return each.union(all_)
+
+
+def add_row_id(df: DataFrame, out: str = ROW_ID) -> DataFrame:
+    """A unique key that a row has in every ingest of the same files: the digest of
+    its file and cells, and a running number where rows of a file are equal.
+
+    Which of several equal rows gets which number makes no difference. They are
+    numbered in 16 lots, so that a row in a third of a table is no single task's.
+    """
+    named = F.struct(*[C.col(c) for c in sorted(df.columns)])
+    keyed = materialise(df.withColumns({out: F.md5(F.to_json(named)), "__lot": F.pmod(
+        F.monotonically_increasing_id(), F.lit(16))}), "keyed-rows")
+    lots = keyed.groupBy(out, "__lot").agg(F.count("*").alias("n"))
+    again = lots.groupBy(out).agg(F.sum("n").alias("n")).filter("n > 1").select(out)
+    again = materialise(again, "equal-rows")
+    before = F.sum("n").over(Window.partitionBy(out).orderBy("__lot")) - F.col("n")
+    lots = lots.join(again, out, "left_semi").select(out, "__lot", before.alias("__before"))
+    place = F.row_number().over(Window.partitionBy(out, "__lot").orderBy(F.lit(0)))
+    equal = keyed.join(again, out, "left_semi").withColumn("__place", place).join(lots, [out, "__lot"])
+    equal = equal.withColumn(out, F.concat(out, F.lit("-"), (F.col("__place") + F.col("__before")).cast("string")))
+    single = keyed.join(again, out, "left_anti")
+    return single.drop("__lot").unionByName(equal.drop("__lot", "__place", "__before"))
 
 
 def ingest_directory(spark: SparkSession, raw: str, out: str, pattern: str = "*.csv",
                      numeric: Sequence[str] = config.NUMERIC_COLUMNS, mode: str = "error",
                      decimal_comma: bool = False, csv_out: str | None = None,
                      site_from: str | None = None) -> CleanTable:
-    """Ingest, clean and write. The raw text is parsed once, into the written
-    table; the search for all-NULL columns then reads that columnar table.
+    """Ingest, clean and write. The raw text is parsed once, into an intermediate
+    table; all-NULL columns are looked for there, and the table that is kept is
+    written without them.
 
-    Each row gets a unique ``muestra_id``, the key of splits and folds; being
-    written, it stays the same in every later read.
+    Each row gets a unique ``muestra_id``, the key of splits and folds. It comes
+    from the row itself, so another cluster or layout gives the same split.
     """
     files = site_files.read_site_files(spark, raw, pattern, site_from=site_from, with_file=True)
     cleaned = clean.clean_rows(files.table, numeric, decimal_comma=decimal_comma)
-    tables.write_table(cleaned.withColumn(ROW_ID, F.monotonically_increasing_id()), out, mode)
-    written = spark.read.parquet(out)
-    dropped = clean.null_columns(written)
-    result = written.drop(*dropped)
+    keyed = materialise(add_row_id(cleaned), "cleaned-rows")
+    dropped = [c for c in clean.null_columns(keyed) if c not in ("archivo", ROW_ID)]
+    tables.write_table(keyed.drop(*dropped), out, mode)
+    result = tables.load_table(spark, out)
     if csv_out is not None:
         tables.write_csv(result.drop("archivo", ROW_ID), csv_out, mode, display=True)
     return CleanTable(result, files, dropped)

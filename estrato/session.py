@@ -52,10 +52,23 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the intermediates that this session has written below the shared
+    folder; the number of them. To be called when a job's results are written."""
+    made, spark._estrato_made = getattr(spark, "_estrato_made", []), []
+    for path in made:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(made)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage with a written table: it outlives lost executors, and
     later passes read only the columns they touch."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    if not hasattr(spark, "_estrato_made"):
+        spark._estrato_made = []
+    spark._estrato_made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

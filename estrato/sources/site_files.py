@@ -5,9 +5,12 @@ work is two distributed scans:
 
 1. *sniff*: one splittable text scan, aggregated per file, finds header,
    encoding, row widths and multi-line quoting, without opening a file whole;
-2. *parse*: one CSV scan per distinct (header, encoding, quoting) group, never
-   one per file, and never one over mixed headers (which would put values in
-   wrong columns).
+2. *parse*: one splittable text scan of all files, whatever their headers. Each
+   line meets its file's header by a join, is cut into fields, and every column
+   of the result takes the field at the column's place in that header.
+
+Only files with line breaks inside quotes are read apart, one unsplittable CSV
+scan per header: no line of theirs stands alone.
 """
 
 from __future__ import annotations
@@ -74,21 +77,28 @@ def _field_count(bare: Column, sep: str) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
 
 
+def _trailing(line: Column, sep: str) -> Column:
+    """Separators at the end of a line, with nothing but white space among them."""
+    end = F.regexp_extract(line, f"[{re.escape(sep)}\\s]*$", 0)
+    return F.length(end) - F.length(F.replace(end, F.lit(sep), F.lit("")))
+
+
 def sniff_files(spark: SparkSession, path: str, pattern: str = "*.csv",
                 sep: str = ";") -> DataFrame:
     """One row per file: what is needed to parse it, or why it is rejected.
 
-    ``widths`` is the set of row widths; being a set it stays small, however
-    large the file, and it keeps the aggregation hash-based (no sort of all
-    lines). Partial results merge map-side, so one huge file is no hot key.
+    A file is rejected for a row with values beyond its header; surplus fields
+    that are empty are trailing separators and do no harm. Partial results merge
+    map-side, so one huge file is no hot key.
     """
     lines = (spark.read.option("pathGlobFilter", pattern).text(path)
              .select("value", F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_block_start").alias("block_start"))
              .filter(F.trim("value") != ""))
     bare = _outside_quotes(F.col("value"), sep)
+    # Surplus fields that are empty are trailing separators: they say nothing.
     measured = lines.select(
-        "file_path", "value",
+        "file_path", "value", (_field_count(bare, sep) - _trailing(F.col("value"), sep)).alias("filled"),
         F.when(F.col("block_start") == 0, F.monotonically_increasing_id()).alias("line_no"),
         F.is_valid_utf8("value").alias("utf8"),
         _field_count(bare, sep).alias("width"),
@@ -98,14 +108,14 @@ def sniff_files(spark: SparkSession, path: str, pattern: str = "*.csv",
         F.min_by("value", "line_no").alias("header"),
         F.min_by("width", "line_no").alias("header_fields"),
         F.min_by("open_quote", "line_no").alias("header_open"),
-        F.collect_set("width").alias("widths"),
+        F.max("filled").alias("filled"),
         (F.count("*") - 1).alias("data_rows"),
         F.bool_or("open_quote").alias("multi_line"))
     reason = (
         F.when(F.col("header").isNull(), "empty file")
         .when(F.col("header_fields") <= 1, "fewer than two columns")
         .when(F.col("header_open"), "header spans several lines")
-        .when(~F.col("multi_line") & (F.array_max("widths") > F.col("header_fields")),
+        .when(~F.col("multi_line") & (F.col("filled") > F.col("header_fields")),
               "row longer than header"))
     latin = F.decode(F.col("header").cast("binary"), LATIN1)
     return (list_files(spark, path, pattern).join(seen, "file_path", "left")
@@ -215,7 +225,7 @@ def _overlong_multiline(spark: SparkSession, files: DataFrame, sep: str) -> Data
         odd = materialise(rows.filter("bad is not null").select("file_path", "bad", names[-1]),
                           "odd-records")
         record = F.regexp_replace("bad", r"[\r\n]+$", "")
-        wide = _field_count(_outside_quotes(record, sep), sep) > len(names)
+        wide = _field_count(_outside_quotes(record, sep), sep) - _trailing(record, sep) > len(names)
         parts.append(odd.filter(wide).select("file_path").distinct())
     if not parts:
         return spark.createDataFrame([], "file_path string")
@@ -223,9 +233,8 @@ def _overlong_multiline(spark: SparkSession, files: DataFrame, sep: str) -> Data
 
 
 def _groups(files: DataFrame):
-    """Header groups, one row each. Their path lists hold no more than the
-    file index that Spark keeps on the driver for any scan of the directory."""
-    return (files.filter("reason is null")
+    """Header groups of the files with line breaks inside quotes, one row each."""
+    return (files.filter("reason is null and multi_line")
             .groupBy("header", "encoding", "multi_line")
             .agg(F.sort_array(F.collect_list("file_path")).alias("paths"))
             .orderBy("header", "encoding", "multi_line").collect())
@@ -234,11 +243,12 @@ def _groups(files: DataFrame):
 def read_site_files(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ";",
                     site_from: str | None = None, known: dict[str, str] | None = None,
                     with_file: bool = False) -> SiteFiles:
-    """Ingest a directory: sniff, quarantine, parse per header group, union.
+    """Ingest a directory: sniff, quarantine, parse, union by name.
 
     ``site_from`` is a pattern whose first group is the site's file name within
     the decoded path, for layouts that keep a site's parts in one folder; the
-    default is the base name of the file.
+    default is the base name of the file. A line that repeats its file's header
+    is no data.
     """
     files = materialise(sniff_files(spark, path, pattern, sep), "site-files")
     if not files.take(1):
@@ -250,25 +260,64 @@ def read_site_files(spark: SparkSession, path: str, pattern: str = "*.csv", sep:
                              .otherwise(F.col("reason")))
                  .drop("wide"))
         files = materialise(files, "site-files")
-    groups = _groups(files)
-    if not groups:
+    # Spellings of a header, not files: their number is that of the layouts in use.
+    headers = [r["header"] for r in files.filter("reason is null").select("header").distinct()
+               .orderBy("header").collect()]
+    if not headers:
         raise NoInputError(f"no readable {pattern} file in {path}")
 
-    headers = [split_header(g.header, sep) for g in groups]
-    naming = safe_names({label for labels in headers for label in labels}, known)
+    labels = {h: split_header(h, sep) for h in headers}
+    naming = safe_names({x for own in labels.values() for x in own}, known)
+    columns = {h: _columns_of(own, naming) for h, own in labels.items()}
     shown: dict[str, str] = {}
-    parts = []
-    for group, labels in zip(groups, headers):
-        names = _columns_of(labels, naming)
-        for name, label in zip(names, labels):
+    for h in headers:
+        for name, label in zip(columns[h], labels[h]):
             shown.setdefault(name, label)
+    parts = [_tagged(_single_line_rows(spark, path, pattern, sep, files, columns),
+                     {c: c for c in shown}, site_from, with_file)]
+    for group in _groups(files):
+        own = labels[group.header]
         # Header texts as they are, so that Spark finds no odd header to warn
         # about in every file; safe names where texts differ only in case.
-        fields = labels if len({x.lower() for x in labels}) == len(labels) else names
-        rows = _read_group(spark, group, fields, sep)
-        parts.append(_tagged(rows, dict(zip(fields, names)), site_from, with_file))
+        fields = own if len({x.lower() for x in own}) == len(own) else columns[group.header]
+        rows = _read_group(spark, group, fields, sep).withColumns(
+            {PATH: F.col("_metadata.file_path"), NAME: F.col("_metadata.file_name")})
+        parts.append(_tagged(rows, dict(zip(fields, columns[group.header])), site_from, with_file))
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return SiteFiles(table, files, shown)
+    return SiteFiles(table, files.withColumn("archivo", _shown_name(F.col("file_path"), F.col("file_name"), site_from)), shown)
+
+
+def _shown_name(path: Column, name: Column, site_from: str | None) -> Column:
+    """The file name that a row and its site go by."""
+    return name if site_from is None else F.regexp_extract(C.decode_file_name(path), site_from, 1)
+
+
+PATH, NAME = "__file_path", "__file_name"
+
+
+def _single_line_rows(spark: SparkSession, path: str, pattern: str, sep: str, files: DataFrame,
+                      columns: dict[str, list[str]]) -> DataFrame:
+    """The records of all files without line breaks in quotes, as text columns.
+
+    ``places`` has, for each column of the result, its place in a header.
+    """
+    names = list(dict.fromkeys(c for h in sorted(columns) for c in columns[h]))
+    places = [(h, [own.index(c) if c in own else None for c in names]) for h, own in columns.items()]
+    places = spark.createDataFrame(places, "header string, places array<int>")
+    known = (files.filter("reason is null and not multi_line")
+             .join(places, "header").select(F.col("file_path").alias(PATH), "encoding", "header", "places"))
+    lines = (spark.read.option("pathGlobFilter", pattern).text(path)
+             .select("value", F.col("_metadata.file_path").alias(PATH), F.col("_metadata.file_name").alias(NAME))
+             .filter(F.trim("value") != ""))
+    text = F.when(F.col("encoding") == UTF8, F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), LATIN1))
+    lines = lines.join(known, PATH).select(PATH, NAME, "header", "places", text.alias("value"))
+    lines = lines.filter("value <> header")
+    width = max(map(len, columns.values()))
+    schema = ", ".join(f"f{i} string" for i in range(width))
+    fields = F.from_csv("value", schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    cells = lines.select(PATH, NAME, "places", fields.alias("f")).select(
+        PATH, NAME, "places", F.array(*[F.col(f"f.f{i}") for i in range(width)]).alias("cells"))
+    return cells.select(PATH, NAME, *[F.get("cells", F.get("places", F.lit(k))).alias(c) for k, c in enumerate(names)])
 
 
 def _tagged(rows: DataFrame, names: dict[str, str], site_from: str | None,
@@ -280,11 +329,7 @@ def _tagged(rows: DataFrame, names: dict[str, str], site_from: str | None,
     filter that repeats the expressions of all output columns makes the
     optimizer's inferred constraints double with every column.
     """
-    if site_from is None:
-        file_name = C.decode_file_name(F.col("_metadata.file_name"))
-    else:
-        file_name = F.regexp_extract(C.decode_file_name(F.col("_metadata.file_path")),
-                                     site_from, 1)
+    file_name = _shown_name(F.col(PATH), C.decode_file_name(F.col(NAME)), site_from)
     filled = reduce(Column.__or__, [~C.col(field).isin(*config.NA_TOKENS) for field in names])
     missing = (*config.NA_TOKENS, config.SENTINEL)
     cells = [C.blank_to_null(C.col(field), missing).alias(name)

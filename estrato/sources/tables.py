@@ -47,14 +47,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "error", display: bool = Fal
 
 
 def write_profiles(profiles: DataFrame, path: str, mode: str = "error",
-                   location: str = "location", fmt: str = "csv") -> None:
-    """One folder per location, spaces in its name replaced by ``_``.
+                   location: str = "location", fmt: str = "csv", by_folder: bool = False) -> None:
+    """Ordinary files, in which the rows of a location stand together, or
+    (``by_folder``) one folder per location, for a few of them. Spaces in a
+    location's name are replaced by ``_``.
 
     Rows are not moved: a location in a third of all rows is written by the
     tasks that hold it.
     """
     out = profiles.withColumn(location, F.replace(C.col(location), F.lit(" "), F.lit("_")))
-    writer = out.write.mode(mode).partitionBy(location)
+    writer = (out.write.mode(mode).partitionBy(location) if by_folder
+              else out.sortWithinPartitions(location).write.mode(mode))
     if fmt == "csv":
         writer.csv(path, **CSV)
     else:

@@ -1,4 +1,5 @@
 import json
+import pathlib
 import random
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from estrato import __main__ as cli
 from estrato import config
-from estrato.operators import evaluate, explore, predict, select, trees
+from estrato.operators import evaluate, explore, predict, select, split, trees
 from estrato.plans import ingest, train
 from estrato.plans import predict as predict_plan
 from estrato.sources import artifacts, tables
@@ -59,6 +60,9 @@ def models(spark, work, cleaned, trained):
 def test_ingest(spark, work, cleaned):
     assert cleaned.df.count() == 360 and cleaned.dropped == ["vp_m_s"]
     audit = {r["archivo"]: (r["n_rows"], r["reason"]) for r in cleaned.audit().collect()}
+    assert audit[None] == (360, "1")
+    stored = tables.load_table(spark, f"file:{work}/clean")
+    assert "vp_m_s" not in stored.columns and stored.columns == cleaned.df.columns
     assert audit["Colegio_0.csv"] == (120, None) and audit["Malo.csv"] == (0, "fewer than two columns")
     assert cleaned.df.select(ingest.ROW_ID).distinct().count() == 360
     head = spark.read.csv(f"file:{work}/csv", header=True).columns
@@ -116,7 +120,10 @@ def test_chained_profiles(spark, work, models):
     assert (parsed[3]["norte"], parsed[4]["este"]) == (config.DEFAULT_NORTH, config.DEFAULT_EAST)
     assert parsed[5]["error"] == "invalid max_depth" and parsed[5]["max_depth"] is None
     assert parsed[6]["location"] == "Norte 12.5 Este 100000000.0"
-    out = predict_plan.predict_requests(spark, requests, models)
+    done = predict_plan.predict_requests(spark, requests, models)
+    assert [tuple(r)[::2] for r in done.errors.collect()] == [(5, "invalid max_depth")]
+    assert {tuple(r) for r in done.defaults.collect()} == {("nspt", "vs_m_s")}
+    out = done.profiles
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Cartesian" not in plan
     rows = out.collect()
@@ -125,7 +132,7 @@ def test_chained_profiles(spark, work, models):
         part = sorted((r for r in rows if r["request_id"] == k), key=lambda r: r["depth_idx"])
         assert part[0]["profundidad"] == 0 and part[-1]["profundidad"] == depth
         assert all(r["NSPT_prediccion"] is not None and r["Qadm_prediccion"] is not None for r in part)
-    predict_plan.export_requests(spark, requests, models, f"file:{work}/profiles")
+    predict_plan.export_requests(spark, requests, models, f"file:{work}/profiles", by_folder=True)
     names = {p.name for p in (work / "profiles").iterdir() if p.is_dir()}
     assert any(n.startswith("location=Norte_9457265.0_Este") for n in names)
 
@@ -182,7 +189,7 @@ def test_depth_profile_series(spark, cleaned):
 
 def test_command_line(spark, work, cleaned, capsys):
     root = f"file:{work}"
-    cli.main(["inventory", f"{root}/raw"])
+    cli.main(["inventory", f"{root}/raw", f"{root}/listed"])
     cli.main(["ingest", f"{root}/raw", f"{root}/clean2"])
     cli.main(["train", f"{root}/clean2", f"{root}/models2", "--target", "nspt", "--family", "Linear", "Ridge"])
     (work / "requests.csv").write_text("request_id,north,east,max_depth\n1,1,2,10\n2,,,\n")
@@ -190,4 +197,56 @@ def test_command_line(spark, work, cleaned, capsys):
     cli.main(["explore", f"{root}/clean2", f"{root}/explored"])
     assert spark.read.parquet(f"{root}/out").count() == 200
     shown = capsys.readouterr().out
-    assert "Malo.csv" in shown and "nspt: " in shown
+    assert "files rejected: 1" in shown and "nspt: " in shown
+    assert spark.read.parquet(f"{root}/listed").count() == 4
+    report = spark.read.parquet(f"{root}/clean2-report")
+    assert report.filter("archivo = 'Malo.csv'").first()["reason"] and report.filter("kind = 'total'").first()["n_rows"] == 360
+    assert spark.read.parquet(f"{root}/out-errors").count() == 0 and spark.read.parquet(f"{root}/out-defaults").count() > 0
+    assert spark.read.parquet(f"{root}/models2/leaderboard_nspt").count() == 2
+    assert spark.read.parquet(f"{root}/explored/correlation_square").count() > 3
+
+
+def test_the_same_files_give_the_same_split(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for site in range(5):
+        rows = [f"SPT-{i % 9};{i % 30};{i % 30 + 1};{i * 7 % 50}" for i in range(200)] + ["SPT-1;1;2;3"] * 25
+        (raw / f"S_{site}.csv").write_text("Ítem;De;Hasta;Nspt\n" + "\n".join(rows))
+    got = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1000000", "700"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = ingest.ingest_directory(spark, f"file:{raw}", f"file:{tmp_path}/clean{size}").df
+            assert df.count() == df.select(ingest.ROW_ID).distinct().count() == 1125
+            both = split.split_and_folds(df.select(ingest.ROW_ID), [ingest.ROW_ID])
+            got.append(sorted(map(tuple, both.collect())))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got[0] == got[1]
+
+
+def test_many_files_and_headers_are_one_scan(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for k in range(1050):
+        (raw / f"S_{k}.csv").write_text(f"Ítem;De;Hasta;extra{k % 40}\nA-{k};0;{k};{k}\nB;1;2;;\n")
+    done = ingest.site_files.read_site_files(spark, f"file:{raw}")
+    plan = done.table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" text") == 1 and " csv" not in plan
+    rows = done.table
+    assert rows.count() == 2100 and len(rows.columns) == 4 + 40
+    assert done.files.count() == 1050 and done.quarantine().count() == 0
+    assert rows.filter("item = 'A-41'").select("extra1", "extra2", "colegio").first() == ("41", None, "S 41")
+
+
+def test_intermediates_are_released(spark):
+    from estrato import session
+    kept, spark._estrato_made = getattr(spark, "_estrato_made", []), []
+    try:
+        frame = session.materialise(spark.range(3), "x")
+        path = spark._estrato_made[0].removeprefix("file:")
+        assert frame.count() == 3 and pathlib.Path(path).exists() and session.release(spark) == 1
+        assert not pathlib.Path(path).exists()
+    finally:
+        spark._estrato_made = kept
