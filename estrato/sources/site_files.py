@@ -315,8 +315,10 @@ def _single_line_rows(spark: SparkSession, path: str, pattern: str, sep: str, fi
     width = max(map(len, columns.values()))
     schema = ", ".join(f"f{i} string" for i in range(width))
     fields = F.from_csv("value", schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    # The line is cut once: through a generator, filters on its cells do not move
+    # below it, where they would repeat the cutting for each cell.
     cells = lines.select(PATH, NAME, "places", fields.alias("f")).select(
-        PATH, NAME, "places", F.array(*[F.col(f"f.f{i}") for i in range(width)]).alias("cells"))
+        PATH, NAME, "places", F.explode(F.array(F.array(*[F.col(f"f.f{i}") for i in range(width)]))).alias("cells"))
     return cells.select(PATH, NAME, *[F.get("cells", F.get("places", F.lit(k))).alias(c) for k, c in enumerate(names)])
 
 
