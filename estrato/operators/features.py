@@ -24,9 +24,10 @@ from estrato import config
 from estrato.functions import columns as C
 from estrato.operators import stats
 from estrato.operators.clean import add_mid_depth, add_test_type
+from estrato.session import materialise
 
 LABEL = "label"
-MAX_LEVELS = 1_000_000     # a vocabulary is part of the model and kept with it
+MAX_LEVELS = 100_000       # a feature with more levels is no category: it is left out and named
 
 
 class InsufficientData(ValueError):
@@ -163,29 +164,33 @@ class Preprocessor:
         return self.numeric + [c for c in self.categorical for _ in self.levels[c]]
 
 
-def vocabulary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
-    """Sorted (level, rows) per column, from one shuffle."""
+def vocabulary(df: DataFrame, columns: Sequence[str],
+               max_levels: int = MAX_LEVELS) -> dict[str, list[tuple[str, int]]]:
+    """Sorted (level, rows) per column, from one shuffle. A column with more than
+    ``max_levels`` levels has none: they are counted first and never fetched."""
     if not columns:
         return {}
-    counts = stats.category_counts(df, columns).take(MAX_LEVELS + 1)
-    if len(counts) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} levels: not categorical features")
+    counts = materialise(stats.category_counts(df, columns), "levels")
+    sizes = {r["feature"]: r["count"] for r in counts.groupBy("feature").count().collect()}
+    kept = [c for c in columns if 0 < sizes.get(c, 0) <= max_levels]
     found: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
-    for r in counts:
+    for r in counts.filter(F.col("feature").isin(kept)).collect() if kept else []:
         found[r["feature"]].append((r["value"], r["n"]))
     return {c: sorted(v) for c, v in found.items()}
 
 
 def fit_preprocessor(train: DataFrame, numeric: Sequence[str],
-                     categorical: Sequence[str], out: str = "features") -> Preprocessor:
+                     categorical: Sequence[str], out: str = "features",
+                     max_levels: int = MAX_LEVELS) -> Preprocessor:
     """Fit median fill, standardisation, mode fill and one-hot on ``train``.
 
     Numeric slots come first, then all levels per category in sorted order.
-    Features without any training value are left out.
+    Features without any training value, and categories with more than
+    ``max_levels`` levels, are left out and listed in ``dropped``.
     """
     profile = stats.numeric_profile(train, numeric)
     kept = [c for c in numeric if profile[c].median is not None]
-    vocab = vocabulary(train, categorical)
+    vocab = vocabulary(train, categorical, max_levels)
     kept_cat = [c for c in categorical if vocab[c]]
     # Scratch columns are numbered: stages do not take every name a column has.
     scaled = [f"__num_{i}" for i in range(len(kept))]

@@ -3,7 +3,7 @@
 Rows are ordered by the md5 of seed and key. A share of that order is a range
 of hash values, so a split is a *filter* on a per-row expression: the rows are
 never shuffled or sorted. Only the range limits have to be found, by counting
-rows per hash prefix; sizes are exact.
+rows per hash prefix; sizes are exact where keys are unique.
 """
 
 from __future__ import annotations
@@ -23,14 +23,16 @@ DIGITS = 3             # hash digits resolved per pass: at most 4,096 counters p
 GATHER = 50_000        # hashes a limit's last pass may bring to the driver
 
 
-class DuplicateKeyError(ValueError):
-    """Rows with equal keys sit on both sides of a split limit."""
-
-
 def order_hash(keys: Sequence[str], seed: int = config.SEED) -> Column:
-    """Position of a row in the shuffled order: md5 of ``seed:key-key-…``."""
+    """Position of a row in the shuffled order: md5 of ``seed:key-key-…``.
+
+    Different keys never read alike: ``-`` and ``\\`` within one of several keys
+    are escaped, and NULL is ``\\N``.
+    """
     parts = [C.col(k).cast("string") for k in keys]
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("-", *parts)))
+    if len(parts) > 1:
+        parts = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit("-"), F.lit("\\-")) for p in parts]
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.concat_ws("-", *[F.coalesce(p, F.lit("\\N")) for p in parts])))
 
 
 @dataclass
@@ -50,6 +52,9 @@ def hash_limits(df: DataFrame, hashed: Column,
     the prefixes still open: a filter and a map-side-combined count with a
     bounded number of groups. The last pass reads a few rows. 10^13 rows take
     four passes.
+
+    Rows with equal keys stay together, so equal rows never sit on both sides.
+    A limit that falls among them goes to the nearer end of them.
     """
     hashes = df.select(hashed.alias("h"))
     sizes = _prefix_counts(hashes, 0, [])
@@ -101,9 +106,8 @@ def _finish(hashes: DataFrame, limits: list[_Limit]) -> None:
                 continue
             run += n
             if run >= t.rank:
-                if run > t.rank:
-                    raise DuplicateKeyError("the row key is not unique")
-                t.value = h
+                over, under = run - t.rank, t.rank - (run - n)
+                t.value = h if over <= under else f"{max(0, int(h, 16) - 1):032x}"
                 break
 
 

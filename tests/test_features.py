@@ -85,3 +85,9 @@ def test_quotes_in_levels(spark):
     assert pre.levels == {"odd `name": ["a\\b", "it's"]}
     v = [r[0] for r in pre.transform(df).select(vector_to_array("features")).collect()]
     assert [x[1:] for x in v] == [[0, 1], [1, 0], [0, 1], [0, 1]]
+
+
+def test_a_category_with_too_many_levels_is_left_out(spark):
+    df = spark.createDataFrame([(float(i), f"v{i}", "ab"[i % 2]) for i in range(30)], "x double, wide string, narrow string")
+    pre = features.fit_preprocessor(df, ["x"], ["wide", "narrow"], max_levels=20)
+    assert pre.categorical == ["narrow"] and pre.dropped == ["wide"] and pre.slots == ["x", "narrow", "narrow"]

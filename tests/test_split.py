@@ -47,10 +47,24 @@ def test_split_adds_no_shuffle(spark):
     assert "Exchange" not in plan and "Window" not in plan
 
 
-def test_equal_keys_over_a_limit_are_refused(spark):
-    df = spark.range(4).select(F.lit(1).alias("k"))
-    with pytest.raises(split.DuplicateKeyError):
-        split.train_test_split(df, ["k"])
+def test_equal_keys_stay_together(spark):
+    def test_rows(keys):
+        df = spark.createDataFrame([(k,) for k in keys], "k int")
+        return [r["k"] for r in split.train_test_split(df, ["k"]).filter("is_test").collect()]
+
+    assert test_rows([1] * 4) == []                 # the nearer end leaves all of them for training
+    for keys in ([1] * 5 + [2] * 3 + list(range(3, 12)), [7] * 30 + list(range(10)), [1, 1], []):
+        got = test_rows(keys)
+        assert all(got.count(k) == keys.count(k) for k in got)
+        assert abs(len(got) - math.ceil(len(keys) / 4)) <= max(map(keys.count, keys), default=0) / 2 + 1
+    both = split.split_and_folds(spark.createDataFrame([(k % 7,) for k in range(70)], "k int"), ["k"]).collect()
+    assert len(both) == 70 and len({(r["k"], r["is_test"], r["fold"]) for r in both}) == 7
+
+
+def test_composite_keys_do_not_read_alike(spark):
+    rows = [("a", None), (None, "a"), ("a-b", "c"), ("a", "b-c"), ("", "a"), ("a", ""), ("\\N", "a"), ("a\\", "b"), ("a\\-b", None)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(split.order_hash(["x", "y"])).distinct().count() == len(rows)
 
 
 def test_hot_prefix(spark):
