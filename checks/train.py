@@ -194,7 +194,18 @@ with xy as ({XY_SQL}), f as (select regr_slope(y, x) as w, regr_intercept(y, x)
 select sample_id, round(b + w * x, 4) + 0.0 as prediction from xy, f"""
 
 
+_models: dict[tuple[str, str], tuple[str, object]] = {}
+
+
 def _saved(spark, sf):
+    """Train and store once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _models:
+        _models[key] = _fit_and_save(spark, sf)
+    return _models[key]
+
+
+def _fit_and_save(spark, sf):
     rows = materialise(_xy(spark, sf).drop("features"), "xy")
     stages = [VectorAssembler(inputCols=["x"], outputCol="features"),
               linear.estimator("Linear", None)]

@@ -106,6 +106,15 @@ SEED = 42
 MIN_TARGET_ROWS = 10
 MIN_NUMERIC_FEATURES = 3
 
+# Features of each target, in the model's order, and those it cannot do without.
+NSPT_NUMERIC = ("profundidad_media", "vs_m_s", "gravas", "arenas", "finos",
+    "ll_pct", "lp", "ip_pct", "w_pct")
+QADM_NUMERIC = ("profundidad_media", "vs_m_s", "nspt", "n1_60", "gravas",
+    "arenas", "finos", "ll_pct", "lp", "ip_pct", "w_pct")
+CATEGORICAL = ("sucs", "tipo_ensayo")
+NSPT_REQUIRED = ("profundidad_media",)
+QADM_REQUIRED = ("profundidad_media", "nspt")
+
 # --- End of fixed values ----------------------------------------------------
 
 
@@ -126,10 +135,9 @@ class TargetPreset:
 NSPT = TargetPreset(
     name="nspt",
     target="nspt",
-    numeric=("profundidad_media", "vs_m_s", "gravas", "arenas", "finos",
-             "ll_pct", "lp", "ip_pct", "w_pct"),
-    categorical=("sucs", "tipo_ensayo"),
-    required=("profundidad_media",),
+    numeric=NSPT_NUMERIC,
+    categorical=CATEGORICAL,
+    required=NSPT_REQUIRED,
     prediction="NSPT_prediccion",
     defaults=NSPT_DEFAULTS,
 )
@@ -137,10 +145,9 @@ NSPT = TargetPreset(
 QADM = TargetPreset(
     name="qadm",
     target="qadm_kg_cm2",
-    numeric=("profundidad_media", "vs_m_s", "nspt", "n1_60", "gravas",
-             "arenas", "finos", "ll_pct", "lp", "ip_pct", "w_pct"),
-    categorical=("sucs", "tipo_ensayo"),
-    required=("profundidad_media", "nspt"),
+    numeric=QADM_NUMERIC,
+    categorical=CATEGORICAL,
+    required=QADM_REQUIRED,
     prediction="Qadm_prediccion",
     defaults=QADM_DEFAULTS,
 )
