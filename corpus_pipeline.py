@@ -33,7 +33,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The document with the smallest id of each SimHash group."""
     groups = simhash.near_duplicates(docs.where("doc_id is not null"), width=3, budget=2)
     first = materialise(groups.where("id = component_id").groupBy("id").agg(F.count("*").alias("rows")), "kept-ids")
-    kept = docs.join(first.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    # One plan at every size: ids grow with the corpus, so they are never broadcast.
+    kept = docs.join(first.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
     if not first.where("rows > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     return kept.union(docs.where("doc_id is null")).select(docs.columns)
