@@ -73,7 +73,7 @@ def test_matches_plain_stages(spark, tmp_path, monkeypatch):
     clean = []
     for k, t in apart:
         norm = decontaminate.normal(t)
-        hit = any(fewest_edits(decontaminate.normal(i), norm) <= int(len(decontaminate.normal(i)) * 0.06) for _, i in items)
+        hit = any(fewest_edits(decontaminate.normal(i), norm) <= int(len(decontaminate.normal(i)) * decontaminate.RATE) for _, i in items)
         if k is None or not hit:
             clean.append((k, t))
     assert len(good) > len({k for k, _ in apart}) > len({k for k, _ in clean}) > 50
