@@ -7,12 +7,14 @@ they are shuffled. All of a run's strings repeat if its class has two members.
 Otherwise a string of it can repeat only in another class with the same anchor,
 so the texts of such classes, one of each, go to the shard of their anchor.
 
-A shard builds a suffix array of its texts: ranks by prefix doubling up to
-``length``, then the order of suffixes and their common prefixes. A scan with a
-stack walks the tree of common-prefix intervals, keeps those with at least
-``length`` bytes whose occurrences have different bytes before them (others
-could be extended to the left, all at once), and gives each such maximal repeat
-with all of its occurrences. An anchor with very many classes is not put into
+A shard groups the suffixes of its texts by a hash of their first ``length``
+bytes: each group is a subtree of the tree of common-prefix intervals. One whose
+occurrences all have the same byte before them could be extended to the left at
+once, and so could all below it. The others are sorted into a suffix array with
+its common prefixes (where a chance meeting of hashes shows), and a scan with a
+stack walks their intervals, keeps those of at least ``length`` bytes with
+different bytes before them, and gives each such maximal repeat with all of its
+occurrences. An anchor with very many classes is not put into
 one shard: its strings are hashed one by one and counted by their hashes.
 """
 
@@ -58,26 +60,16 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return row[start], start - offsets[row[start]], strings, h[anchor[start]].view(np.int64), rolling.spans(start, start + strings - 1 + length)
 
 
-def ranks(text: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, ranks) of all substrings of ``length`` bytes within the texts that
-    end at ``ends``: equal strings have equal ranks, and ranks are in their order."""
+def equal_starts(text: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, first) of all suffixes with ``length`` bytes at least, those with a
+    common hash of so many bytes together; ``first`` begins each such group."""
     left = np.repeat(ends, np.diff(np.r_[0, ends])) - np.arange(len(text))
-    size = min(8, length)
-    rank = np.zeros(len(text), dtype=np.uint64)
-    for k in range(size):
-        rank[:len(text) - k] |= text[k:].astype(np.uint64) << np.uint64(8 * (7 - k))
-    places = np.flatnonzero(left >= size)
-    dense = np.full(len(text), -1, dtype=np.int64)
-    dense[places] = np.unique(rank[places], return_inverse=True)[1]
-    while size < length:
-        step = min(size, length - size)
-        places = places[left[places] >= size + step]
-        pair = dense[places] * np.int64(len(text) + 1) + dense[places + step]
-        new = np.unique(pair, return_inverse=True)[1]
-        dense = np.full(len(text), -1, dtype=np.int64)
-        dense[places] = new
-        size += step
-    return places, dense[places]
+    h = textbytes.Rolling(text).windows(length)
+    places = np.flatnonzero(left >= length)
+    order = np.argsort(h[places], kind="stable")
+    places = places[order]
+    h = h[places]
+    return places, np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, dtype=np.int64)
 
 
 def intervals(prefix: list[int]) -> list[tuple[int, int, int]]:
@@ -109,11 +101,8 @@ def maximal_repeats(texts: list[bytes], length: int) -> list[tuple[int, list[tup
     ends = np.cumsum([len(t) for t in texts])
     begin = np.r_[0, ends[:-1]]
     whole = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    places, rank = ranks(whole, ends, length)
-    order = np.argsort(rank, kind="stable")
-    places, rank = places[order], rank[order]
-    first = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]]) if len(rank) else np.zeros(0, dtype=np.int64)
-    stop = np.r_[first[1:], len(rank)]
+    places, first = equal_starts(whole, ends, length)
+    stop = np.r_[first[1:], len(places)]
     owner = np.searchsorted(ends, places, side="right")
     # The byte before each string; the start of a text differs from all.
     before = np.where(places == begin[owner], 256 + np.arange(len(places)), whole[np.maximum(places - 1, 0)].astype(np.int64))
@@ -122,12 +111,13 @@ def maximal_repeats(texts: list[bytes], length: int) -> list[tuple[int, list[tup
         many = stop - first > 1
         diverse = np.minimum.reduceat(before, first) != np.maximum.reduceat(before, first)
         for a, b in zip(first[many & diverse].tolist(), stop[many & diverse].tolist()):
-            # Equal in ``length`` bytes: a subtree of the interval tree. Its suffix array:
-            tails = sorted((texts[o][p + length - begin[o]:], k) for k, (o, p) in enumerate(zip(owner[a:b].tolist(), places[a:b].tolist())))
-            prefix = [length + common(x[0], y[0]) for x, y in zip(tails, tails[1:])]
+            # Sorted suffixes and their common prefixes: the enhanced suffix array of one
+            # subtree of the interval tree, or of several if hashes met by chance.
+            tails = sorted((texts[o][p - begin[o]:], k) for k, (o, p) in enumerate(zip(owner[a:b].tolist(), places[a:b].tolist()), a))
+            prefix = [common(x[0], y[0]) for x, y in zip(tails, tails[1:])]
             for depth, lo, hi in intervals(prefix):
-                here = [a + tails[k][1] for k in range(lo, hi + 1)]
-                if len({int(before[k]) for k in here}) > 1:
+                here = [tails[k][1] for k in range(lo, hi + 1)]
+                if depth >= length and len({int(before[k]) for k in here}) > 1:
                     out.append((depth, [(int(owner[k]), int(places[k] - begin[owner[k]])) for k in here]))
     return out
 
