@@ -29,8 +29,8 @@ from estrato.llm.components import Forest, components
 from estrato.llm.textbytes import mix
 from estrato.session import materialise
 
-#: Vectors of a cluster that is not cut further, and of a shard's two parts at most on average.
-CELL, PART = 2048, 1024
+#: Vectors of a label that is not cut (of a cluster: twice as many), and of each part of a shard.
+CELL, PART = 512, 512
 #: Children of a cluster at most on average, and levels of clusters.
 CHILDREN, LEVELS = 256, 5
 #: Centres nearer than this to one already chosen are left out, so that a cluster of copies is not cut.
@@ -54,16 +54,16 @@ def child(cell: np.ndarray | int, k: np.ndarray) -> np.ndarray:
 def split(members: DataFrame, overlap: int) -> DataFrame:
     """(cell, rep, vec) dealt to clusters of about CELL vectors where that is possible."""
     done = None
-    for _ in range(LEVELS):
+    for level in range(LEVELS):
         members = materialise(members, "vector-cells")
-        sizes = members.groupBy("cell").agg(F.count("*").alias("size")).where(F.col("size") > CELL)
+        sizes = members.groupBy("cell").agg(F.count("*").alias("size")).where(F.col("size") > (2 * CELL if level else CELL))
         if sizes.isEmpty():
             break
         marked = members.join(sizes, "cell", "left")
         still = marked.where("size is null").select("cell", "rep", "vec")
         done = still if done is None else done.union(still)
         large = marked.where("size is not null")
-        share = F.least(F.ceil(F.col("size") / (CELL / 2)), F.lit(CHILDREN)) / F.col("size")
+        share = F.least(F.ceil(F.col("size") / (CELL / 4)), F.lit(CHILDREN)) / F.col("size")
         lot = F.pmod(F.xxhash64("rep", "cell"), F.lit(1 << 30)) / F.lit(float(1 << 30))
         salts = F.ceil(F.col("size") / F.lit(16384))
         centres = (large.where(lot < share).groupBy("cell", "size").agg(F.collect_list("vec").alias("centres"))
