@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estrato.functions import columns as C
-from estrato.operators.stats import aggregate_row
 
 
 def add_residual(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -59,16 +58,6 @@ def compare_predictions(df: DataFrame, predictions: dict[str, str],
     return df.agg(*parts).select(F.inline(F.array(*rows)))
 
 
-def mean_squared_errors(df: DataFrame, predictions: dict[str, str],
-                        label: str = "label") -> dict[str, float]:
-    """Error of many prediction columns over the same rows."""
-    y = C.col(label).try_cast("double")
-    row = aggregate_row(df, [
-        (2, [F.avg((y - C.col(c)) * (y - C.col(c))).alias(f"e{i}")])
-        for i, c in enumerate(predictions.values())])
-    return {name: row[f"e{i}"] for i, name in enumerate(predictions)}
-
-
 def identity_bounds(df: DataFrame, label: str = "label", prediction: str = "prediction",
                     joint: bool = True) -> DataFrame:
     """End points of the identity line: over labels and predictions, or

@@ -57,13 +57,13 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFr
     found = scan.select(F.col("_metadata.file_path").alias("file_path"),
                         F.col("length").alias("size"),
                         F.col("modificationTime").alias("modified"))
-    # The index writes ``file:///x`` where file metadata says ``file:/x``.
-    names = [(re.sub(r"^(\w+):///", r"\1:/", p),) for p in scan.inputFiles()]
-    index = spark.createDataFrame(names, "file_path string")
+    listed = scan.inputFiles()
+    if found.count() < len(listed):         # some are empty; else no name has to travel
+        # The index writes ``file:///x`` where file metadata says ``file:/x``.
+        names = [(re.sub(r"^(\w+):///", r"\1:/", p),) for p in listed]
+        found = spark.createDataFrame(names, "file_path string").join(found, "file_path", "left")
     name = C.decode_file_name(F.substring_index("file_path", "/", -1))
-    return (index.join(found, "file_path", "left")
-            .select("file_path", name.alias("file_name"),
-                    F.coalesce("size", F.lit(0)).alias("size"), "modified"))
+    return found.select("file_path", name.alias("file_name"), F.coalesce("size", F.lit(0)).alias("size"), "modified")
 
 
 def _outside_quotes(line: Column, sep: str) -> Column:

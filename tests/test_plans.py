@@ -3,7 +3,6 @@ import pathlib
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from estrato import __main__ as cli
 from estrato import config

@@ -2,7 +2,6 @@ import hashlib
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from estrato.operators import split
 
