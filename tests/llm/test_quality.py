@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from estrato.llm import quality, textbytes
+from estrato.llm import quality
 
 SF = "/root/testdata/sf0.01"
 
