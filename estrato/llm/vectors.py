@@ -31,8 +31,8 @@ from estrato.session import materialise
 
 #: Vectors of a label that is not cut (of a cluster: twice as many), and of each part of a shard.
 CELL, PART = 512, 512
-#: Children of a cluster at most on average, and levels of clusters.
-CHILDREN, LEVELS = 256, 5
+#: Clusters that a vector is dealt to, children of one at most on average, and levels.
+OVERLAP, CHILDREN, LEVELS = 3, 256, 5
 #: Centres nearer than this to one already chosen are left out, so that a cluster of copies is not cut.
 CENTRE_COSINE = 0.6
 DEGREE, NEAREST, RANDOM, ALPHA = 24, 48, 8, 1.2
@@ -55,7 +55,7 @@ def split(members: DataFrame, overlap: int) -> DataFrame:
     """(cell, rep, vec) dealt to clusters of about CELL vectors where that is possible."""
     done = None
     for level in range(LEVELS):
-        members = materialise(members, "vector-cells")
+        members, top = materialise(members, "vector-cells"), level == 0
         sizes = members.groupBy("cell").agg(F.count("*").alias("size")).where(F.col("size") > (2 * CELL if level else CELL))
         if sizes.isEmpty():
             break
@@ -77,7 +77,12 @@ def split(members: DataFrame, overlap: int) -> DataFrame:
             for c in unit(sorted(centre["centres"].iloc[0])) if len(centre) else ():
                 if not len(chosen) or (chosen @ c).max() < CENTRE_COSINE:
                     chosen = np.vstack([chosen, c]) if len(chosen) else c[None]
-            if len(chosen) < 2:
+            whole = len(chosen) < 2
+            if not whole and not top:
+                # A dense cluster keeps together, and would be dealt again and again: it stays whole.
+                sample = unit(centre["centres"].iloc[0])
+                whole = np.bincount((sample @ chosen.T).argmax(axis=1)).max() > len(sample) / 2
+            if whole:
                 return pd.DataFrame({"cell": cell, "rep": own["rep"], "vec": own["vec"], "final": True})
             near = np.argsort(-(unit(own["vec"].tolist()) @ chosen.T), axis=1, kind="stable")[:, :overlap]
             return pd.DataFrame({"cell": child(cell, near.ravel()), "rep": np.repeat(own["rep"].to_numpy(), near.shape[1]),
@@ -283,7 +288,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "vector-reps")
     recall = 1.0
     for attempt in range(ROUNDS):
-        found = materialise(linked(reps, at_least, 2 + attempt, 1 + attempt), "vector-links")
+        found = materialise(linked(reps, at_least, OVERLAP + attempt, 1 + attempt), "vector-links")
         counts = found.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
         recall = audit(reps, counts, at_least)
         if recall >= AUDIT_TARGET:
