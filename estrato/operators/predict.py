@@ -29,11 +29,12 @@ def profile_grid(requests: DataFrame, points: int = config.PROFILE_POINTS) -> Da
     """The depth rows of all valid requests.
 
     Requests are few bytes, their depth rows and scoring are not: requests are
-    dealt out evenly before they grow, whatever files they came in, to as many
-    tasks as the session's settings and the size at run time ask for.
+    dealt out evenly before they grow, to the larger of the input's and the
+    session's number of tasks: sizes at run time would merge them into one.
     """
     valid = requests.filter("error is null").drop("error")
-    return depth_grid(valid.hint("rebalance"), points=points)
+    tasks = max(valid.rdd.getNumPartitions(), int(valid.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return depth_grid(valid.repartition(tasks), points=points)
 
 
 def profile_inputs(grid: DataFrame, features: Sequence[str], defaults: dict,
