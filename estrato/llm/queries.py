@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, licenses, linedup, packing, quality, repeats, simhash, suffixtree, units, vectors
+from estrato.llm import decontaminate, grams, licenses, linedup, packing, quality, repeats, simhash, units, vectors
 from estrato.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -107,7 +107,7 @@ def op5_licenses(spark, sf_dir):
 @query("op1_suffix_tree")
 def op1_suffix_tree(spark, sf_dir):
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
-    out = suffixtree.score(table(spark, sf_dir, "documents"), learn)
+    out = grams.score(table(spark, sf_dir, "documents"), learn)
     return out.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
