@@ -143,7 +143,7 @@ def op4_suffix_array(spark, sf_dir):
 
 @query("op6_substring_dedup")
 def op6_substring_dedup(spark, sf_dir):
-    out = units.remove_repeated_units(table(spark, sf_dir, "documents"))
+    out = units.remove_repeated_units(table(spark, sf_dir, "documents"), unit="passage")
     return out.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), span_bytes("removed").alias("removed_bytes"),
                       F.transform("removed", lambda s: s["begin"]).alias("removed_begin"),
                       F.transform("removed", lambda s: s["end"]).alias("removed_end"), F.sha2("kept", 256).alias("kept_sha256"))

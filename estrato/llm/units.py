@@ -1,4 +1,9 @@
-"""Repeated lines, paragraphs or sentences, by the digests of normalised units.
+"""Repeated lines, paragraphs, sentences or passages, by the digests of normalised units.
+
+A passage is as many adjacent sentences of a text, over line ends too, as it takes to
+have ``min_words`` words: from each sentence onwards and from each one back. Any
+sequence of whole sentences with that many words is made of passages, so a repeated
+line or paragraph goes whole, however short its sentences are.
 
 Units are normalised (A-Z lower-cased, white space as single spaces) and hashed
 to 128 bits. Digests are grouped over the whole corpus; the occurrence that
@@ -41,63 +46,89 @@ def cut(data: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.ndarray, n
     return s, e, row[owner]
 
 
-def digests(data: np.ndarray, offsets: np.ndarray, unit: str):
-    """(starts, ends, row, words, h1, h2) of the units, without the white space around them."""
+def passages(first: np.ndarray, last: np.ndarray, row: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to): places of the first and last unit of each passage, in order. Units
+    have the words [first, last) of all texts, which follow one another."""
+    n = len(first)
+    every = np.arange(n)
+    to = np.searchsorted(last, first + min_words)
+    onward = (to < n) & (row[np.minimum(to, n - 1)] == row)
+    back = np.searchsorted(first, last - min_words, side="right") - 1
+    before = (back >= 0) & (row[back] == row)
+    pair = np.unique(np.r_[every[onward] * n + to[onward], back[before] * n + every[before]])
+    return pair // max(n, 1), pair % max(n, 1)
+
+
+def digests(data: np.ndarray, offsets: np.ndarray, unit: str, min_words: int):
+    """(starts, ends, row, h1, h2) of the units of ``min_words`` words or more, without
+    the white space around them, and the number of units or sentences of each text."""
     starts, ends, row = cut(data, offsets, unit)
+    total = np.bincount(row, minlength=len(offsets) - 1)
     starts, ends = textbytes.stripped(data, starts, ends)
     small = textbytes.lower(data)
     word_start, word_end, _ = textbytes.words(small, offsets)
     text, new_start, new_end = textbytes.spaced(small, word_start, word_end)
     first, last = np.searchsorted(word_start, starts), np.searchsorted(word_start, ends)
-    words = np.where(ends > starts, last - first, 0)
-    a = np.zeros(len(starts), dtype=np.int64)
-    b = a.copy()
-    some = words > 0
-    a[some], b[some] = new_start[first[some]], new_end[last[some] - 1]
-    return starts, ends, row, words, textbytes.Rolling(text).spans(a, b), textbytes.Rolling(text, 1).spans(a, b)
+    some = (ends > starts) & (last > first)
+    starts, ends, row, first, last = (x[some] for x in (starts, ends, row, first, last))
+    if unit == "passage":
+        begin, end = passages(first, last, row, min_words)
+        starts, ends, row, first, last = starts[begin], ends[end], row[begin], first[begin], last[end]
+    else:
+        some = last - first >= min_words
+        starts, ends, row, first, last = (x[some] for x in (starts, ends, row, first, last))
+    a, b = new_start[first], new_end[last - 1]
+    return starts, ends, row, textbytes.Rolling(text).spans(a, b), textbytes.Rolling(text, 1).spans(a, b), total
 
 
 def remove_repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence", min_words: int = 6) -> DataFrame:
     """One row per input row: ``doc_id, kept, n_units, removed``; ``removed`` lists the
     [begin, end) byte ranges of the original text that went, in order.
 
-    Units of fewer than ``min_words`` words always stay. White space around a
-    removed unit stays. NULL and empty texts have no such unit; ``kept`` is
+    Units of fewer than ``min_words`` words always stay; a passage has no fewer, but
+    its sentences may. A passage that overlaps its own first occurrence stays.
+    White space around a removed unit stays. ``n_units`` counts units of any
+    length, sentences for passages. NULL and empty texts have no such unit; ``kept`` is
     empty. Rows with one id are one document; rows with a NULL id are one that
     ranks after all others. An empty table gives no rows; other columns are ignored.
     """
-    if unit not in ("line", "paragraph", "sentence"):
+    if unit not in ("line", "paragraph", "sentence", "passage"):
         raise ValueError(f"no such unit: {unit}")
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     doc = F.coalesce("doc_id", F.lit((1 << 63) - 1))
 
     def find(batches):
         for part, data, offsets in textbytes.slices(batches):
-            starts, _, row, words, h1, h2 = digests(data, offsets, unit)
-            ok = words >= min_words
-            at = starts[ok] - offsets[row[ok]]
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row[ok])), pa.array(at), pa.array(h1[ok]), pa.array(h2[ok])],
-                                             names=["doc", "at", "h1", "h2"])
-
-    units = source.select(doc.alias("doc"), "text").mapInArrow(find, "doc long, at long, h1 long, h2 long")
-    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc", "at")).alias("first"), F.max(F.struct("doc", "at")).alias("last"))
+            starts, ends, row, h1, h2, _ = digests(data, offsets, unit, min_words)
+            at = starts - offsets[row]
+            past = ends - offsets[row] if unit == "passage" else at + 1  # other units do not overlap
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), *map(pa.array, (at, past, h1, h2))],
+                                             names=["doc", "at", "past", "h1", "h2"])
+
+    units = source.select(doc.alias("doc"), "text").mapInArrow(find, "doc long, at long, past long, h1 long, h2 long")
+    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc", "at", "past")).alias("first"), F.max(F.struct("doc", "at", "past")).alias("last"))
     first = materialise(first.where("first < last").select("h1", "h2", "first"), "unit-first")
-    gone = units.join(first, ["h1", "h2"]).where(F.struct("doc", "at") > F.col("first"))
+    gone = units.join(first, ["h1", "h2"]).where("doc > first.doc or doc = first.doc and at >= first.past")
     gone = gone.groupBy("doc").agg(F.collect_set(F.struct("at", "h1", "h2")).alias("gone"))
 
     def strip(batches):
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for part, data, offsets in textbytes.slices(batches):
-            starts, ends, row, words, h1, h2 = digests(data, offsets, unit)
-            total = np.bincount(row, minlength=part.num_rows)
-            at = np.r_[0, np.cumsum(total)]
+            starts, ends, row, h1, h2, total = digests(data, offsets, unit, min_words)
+            at = np.searchsorted(row, np.arange(part.num_rows + 1))
             kept, removed = [], []
             for i, drop in enumerate(part.column(part.schema.names.index("gone")).to_pylist()):
                 base, spans = offsets[i], []
                 if drop:
                     listed = {(x["at"], x["h1"], x["h2"]) for x in drop}
-                    spans = [{"begin": int(starts[k] - base), "end": int(ends[k] - base)} for k in range(at[i], at[i + 1])
-                             if words[k] >= min_words and (int(starts[k] - base), int(h1[k]), int(h2[k])) in listed]
+                    for k in range(at[i], at[i + 1]):
+                        begin, end = int(starts[k] - base), int(ends[k] - base)
+                        if (begin, int(h1[k]), int(h2[k])) not in listed:
+                            continue
+                        if spans and begin < spans[-1]["end"]:
+                            spans[-1]["end"] = max(end, spans[-1]["end"])
+                        else:
+                            spans.append({"begin": begin, "end": end})
                 raw = data[base:offsets[i + 1]].tobytes()
                 cuts = [0, *(x for s in spans for x in (s["begin"], s["end"])), len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
