@@ -8,8 +8,11 @@ lists of all shards are united per vector. Then every shard searches for each of
 its vectors in the united graph: greedily from the shard's medoids and the
 vector itself, then outwards through everything within a little more than the
 range. Links are verified in double precision and counted in one of the shards
-that hold both ends, so no pairs leave a task: only counts, and a spanning
-forest of the links for the components. An audit compares the links of a bounded
+that hold both ends: only counts leave a task, and a spanning forest of the links
+for the components. Where a vector met in reach has adjacency lists from clusters
+that the searching one is not in, the search goes on outside the shard: (query,
+vector) pairs are a table, joined with those lists and verified in rounds until
+nothing new is in reach, so vectors that share no shard are linked too. An audit compares the links of a bounded
 sample with brute force over all vectors; below its target the work is repeated
 with more overlap and wider search.
 
@@ -97,16 +100,16 @@ def split(members: DataFrame, overlap: int) -> DataFrame:
 
 
 def shards(members: DataFrame) -> DataFrame:
-    """(shard, rep, vec, shards): clusters, or pairs of parts of one that stayed large."""
+    """(shard, cell, rep, vec, shards, cells): clusters, or pairs of parts of one that stayed large."""
     members = materialise(members, "vector-members")
     sizes = members.groupBy("cell").agg(F.count("*").alias("size"))
     parts = F.when(F.col("size") > 2 * CELL, F.ceil(F.col("size") / F.lit(PART))).otherwise(F.lit(1)).cast("int")
     dealt = members.join(sizes, "cell").select("cell", "rep", "vec", parts.alias("parts"))
     own = F.pmod(F.xxhash64("rep", "cell"), F.col("parts")).cast("int")
     dealt = dealt.withColumn("own", own).select("cell", "rep", "vec", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    dealt = dealt.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "rep", "vec")
+    dealt = dealt.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "cell", "rep", "vec")
     dealt = materialise(dealt, "vector-shards")
-    return dealt.join(dealt.groupBy("rep").agg(F.collect_set("shard").alias("shards")), "rep")
+    return dealt.join(dealt.groupBy("rep").agg(F.collect_set("shard").alias("shards"), F.collect_set("cell").alias("cells")), "rep")
 
 
 def pruned(x: np.ndarray, seed: int, degree: int) -> np.ndarray:
@@ -148,8 +151,9 @@ def medoids(x: np.ndarray, count: int) -> np.ndarray:
     return np.array(chosen)
 
 
-def search(x: np.ndarray, adjacent: np.ndarray, at_least: float, beam: int):
-    """Blocks of index pairs (query, other) with cosine ``at_least``; every vector is a query."""
+def search(x: np.ndarray, adjacent: np.ndarray, at_least: float, beam: int, reach: list | None = None):
+    """Blocks of index pairs (query, other) with cosine ``at_least``; every vector is a query.
+    ``reach`` gets the pairs of each block that the search went on from."""
     n = len(x)
     starts = medoids(x, MEDOIDS)
     for lo in range(0, n, 512):
@@ -191,6 +195,9 @@ def search(x: np.ndarray, adjacent: np.ndarray, at_least: float, beam: int):
             a, b = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
             near = score[a, b] >= at_least - SLACK
             a, b = a[near], b[near]
+        if reach is not None:
+            a, b = np.nonzero(score >= at_least - SLACK)
+            reach.append((q[a], b))
         a, b = np.nonzero(score >= at_least)
         other = q[a] != b
         yield q[a[other]], b[other]
@@ -210,9 +217,10 @@ def linked(reps: DataFrame, at_least: float, overlap: int, widen: int) -> DataFr
         source, target = np.r_[source, target[near]], np.r_[target, source[near]]
         order = np.argsort(source, kind="stable")
         cut = np.searchsorted(source[order], np.arange(len(rep) + 1))
-        return pd.DataFrame({"rep": rep, "to": [rep[target[order[a:b]]] for a, b in zip(cut, cut[1:])]})
+        return pd.DataFrame({"rep": rep, "cell": frame["cell"].to_numpy(), "to": [rep[target[order[a:b]]] for a, b in zip(cut, cut[1:])]})
 
-    graph = dealt.select("shard", "rep", "vec").groupBy("shard").applyInPandas(build, "rep long, to array<long>")
+    graph = dealt.select("shard", "cell", "rep", "vec").groupBy("shard").applyInPandas(build, "rep long, cell long, to array<long>")
+    graph = materialise(graph, "vector-graph")
     united = graph.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("to"))).alias("to"))
     ready = dealt.join(united, "rep").join(reps.select("rep", "copies"), "rep")
 
@@ -226,16 +234,64 @@ def linked(reps: DataFrame, at_least: float, overlap: int, widen: int) -> DataFr
             adjacent[k, :len(to)] = to
         alone = np.array([len(s) == 1 for s in frame["shards"]])
         holds = [set(map(int, s)) for s in frame["shards"]]
+        cells = [frozenset(map(int, c)) for c in frame["cells"]]
+        kind = {c: k for k, c in enumerate(dict.fromkeys(cells))}
+        kinds = np.array([kind[c] for c in cells])
+        leads = np.array([[bool(b - a) for b in kind] for a in kind])  # out of the query's cells
         copies, n_links, forest = frame["copies"].to_numpy(), np.zeros(len(rep), dtype=np.int64), Forest(len(rep))
-        for a, b in search(unit(frame["vec"].tolist()), adjacent, at_least, BEAM * widen):
+        reach, out = [], [[np.zeros(0, dtype=np.int64)] * 2]
+        for a, b in search(unit(frame["vec"].tolist()), adjacent, at_least, BEAM * widen, reach):
+            near, by = reach.pop()
+            ahead = leads[kinds[near], kinds[by]]
+            out.append([near[ahead], by[ahead]])
             forest.add(a, b)
             mine = alone[a] | alone[b]  # a link belongs to the smallest shard that has both ends
             rest = np.flatnonzero(~mine)
             mine[rest] = [min(holds[i] & holds[j]) == here for i, j in zip(a[rest].tolist(), b[rest].tolist())]
             np.add.at(n_links, a[mine], copies[b[mine]])
-        return pd.DataFrame({"rep": rep, "n_links": n_links, "forest": rep[forest.label]})
+        near, by = (np.concatenate(x) for x in zip(*out))
+        order = np.argsort(near, kind="stable")
+        cut = np.searchsorted(near[order], np.arange(len(rep) + 1))
+        return pd.DataFrame({"rep": rep, "n_links": n_links, "forest": rep[forest.label],
+                             "ahead": [rep[by[order[a:b]]] for a, b in zip(cut, cut[1:])]})
 
-    return ready.groupBy("shard").applyInPandas(look, "rep long, n_links long, forest long")
+    found = materialise(ready.groupBy("shard").applyInPandas(look, "rep long, n_links long, forest long, ahead array<long>"), "vector-found")
+    places = materialise(dealt.select("rep", "cells").distinct().join(reps.select("rep", "vec", "copies"), "rep"), "vector-places")
+    frontier = found.select(F.col("rep").alias("q"), F.explode("ahead").alias("by")).distinct()
+    return found.drop("ahead").union(crossed(frontier, graph, places, at_least))
+
+
+def crossed(frontier: DataFrame, graph: DataFrame, places: DataFrame, at_least: float) -> DataFrame:
+    """(rep, n_links, forest) of the links between vectors that share no cell, found
+    from ``frontier`` (q, by): the adjacency lists of ``by`` from cells without ``q``
+    lead to new vectors, and those in reach lead on."""
+    end = lambda name: places.select(F.col("rep").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("cells", "vec", "copies")])
+
+    def verify(batches):
+        for batch in batches:
+            a, b = (batch.column(k).to_pylist() for k in (2, 3))
+            score = np.einsum("ij,ij->i", unit(a), unit(b)) if len(a) else np.zeros(0)
+            out = pa.RecordBatch.from_arrays([*batch.columns[:2], *batch.columns[4:], pa.array(score)], names=["a", "b", "a_copies", "b_copies", "score"])
+            yield out.filter(pa.array(score >= at_least - SLACK))
+
+    links, seen = None, None
+    while not frontier.isEmpty():
+        lists = graph.select(F.col("rep").alias("by"), "cell", "to")
+        pairs = (frontier.join(places.select(F.col("rep").alias("q"), "cells"), "q").join(lists, "by")
+                 .where(~F.array_contains("cells", F.col("cell"))).select("q", F.explode("to").alias("t"))
+                 .select(F.least("q", "t").alias("a"), F.greatest("q", "t").alias("b")).where("a < b").distinct())
+        pairs = materialise(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), "vector-pairs")
+        seen = pairs if seen is None else seen.union(pairs)
+        apart = pairs.join(end("a"), "a").join(end("b"), "b").where(~F.arrays_overlap("a_cells", "b_cells"))
+        near = materialise(apart.select("a", "b", "a_vec", "b_vec", "a_copies", "b_copies").mapInArrow(
+            verify, "a long, b long, a_copies long, b_copies long, score double"), "vector-near")
+        links = near if links is None else links.union(near)
+        frontier = near.select(F.col("a").alias("q"), F.col("b").alias("by")).union(near.select("b", "a"))
+    if links is None:
+        return places.limit(0).select("rep", F.col("copies").alias("n_links"), F.col("rep").alias("forest"))
+    links = links.where(F.col("score") >= at_least)
+    return links.select(F.col("a").alias("rep"), F.col("b_copies").alias("n_links"), F.col("b").alias("forest")).union(
+        links.select("b", "a_copies", "a"))
 
 
 def audit(reps: DataFrame, found: DataFrame, at_least: float) -> float:
