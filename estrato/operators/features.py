@@ -27,7 +27,6 @@ from estrato.operators.clean import add_mid_depth, add_test_type
 from estrato.session import materialise
 
 LABEL = "label"
-MAX_LEVELS = 100_000       # a feature with more levels is no category: it is left out and named
 
 
 class InsufficientData(ValueError):
@@ -165,14 +164,14 @@ class Preprocessor:
 
 
 def vocabulary(df: DataFrame, columns: Sequence[str],
-               max_levels: int = MAX_LEVELS) -> dict[str, list[tuple[str, int]]]:
-    """Sorted (level, rows) per column, from one shuffle. A column with more than
-    ``max_levels`` levels has none: they are counted first and never fetched."""
+               max_levels: int | None = None) -> dict[str, list[tuple[str, int]]]:
+    """Sorted (level, rows) per column, from one shuffle. Where ``max_levels`` is
+    given, a column with more levels has none: they are counted first and never fetched."""
     if not columns:
         return {}
     counts = materialise(stats.category_counts(df, columns), "levels")
     sizes = {r["feature"]: r["count"] for r in counts.groupBy("feature").count().collect()}
-    kept = [c for c in columns if 0 < sizes.get(c, 0) <= max_levels]
+    kept = [c for c in columns if sizes.get(c, 0) > 0 and (max_levels is None or sizes[c] <= max_levels)]
     found: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
     for r in counts.filter(F.col("feature").isin(kept)).collect() if kept else []:
         found[r["feature"]].append((r["value"], r["n"]))
@@ -181,12 +180,12 @@ def vocabulary(df: DataFrame, columns: Sequence[str],
 
 def fit_preprocessor(train: DataFrame, numeric: Sequence[str],
                      categorical: Sequence[str], out: str = "features",
-                     max_levels: int = MAX_LEVELS) -> Preprocessor:
+                     max_levels: int | None = None) -> Preprocessor:
     """Fit median fill, standardisation, mode fill and one-hot on ``train``.
 
     Numeric slots come first, then all levels per category in sorted order.
-    Features without any training value, and categories with more than
-    ``max_levels`` levels, are left out and listed in ``dropped``.
+    Features without any training value are left out and listed in ``dropped``;
+    so are categories with more than ``max_levels`` levels where that is given.
     """
     profile = stats.numeric_profile(train, numeric)
     kept = [c for c in numeric if profile[c].median is not None]

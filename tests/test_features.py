@@ -91,3 +91,11 @@ def test_a_category_with_too_many_levels_is_left_out(spark):
     df = spark.createDataFrame([(float(i), f"v{i}", "ab"[i % 2]) for i in range(30)], "x double, wide string, narrow string")
     pre = features.fit_preprocessor(df, ["x"], ["wide", "narrow"], max_levels=20)
     assert pre.categorical == ["narrow"] and pre.dropped == ["wide"] and pre.slots == ["x", "narrow", "narrow"]
+
+
+def test_category_of_any_width_is_kept(spark):
+    df = spark.range(100_001).selectExpr("cast(id as double) as x", "concat('v', id) as wide")
+    pre = features.fit_preprocessor(df, ["x"], ["wide"])
+    assert pre.categorical == ["wide"] and pre.dropped == [] and len(pre.slots) == 100_002
+    row = pre.transform(df.where("wide = 'v100000'")).first()
+    assert row["features"].size == 100_002 and row["features"][1 + pre.levels["wide"].index("v100000")] == 1.0
