@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, grams, licenses, linedup, packing, quality, repeats, simhash, units, vectors
+from estrato.llm import decontaminate, grams, licenses, linedup, packing, periods, quality, repeats, simhash, units, vectors
 from estrato.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -147,3 +147,30 @@ def op6_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), span_bytes("removed").alias("removed_bytes"),
                       F.transform("removed", lambda s: s["begin"]).alias("removed_begin"),
                       F.transform("removed", lambda s: s["end"]).alias("removed_end"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def looped(docs):
+    """``docs`` with every tenth document's words, by the checksum of its id, made to go
+    round in a loop from some word on; a document without an id stays as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    laid = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w")
+    a = F.col("g") % n
+    p = 1 + F.floor((n - a) / (3 + F.col("g") % 8))
+    laid = laid.withColumn("a", F.when(n > 0, a).cast("int")).withColumn("p", F.when(n > 0, p).cast("int"))
+    tail = F.transform(F.sequence(F.lit(0), n - F.col("a") - 1), lambda i: F.get("w", F.col("a") + i % F.col("p")))
+    whole = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return laid.select("doc_id", F.when(n > 0, whole).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    out = periods.runs(looped(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("at"), (-r["period"]).alias("by"))))
+    out = out.withColumn("top", longest)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.at")).alias("start"), F.col("top.length").alias("length"),
+                      (-F.col("top.by")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.by")).cast("long").alias("exponent_milli"),
+                      F.sha2(listed, 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
