@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, grams, licenses, linedup, packing, periods, quality, repeats, simhash, units, vectors
+from estrato.llm import decontaminate, grams, licenses, linedup, packing, periods, quality, repeats, simhash, units, urls, vectors
 from estrato.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -174,3 +174,8 @@ def op12_periodic_runs(spark, sf_dir):
     return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.at")).alias("start"), F.col("top.length").alias("length"),
                       (-F.col("top.by")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.by")).cast("long").alias("exponent_milli"),
                       F.sha2(listed, 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+
+
+@query("op13_url_filter")
+def op13_url_filter(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
