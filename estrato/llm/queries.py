@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estrato.llm import decontaminate, grams, licenses, linedup, packing, periods, quality, repeats, simhash, units, urls, vectors
+from estrato.llm import decontaminate, grams, licenses, linedup, packing, periods, quality, repeats, simhash, trie, units, urls, vectors
 from estrato.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -179,3 +179,42 @@ def op12_periodic_runs(spark, sf_dir):
 @query("op13_url_filter")
 def op13_url_filter(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+OP11_SQL = """
+with crc as (
+  select list(v order by i) as tab from (
+    select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::bigint[],
+      lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) as v from range(256) r(i))),
+l as (
+  select conv_id, list(md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as ts,
+    list(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as ws
+  from conversations where conv_id is not null group by conv_id),
+c as (
+  select conv_id, ts, ws, conv_id - conv_id % 20 as base,
+    xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda a, b: xor(tab[(xor(a, b) & 255) + 1], a >> 8)), 4294967295::bigint) % 4 as h
+  from l, crc),
+s as (
+  select c.conv_id, list_concat(coalesce(b.ts[1:h], []), c.ts[h + 1:]) as ts, list_concat(coalesce(b.ws[1:h], []), c.ws[h + 1:]) as ws
+  from c left join l b on b.conv_id = c.base),
+p as (
+  select conv_id, d, array_to_string(ts[1:d], '') as k, array_to_string(ts[1:d - 1], '') as up, d = len(ts) as ends, case when d > 0 then ws[d] else 0 end as w, ts
+  from (select conv_id, ts, ws, unnest(range(len(ts) + 1)) as d from s)),
+n as (
+  select d, k, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(w) as own, any_value(ts) as ts,
+    string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends) as ids from p group by d, k),
+kids as (select up as k, d - 1 as d, count(*) as n_children from n where d > 0 group by 1, 2),
+a as (select n.*, coalesce(n_children, 0) as n_children from n left join kids using (k, d)),
+sums as (
+  select array_to_string(ts[1:j], '') as k, j as d, sum((n_children = 0)::int) as n_leaves, sum(own) as saved_tokens
+  from (select ts, own, n_children, unnest(range(d + 1)) as j from a) group by 1, 2)
+select a.conv_id, a.d as depth, u.conv_id as parent_conv_id, a.n_convs, a.n_children, n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens,
+  sha256(coalesce(a.ids, '')) as ends_sha256
+from a join sums using (k, d) left join a u on u.k = a.up and u.d = a.d - 1
+"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11_prefix_trie(spark, sf_dir):
+    return trie.forest(trie.rebuilt(trie.sequenced(table(spark, sf_dir, "conversations"))))

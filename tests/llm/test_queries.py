@@ -41,4 +41,4 @@ def test_odd_documents(spark, docs, tmp_path, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
