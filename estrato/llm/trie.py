@@ -283,9 +283,12 @@ def sequenced(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     tied = F.exists(F.arrays_zip(first.alias("a"), second.alias("b")), lambda x: x["a"]["turn"].eqNullSafe(x["b"]["turn"]) & (x["a"]["digest"] != x["b"]["digest"]))
     listed = materialise(listed.withColumn("tied", tied), "conversations")
     plain = F.transform("turns", lambda t: F.struct(t["digest"].alias("digest"), t["words"].alias("words"))).alias("turns")
+    ordered = listed.where(~F.col("tied")).select("conv_id", plain)
+    if listed.where("tied").isEmpty():
+        return ordered
     again = rows.join(listed.where("tied").select("conv_id"), "conv_id", "left_semi")
     again = again.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "digest", "words"))).alias("turns"))
-    return listed.where(~F.col("tied")).select("conv_id", plain).union(again.select("conv_id", plain))
+    return materialise(ordered.union(again.select("conv_id", plain)), "conversations-ordered")
 
 
 def rebuilt(listed: DataFrame, group: int = 20, most: int = 4) -> DataFrame:
