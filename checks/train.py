@@ -8,7 +8,7 @@ from checks import geo
 from checks.explore import SCORED, rounded, scored
 from checks.registry import query, table
 from estrato import config
-from estrato.operators import evaluate, linear, select, split, trees
+from estrato.operators import evaluate, linear, select, split, svr, trees
 from estrato.plans import train as plan
 from estrato.session import materialise, new_path
 from estrato.sources import artifacts
@@ -35,7 +35,7 @@ def grid_select(spark, sf):
 
 STAND_INS = {      # a prediction per family; two of them tie
     "RandomForest": "prediction", "GradientBoosting": "prediction * 1.01",
-    "Linear": "prediction", "Ridge": "prediction * 0.9", "Lasso": "0 * prediction + 50000",
+    "Linear": "prediction", "Ridge": "prediction * 0.9", "Lasso": "0 * prediction + 50000", "SVR": "prediction * 0.8",
 }
 BOARD_SQL = " union all ".join(
     f"select '{family}' as family, {i} as family_order, "
@@ -187,6 +187,28 @@ def grid_search_linear(spark, sf):
     return spark.createDataFrame(out, "family string, grid_idx int, fold int, mse double")
 
 
+# --- support vectors: one slope without an intercept, where the optimum is a crossing of known lines ---
+
+COSTS, TUBE = (1e-5, 1e-4, 1.0), 5.0
+
+
+@query("fit_svr", f"""
+with xy as ({XY_SQL}), c as (select c from (values {", ".join(f"(cast({c} as double))" for c in COSTS)}) t(c)),
+-- The loss is half of w squared and C times what each error exceeds the tube by: its slope is w less C times
+-- the sum of x, and C times x more at each of (y - tube) / x and (y + tube) / x.
+b as (select (y - {TUBE}) / x as v, x from xy union all select (y + {TUBE}) / x, x from xy),
+k as (select v, sum(x) as x from b group by v),
+r as (select v, sum(x) over (order by v) as held, lag(v) over (order by v) as low, (select sum(x) from xy) as whole, x from k),
+w as (select c, least(greatest(c * (whole - (held - x)), coalesce(low, -1e300)), v) as w, row_number() over (partition by c order by v) as n
+  from r, c where v + c * (held - whole) >= 0)
+select c as cost, round(w, 4) + 0.0 as slope from w where n = 1""")
+def fit_svr(spark, sf):
+    rows = materialise(_xy(spark, sf).select("features", "label"), "xy-svr")
+    solver = svr.Solver(rows, None, kernel="linear", epsilon=TUBE, intercept=False)
+    done = solver.fit([svr.Problem(c, 1.0, None) for c in COSTS], rounding=1e-7, gain=1e-13)
+    return spark.createDataFrame([(p.c, round(float(p.weights[0]), 4)) for p in done], "cost double, slope double")
+
+
 # --- stored models ---------------------------------------------------------------
 
 PREDICT_SQL = f"""
@@ -315,7 +337,8 @@ def grid_search_trees(spark, sf):
 LINE = "3 * profundidad_media + 10"
 SHALLOW = {**config.PARAM_GRIDS,
            "RandomForest": {"n_estimators": [1, 2], "max_depth": [2, 3], "min_samples_split": [2, 10]},
-           "GradientBoosting": {"n_estimators": [1, 2], "learning_rate": [0.1, 0.2], "max_depth": [1, 2]}}
+           "GradientBoosting": {"n_estimators": [1, 2], "learning_rate": [0.1, 0.2], "max_depth": [1, 2]},
+           "SVR": {"C": [0.1, 1], "gamma": ["scale"]}}
 RUN_SQL = f"""
 with n as (select count(*) as n from ({geo.CLEAN_SQL}) c)
 select family, cast(position as int) as family_order, family = 'Linear' as chosen,

@@ -83,7 +83,7 @@ QADM_DEFAULTS = {
 }
 
 # Hyper-parameter grids, families in the order that breaks ties.
-FAMILIES = ("RandomForest", "GradientBoosting", "Linear", "Ridge", "Lasso")
+FAMILIES = ("RandomForest", "GradientBoosting", "Linear", "Ridge", "Lasso", "SVR")
 PARAM_GRIDS = {
     "RandomForest": {
         "n_estimators": [50, 100, 200],
@@ -98,6 +98,7 @@ PARAM_GRIDS = {
     "Linear": {},
     "Ridge": {"alpha": [0.1, 1.0, 10.0]},
     "Lasso": {"alpha": [0.1, 1.0, 10.0]},
+    "SVR": {"C": [0.1, 1, 10], "gamma": ["scale", "auto"]},
 }
 
 TEST_SHARE = 0.25

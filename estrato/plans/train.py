@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato import config
-from estrato.operators import evaluate, features, linear, select, split, trees
+from estrato.operators import evaluate, features, linear, select, split, svr, trees
 from estrato.session import materialise
 from estrato.sources import artifacts
 
 LINEAR = ("Linear", "Ridge", "Lasso")
+TREES = ("RandomForest", "GradientBoosting")
 
 
 @dataclass
@@ -37,7 +38,7 @@ class Search:
     def leaderboard(self, spark) -> DataFrame:
         """One row per family, with the depth its trees were fitted with."""
         rows = [(c.family, select.family_order(c.family), select.params_text(c.params), c.train_r2, c.cv_mse,
-                 None if c.family in LINEAR else trees.depth_of(c.family, c.params)) for c in self.candidates]
+                 trees.depth_of(c.family, c.params) if c.family in TREES else None) for c in self.candidates]
         return spark.createDataFrame(rows, select.BOARD_SCHEMA)
 
     def best(self, spark, select_by: str = "train") -> Candidate:
@@ -71,7 +72,9 @@ def search_models(train: DataFrame, families: Sequence[str] = config.FAMILIES,
     total = linear.total_gram(grams) if grams else linear.label_spread(train)
     result, points = Search([]), {f: select.grid_points(grids.get(f) or {}) for f in families}
     for family in sorted(families, key=select.family_order):
-        if family not in LINEAR:
+        if family == "SVR":
+            rows = svr.cross_validate(train, points[family], fold, seed=seed)
+        elif family in TREES:
             rows = trees.cross_validate(train, family, points[family], fold, parallelism=parallelism, seed=seed)
         elif wide:
             rows = linear.cross_validate_wide(train, family, points[family], fold)
@@ -85,9 +88,13 @@ def search_models(train: DataFrame, families: Sequence[str] = config.FAMILIES,
         if family in LINEAR:
             learner = linear.estimator(family, total, best.get("alpha", 0.0), prediction=column,
                                        solver="l-bfgs" if wide else "normal")
+            model = learner.fit(train)
+        elif family == "SVR":  # the folds' weights lie around those of all rows
+            own = [r["weights"] for r in result.cv if r["family"] == family and r["params"] == best]
+            model = svr.fit(train, best, prediction=column, start=sum(own) / len(own), seed=seed)
         else:
-            learner = trees.estimator(family, best, prediction=column, seed=seed)
-        result.candidates.append(Candidate(family, best, learner.fit(train), cv_mse))
+            model = trees.estimator(family, best, prediction=column, seed=seed).fit(train)
+        result.candidates.append(Candidate(family, best, model, cv_mse))
     scored = train.select("features", "label")
     for c in result.candidates:
         scored = c.model.transform(scored)
