@@ -6,11 +6,15 @@ work is two distributed scans:
 1. *sniff*: one splittable text scan, aggregated per file, finds header,
    encoding, row widths and multi-line quoting, without opening a file whole;
 2. *parse*: one splittable text scan of all files, whatever their headers. Each
-   line meets its file's header by a join, is cut into fields, and every column
-   of the result takes the field at the column's place in that header.
-
-Only files with line breaks inside quotes are read apart, one unsplittable CSV
-scan per header: no line of theirs stands alone.
+   line meets the number of its file's layout in a small broadcast dictionary, is
+   cut into fields, and every column of the result takes the field at the column's
+   place in that layout.
+
+Files with line breaks inside quotes are split like the others. Whether a split
+begins inside quotes follows from the splits before it: each tells where it would
+end if it began outside and if it began inside, and what is left of a record that
+it begins inside of. These few bytes a split are chained per file; a task then
+drops what the split before it finishes, and finishes its own last record.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +35,10 @@ from estrato.functions import columns as C
 from estrato.session import materialise
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
+#: Files whose layouts are broadcast, of about 64 bytes each; more are joined.
+BROADCAST_FILES = 1 << 20
+#: Characters of a record beyond the split it begins in, and bytes of all such ends sent at once.
+RECORD_REST, REST_BYTES = 1 << 20, 64 << 20
 
 
 class NoInputError(FileNotFoundError):
@@ -73,6 +83,11 @@ def _outside_quotes(line: Column, sep: str) -> Column:
     return F.when(F.instr(line, '"') > 0, F.regexp_replace(line, quoted, "$1")).otherwise(line)
 
 
+def _ends_open(line: Column, sep: str) -> Column:
+    """Whether a line that begins outside quotes ends inside of them."""
+    return _outside_quotes(line, sep).rlike(f'(^|{re.escape(sep)})"')
+
+
 def _field_count(bare: Column, sep: str) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
 
@@ -190,54 +205,164 @@ def _columns_of(labels: list[str], naming: dict[str, str]) -> list[str]:
 
 # --- parse ------------------------------------------------------------------
 
-def _literal_path(file_path: str) -> str:
-    """A metadata path as a load path: URL-decoded, wildcards escaped."""
-    from urllib.parse import unquote
-
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file_path))
-
-
-def _read_group(spark: SparkSession, group, fields: list[str], sep: str) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    return (spark.read.schema(schema)
-            .csv([_literal_path(p) for p in group.paths], sep=sep, header=True,
-                 encoding=group.encoding, quote='"', escape='"',
-                 multiLine=bool(group.multi_line), mode="PERMISSIVE"))
-
-
-def _overlong_multiline(spark: SparkSession, files: DataFrame, sep: str) -> DataFrame:
-    """Multi-line files with a record wider than their header.
-
-    Physical lines say nothing here, so whole records are parsed, one column
-    wider than the header: the raw record of an odd row shows its width.
-    """
-    parts = []
-    for group in _groups(files.filter("reason is null and multi_line")):
-        names = [f"c{i}" for i in range(len(split_header(group.header, sep)))]
-        schema = ", ".join(f"{n} string" for n in names) + ", bad string"
-        rows = (spark.read.schema(schema)
-                .csv([_literal_path(p) for p in group.paths], sep=sep, header=True,
-                     encoding=group.encoding, quote='"', escape='"', multiLine=True,
-                     mode="PERMISSIVE", columnNameOfCorruptRecord="bad")
-                .select("*", F.col("_metadata.file_path").alias("file_path")))
-        # A raw record is only given next to a parsed column, so the (few) odd
-        # records are written before their width is looked at.
-        odd = materialise(rows.filter("bad is not null").select("file_path", "bad", names[-1]),
-                          "odd-records")
-        record = F.regexp_replace("bad", r"[\r\n]+$", "")
-        wide = _field_count(_outside_quotes(record, sep), sep) - _trailing(record, sep) > len(names)
-        parts.append(odd.filter(wide).select("file_path").distinct())
-    if not parts:
-        return spark.createDataFrame([], "file_path string")
-    return reduce(DataFrame.union, parts)
-
-
-def _groups(files: DataFrame):
-    """Header groups of the files with line breaks inside quotes, one row each."""
-    return (files.filter("reason is null and multi_line")
-            .groupBy("header", "encoding", "multi_line")
-            .agg(F.sort_array(F.collect_list("file_path")).alias("paths"))
-            .orderBy("header", "encoding", "multi_line").collect())
+def _text_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    return spark.read.option("pathGlobFilter", pattern).text(path).select(
+        "value", F.col("_metadata.file_path").alias(PATH), F.col("_metadata.file_name").alias(NAME),
+        F.col("_metadata.file_block_start").alias("block"))
+
+
+def _with_layout(lines: DataFrame, files: DataFrame, layouts: DataFrame) -> DataFrame:
+    """The lines of accepted files with ``header``, ``places`` and ``multi_line`` of their
+    layout, decoded. ``layouts``: (layout, header, places). Up to ``BROADCAST_FILES`` files
+    the lines stay where they are read."""
+    known = (files.filter("reason is null").join(F.broadcast(layouts.select("layout", "header")), "header")
+             .select("file_path", "layout", "multi_line", (F.col("encoding") == UTF8).alias("utf8")))
+    key = F.xxhash64("file_path")
+    n, keys = files.agg(F.count("*"), F.count_distinct(key)).first()
+    if n <= BROADCAST_FILES and n == keys:
+        found = lines.join(F.broadcast(known.select(key.alias("key"), "layout", "multi_line", "utf8")),
+                           F.xxhash64(PATH) == F.col("key")).drop("key")
+    else:
+        found = lines.withColumn("at", F.monotonically_increasing_id()).join(known.withColumnRenamed("file_path", PATH), PATH)
+    text = F.when(F.col("utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), LATIN1))
+    found = found.withColumn("value", text).drop("utf8").join(F.broadcast(layouts), "layout").drop("layout")
+    if "at" in found.columns:      # the lines of a split come from one task: they only have to be in order again
+        found = found.sortWithinPartitions(PATH, "block", "at").drop("at")
+    return found
+
+
+def _split_ends(lines: DataFrame, sep: str) -> DataFrame:
+    """(path, block, open0, open1, rest, closed) of each split of the files with line
+    breaks in quotes: whether it ends inside quotes if it begins outside (inside) of
+    them; the lines up to the end of a record that it begins inside of, and whether
+    that is in it. ``rest`` of over ``RECORD_REST`` characters is NULL."""
+    def run(batches):
+        now, out = None, []
+
+        def done():
+            rest = "\n".join(now["rest"]) if now["size"] <= RECORD_REST else None
+            return {"path": now["path"], "block": now["block"], "open0": now["s0"], "open1": now["s1"], "rest": rest, "closed": now["closed"]}
+
+        for batch in batches:
+            for value, path, block, open0, open1 in zip(*(c.to_pylist() for c in batch.columns)):
+                if now is None or (path, block) != (now["path"], now["block"]):
+                    if now is not None:
+                        out.append(done())
+                    now = {"path": path, "block": block, "s0": False, "s1": True, "rest": [], "size": 0, "closed": False}
+                if not now["closed"]:
+                    now["size"] += len(value) + 1
+                    if now["size"] <= RECORD_REST:
+                        now["rest"].append(value)
+                now["s0"], now["s1"] = (open1 if now["s0"] else open0), (open1 if now["s1"] else open0)
+                now["closed"] = now["closed"] or not now["s1"]
+        if now is not None:
+            out.append(done())
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
+            [("path", pa.string()), ("block", pa.int64()), ("open0", pa.bool_()), ("open1", pa.bool_()), ("rest", pa.string()), ("closed", pa.bool_())]))
+
+    return (lines.filter("multi_line")
+            .select("value", PATH, "block", _ends_open(F.col("value"), sep).alias("open0"),
+                    _ends_open(F.concat(F.lit('"'), "value"), sep).alias("open1"))
+            .mapInArrow(run, "path string, block long, open0 boolean, open1 boolean, rest string, closed boolean"))
+
+
+def _chained(frame: pd.DataFrame) -> pd.DataFrame:
+    """(path, block, inside, rest, too_long) of one file's splits: whether a split
+    begins inside quotes, and what later ones hold of the record that it ends in."""
+    frame = frame.sort_values("block")
+    inside, state = [], False
+    for open0, open1 in zip(frame["open0"], frame["open1"]):
+        inside.append(state)
+        state = bool(open1 if state else open0)
+    ends, rests, closed = [*inside[1:], state], frame["rest"].tolist(), frame["closed"].tolist()
+    out, after, too_long = [None] * len(frame), None, False
+    for k in range(len(frame) - 1, -1, -1):      # ``after``: what follows split k of the record it ends in
+        out[k] = after if ends[k] else None
+        if inside[k]:
+            own = rests[k]
+            whole = None if own is None else own if closed[k] or after is None else f"{own}\n{after}"
+            too_long |= whole is None or len(whole) > RECORD_REST
+            after = whole if whole is not None and len(whole) <= RECORD_REST else ""
+        else:
+            after = None
+    return pd.DataFrame({"path": frame["path"].to_numpy(), "block": frame["block"].to_numpy(), "inside": inside, "rest": out, "too_long": too_long})
+
+
+def _glued(lines: DataFrame, sep: str, borders: dict[tuple[str, int], tuple[bool, str | None]]) -> DataFrame:
+    """Whole records instead of lines, for files with line breaks in quotes. ``borders``
+    has the splits of files with several: those of other files begin outside quotes."""
+    kept = [c for c in lines.columns if c not in ("value", "block", "multi_line")]
+
+    def run(batches):
+        key, state, skip, parts, first = None, False, False, [], None
+
+        def records(texts, rows, batch):
+            if texts:
+                own = batch.take(pa.array(rows)) if rows is not None else batch
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *(own.column(c) for c in kept)], names=["value", *kept])
+
+        def last():
+            """The record that its split leaves open, with what later splits hold of it."""
+            rest = borders.get(key, (False, None))[1]
+            text = "\n".join([*parts, rest] if rest is not None else parts)
+            yield from records([text], None, first)
+
+        for batch in batches:
+            value, path, block, multi, open0, open1 = (batch.column(c).to_pylist() for c in ("value", PATH, "block", "multi_line", "open0", "open1"))
+            texts, rows = [], []
+            for i, line in enumerate(value):
+                if (path[i], block[i]) != key:
+                    if parts:
+                        yield from last()
+                    key, parts = (path[i], block[i]), []
+                    if multi[i] and block[i] > 0 and key not in borders:
+                        raise RuntimeError(f"{path[i]} is split otherwise than when it was looked through: read it again")
+                    state = skip = multi[i] and borders.get(key, (False, None))[0]
+                if not multi[i]:
+                    texts.append(line)
+                    rows.append(i)
+                    continue
+                begins, state = not state, open1[i] if state else open0[i]
+                if skip:
+                    skip = state
+                    continue
+                if begins:
+                    parts, first = [line], batch.slice(i, 1)
+                else:
+                    parts.append(line)
+                if not state:
+                    if len(parts) == 1:
+                        texts.append(line)
+                        rows.append(i)
+                    else:
+                        yield from records(texts, rows, batch)
+                        yield from records(["\n".join(parts)], None, first)
+                        texts, rows = [], []
+                    parts = []
+            yield from records(texts, rows, batch)
+        if parts:
+            yield from last()
+
+    marked = lines.withColumns({
+        "open0": F.col("multi_line") & _ends_open(F.col("value"), sep),
+        "open1": F.col("multi_line") & _ends_open(F.concat(F.lit('"'), "value"), sep)})
+    schema = T.StructType([lines.schema["value"], *[lines.schema[c] for c in kept]])
+    return marked.mapInArrow(run, schema)
+
+
+def _records(lines: DataFrame, sep: str, borders: DataFrame | None) -> DataFrame:
+    """Lines, or where there are files with line breaks in quotes, records."""
+    if borders is None:
+        return lines.drop("block", "multi_line")
+    size = borders.agg(F.sum(F.coalesce(F.length("rest"), F.lit(0)) + 64)).first()[0] or 0
+    scans = max(1, -(-size // REST_BYTES))      # ends of records that are too many for one go take several
+    part = F.pmod(F.xxhash64(PATH), F.lit(scans))
+    found = []
+    for k in range(scans):
+        own = borders.withColumnRenamed("path", PATH).filter(part == k).collect()
+        known = {(r[PATH], r["block"]): (r["inside"], r["rest"]) for r in own}
+        found.append(_glued(lines if scans == 1 else lines.filter(part == k), sep, known))
+    return reduce(DataFrame.union, found)
 
 
 def read_site_files(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ";",
@@ -253,13 +378,6 @@ def read_site_files(spark: SparkSession, path: str, pattern: str = "*.csv", sep:
     files = materialise(sniff_files(spark, path, pattern, sep), "site-files")
     if not files.take(1):
         raise NoInputError(f"no {pattern} file in {path}")
-    if files.filter("reason is null and multi_line").take(1):
-        wide = _overlong_multiline(spark, files, sep).withColumn("wide", F.lit(True))
-        files = (files.join(wide, "file_path", "left")
-                 .withColumn("reason", F.when(F.col("wide"), "row longer than header")
-                             .otherwise(F.col("reason")))
-                 .drop("wide"))
-        files = materialise(files, "site-files")
     # Spellings of a header, not files: their number is that of the layouts in use.
     headers = [r["header"] for r in files.filter("reason is null").select("header").distinct()
                .orderBy("header").collect()]
@@ -273,17 +391,17 @@ def read_site_files(spark: SparkSession, path: str, pattern: str = "*.csv", sep:
     for h in headers:
         for name, label in zip(columns[h], labels[h]):
             shown.setdefault(name, label)
-    parts = [_tagged(_single_line_rows(spark, path, pattern, sep, files, columns),
-                     {c: c for c in shown}, site_from, with_file)]
-    for group in _groups(files):
-        own = labels[group.header]
-        # Header texts as they are, so that Spark finds no odd header to warn
-        # about in every file; safe names where texts differ only in case.
-        fields = own if len({x.lower() for x in own}) == len(own) else columns[group.header]
-        rows = _read_group(spark, group, fields, sep).withColumns(
-            {PATH: F.col("_metadata.file_path"), NAME: F.col("_metadata.file_name")})
-        parts.append(_tagged(rows, dict(zip(fields, columns[group.header])), site_from, with_file))
-    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    lines = _text_lines(spark, path, pattern)
+    layouts, names = _layouts(spark, columns)
+    borders = None
+    if files.filter("reason is null and multi_line").take(1):
+        ends = _split_ends(_with_layout(lines, files, layouts), sep)
+        chained = materialise(ends.groupBy("path").applyInPandas(
+            _chained, "path string, block long, inside boolean, rest string, too_long boolean"), "split-borders")
+        borders = chained.filter("not too_long").drop("too_long")
+        files = _without_wide(lines, files, layouts, sep, chained)
+    rows = _columns_at_places(_records(_with_layout(lines, files, layouts), sep, borders), names, sep, max(map(len, columns.values())))
+    table = _tagged(rows, {c: c for c in shown}, site_from, with_file)
     return SiteFiles(table, files.withColumn("archivo", _shown_name(F.col("file_path"), F.col("file_name"), site_from)), shown)
 
 
@@ -295,24 +413,35 @@ def _shown_name(path: Column, name: Column, site_from: str | None) -> Column:
 PATH, NAME = "__file_path", "__file_name"
 
 
-def _single_line_rows(spark: SparkSession, path: str, pattern: str, sep: str, files: DataFrame,
-                      columns: dict[str, list[str]]) -> DataFrame:
-    """The records of all files without line breaks in quotes, as text columns.
-
-    ``places`` has, for each column of the result, its place in a header.
-    """
+def _layouts(spark: SparkSession, columns: dict[str, list[str]]) -> tuple[DataFrame, list[str]]:
+    """(layout, header, places) and the columns of the result: ``places`` has, for each
+    of them, its place in the header."""
     names = list(dict.fromkeys(c for h in sorted(columns) for c in columns[h]))
-    places = [(h, [own.index(c) if c in own else None for c in names]) for h, own in columns.items()]
-    places = spark.createDataFrame(places, "header string, places array<int>")
-    known = (files.filter("reason is null and not multi_line")
-             .join(places, "header").select(F.col("file_path").alias(PATH), "encoding", "header", "places"))
-    lines = (spark.read.option("pathGlobFilter", pattern).text(path)
-             .select("value", F.col("_metadata.file_path").alias(PATH), F.col("_metadata.file_name").alias(NAME))
-             .filter(F.trim("value") != ""))
-    text = F.when(F.col("encoding") == UTF8, F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), LATIN1))
-    lines = lines.join(known, PATH).select(PATH, NAME, "header", "places", text.alias("value"))
-    lines = lines.filter("value <> header")
-    width = max(map(len, columns.values()))
+    places = [(k, h, [own.index(c) if c in own else None for c in names]) for k, (h, own) in enumerate(columns.items())]
+    return spark.createDataFrame(places, "layout int, header string, places array<int>"), names
+
+
+def _without_wide(lines: DataFrame, files: DataFrame, layouts: DataFrame, sep: str, chained: DataFrame) -> DataFrame:
+    """``files`` with a reason for those with line breaks in quotes that have a record
+    wider than their header, or one that goes on for too long."""
+    long = chained.filter("too_long").select("path").distinct().withColumn("long", F.lit(True))
+    files = files.join(long.withColumnRenamed("path", "file_path"), "file_path", "left")
+    files = files.withColumn("reason", F.when(F.col("long"), f"record of over {RECORD_REST} characters").otherwise(F.col("reason"))).drop("long")
+    files = materialise(files, "site-files")
+    own = _with_layout(lines, files.filter("multi_line"), layouts)
+    records = _records(own, sep, chained.filter("not too_long").drop("too_long"))
+    bare = _outside_quotes(F.col("value"), sep)
+    filled = _field_count(bare, sep) - _trailing(F.col("value"), sep)
+    wide = records.filter(filled > F.size(F.filter("places", F.isnotnull))).select(F.col(PATH).alias("file_path"), F.lit(True).alias("wide"))
+    wide = wide.distinct()
+    files = files.join(wide, "file_path", "left").withColumn(
+        "reason", F.when(F.col("wide"), "row longer than header").otherwise(F.col("reason"))).drop("wide")
+    return materialise(files, "site-files")
+
+
+def _columns_at_places(records: DataFrame, names: list[str], sep: str, width: int) -> DataFrame:
+    """The records as text columns, repeated headers and blank lines left out."""
+    lines = records.filter((F.trim("value") != "") & (F.col("value") != F.col("header")))
     schema = ", ".join(f"f{i} string" for i in range(width))
     fields = F.from_csv("value", schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
     # The line is cut once: through a generator, filters on its cells do not move

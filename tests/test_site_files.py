@@ -155,3 +155,43 @@ def test_numbers_follow_the_pattern(spark):
         plain = re.match(config.NUMBER_PATTERN, c.strip(), re.ASCII)
         want = float(c) if plain and abs(float(c)) != float("inf") else None
         assert got[c] == want, c
+
+
+@pytest.mark.parametrize("size", [64, 300, 1 << 27])
+def test_quoted_line_breaks_across_splits(spark, tmp_path, size, monkeypatch):
+    """Every record of a file cut anywhere, as a plain parser gives it."""
+    import csv
+    import io
+    import random
+    r = random.Random(size)
+    want = []
+    for k in range(6):
+        rows = [(f"r{k}-{i}", r.choice(["1", '"', 'say ""no', "a;b", "x\ny", 'two\n\n"lines"\nand more ' * r.randint(1, 9), "ñ日", ""]), str(i)) for i in range(60)]
+        text = "Ítem;De;Hasta\n" + "".join(f'"{a}";"{b.replace(chr(34), chr(34) * 2)}";{c}\n' if k % 2 else f'{a};"{b.replace(chr(34), chr(34) * 2)}";{c}\n' for a, b, c in rows)
+        if k == 5:
+            text = text.rstrip("\n")
+        (tmp_path / f"s{k}.csv").write_text(text)
+        want += [(f"s{k}", *x) for x in list(csv.reader(io.StringIO(text), delimiter=";"))[1:]]
+    (tmp_path / "plain.csv").write_text("Ítem;De;Hasta\n" + "".join(f"p{i};{i};2\n" for i in range(50)))
+    want += [("plain", f"p{i}", str(i), "2") for i in range(50)]
+    (tmp_path / "wide.csv").write_text('Ítem;De;Hasta\n"x\ny";0;1\n' * 20 + '"x\nz";0;1;2\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 16)
+    try:
+        got = S.read_site_files(spark, f"file:{tmp_path}")
+        rows = [tuple(x) for x in got.table.select("colegio", "item", "de", "hasta").collect()]
+        assert {x["file_name"]: x["reason"] for x in got.quarantine().collect()} == {"wide.csv": "row longer than header"}
+        assert "Exchange hash" not in got.table._jdf.queryExecution().executedPlan().toString()
+        if size == 64:
+            monkeypatch.setattr(S, "REST_BYTES", 2000)   # in several scans
+            monkeypatch.setattr(S, "BROADCAST_FILES", 0)  # lines joined with their files
+            again = S.read_site_files(spark, f"file:{tmp_path}").table.select("colegio", "item", "de", "hasta").collect()
+            assert sorted(map(str, again)) == sorted(str(x) for x in got.table.select("colegio", "item", "de", "hasta").collect())
+            monkeypatch.setattr(S, "RECORD_REST", 40)
+            reasons = {x["reason"] for x in S.read_site_files(spark, f"file:{tmp_path}").quarantine().collect()}
+            assert "record of over 40 characters" in reasons
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    blank = lambda x: None if x.strip(" ") in S.config.NA_TOKENS else x
+    assert sorted(rows, key=str) == sorted([(a, *map(blank, x)) for a, *x in want], key=str)
