@@ -249,3 +249,15 @@ def test_intermediates_are_released(spark):
         assert not pathlib.Path(path).exists()
     finally:
         spark._estrato_made = kept
+
+
+def test_equal_rows_are_numbered_in_bounded_lots(spark, monkeypatch):
+    """A row in most of a table: no lot holds more than its share, keys are unique and the same."""
+    monkeypatch.setattr(ingest, "LOT_ROWS", 10)
+    rows = [("f", "same")] * 700 + [("f", f"own {k}") for k in range(50)] + [("g", "twice")] * 2
+    df = spark.createDataFrame(rows, "archivo string, item string").repartition(5)
+    keys = [r[0] for r in ingest.add_row_id(df).select(ingest.ROW_ID).collect()]
+    assert len(keys) == len(set(keys)) == len(rows)
+    assert sorted(keys) == sorted(r[0] for r in ingest.add_row_id(df.repartition(2)).select(ingest.ROW_ID).collect())
+    suffixes = sorted(int(k.split("-")[1]) for k in keys if "-" in k)
+    assert suffixes == sorted([*range(1, 701), 1, 2])
