@@ -79,3 +79,12 @@ def test_empty_table_and_clashing_columns(spark):
     assert vectors.near_duplicates(none).count() == 0
     odd = spark.createDataFrame([(1, [1.0, 0.0], 1, 9), (2, [1.0, 0.01], 1, 9)], "vec_id long, embedding array<float>, label int, rep long")
     assert [(r["n_links"], r["component_id"]) for r in vectors.near_duplicates(odd).orderBy("vec_id").collect()] == [(1, 1), (1, 1)]
+
+
+def test_signed_zeros_are_one_value(spark):
+    """-0.0 in any place, alone, in copies and next to near vectors."""
+    rows = [(k, [1.0, z, 0.5], "a") for k, z in enumerate([-0.0, 0.0, 0.01, -0.0])]
+    rows += [(10 + k, v, "b") for k, v in enumerate([[-0.0, 1.0, 2.0], [0.0, 1.0, 2.0], [1.0, -0.0, -0.0], [1.0, 0.0, 0.0], [-0.0, -0.0, -0.0], [-1.0, -0.0, 0.0]])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    out = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in vectors.near_duplicates(frame).collect())
+    assert out == sorted(plain(rows, 0.93))
