@@ -6,9 +6,9 @@ sequence of whole sentences with that many words is made of passages, so a repea
 line or paragraph goes whole, however short its sentences are.
 
 Units are normalised (A-Z lower-cased, white space as single spaces) and hashed
-to 128 bits. Digests are grouped over the whole corpus; the occurrence that
-ranks first, by document id and then by place, stays and the others go. Their
-places in the original text are kept.
+to 128 bits, once; places and digests are a written table. Digests are grouped over
+the whole corpus; the occurrence that ranks first, by document id and then by place,
+stays and the others go. Only the ranges to remove go back to the texts.
 """
 
 from __future__ import annotations
@@ -95,46 +95,50 @@ def remove_repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str
     if unit not in ("line", "paragraph", "sentence", "passage"):
         raise ValueError(f"no such unit: {unit}")
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    doc = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    # Rows with one id and text have the same ranges; so many rows without an id share no list.
+    keyed = source.select("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("of"), "text")
 
     def find(batches):
         for part, data, offsets in textbytes.slices(batches):
             starts, ends, row, h1, h2, _ = digests(data, offsets, unit, min_words)
-            at = starts - offsets[row]
-            past = ends - offsets[row] if unit == "passage" else at + 1  # other units do not overlap
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), *map(pa.array, (at, past, h1, h2))],
-                                             names=["doc", "at", "past", "h1", "h2"])
-
-    units = source.select(doc.alias("doc"), "text").mapInArrow(find, "doc long, at long, past long, h1 long, h2 long")
-    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc", "at", "past")).alias("first"), F.max(F.struct("doc", "at", "past")).alias("last"))
+            base, owner = offsets[row], pa.array(row)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(owner), part.column(1).take(owner), *map(pa.array, (starts - base, ends - base, h1, h2))],
+                                             names=["doc", "of", "at", "past", "h1", "h2"])
+
+    units = keyed.select("doc", "of", "text").mapInArrow(find, "doc long, of long, at long, past long, h1 long, h2 long")
+    units = materialise(units, "units")
+    place = F.struct("doc", "at", "past")
+    first = units.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = materialise(first.where("first < last").select("h1", "h2", "first"), "unit-first")
     gone = units.join(first, ["h1", "h2"]).where("doc > first.doc or doc = first.doc and at >= first.past")
-    gone = gone.groupBy("doc").agg(F.collect_set(F.struct("at", "h1", "h2")).alias("gone"))
+    gone = gone.groupBy("doc", "of").agg(F.sort_array(F.collect_set(F.struct("at", "past"))).alias("gone"))
 
     def strip(batches):
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for part, data, offsets in textbytes.slices(batches):
-            starts, ends, row, h1, h2, total = digests(data, offsets, unit, min_words)
-            at = np.searchsorted(row, np.arange(part.num_rows + 1))
-            kept, removed = [], []
-            for i, drop in enumerate(part.column(part.schema.names.index("gone")).to_pylist()):
-                base, spans = offsets[i], []
-                if drop:
-                    listed = {(x["at"], x["h1"], x["h2"]) for x in drop}
-                    for k in range(at[i], at[i + 1]):
-                        begin, end = int(starts[k] - base), int(ends[k] - base)
-                        if (begin, int(h1[k]), int(h2[k])) not in listed:
-                            continue
-                        if spans and begin < spans[-1]["end"]:
-                            spans[-1]["end"] = max(end, spans[-1]["end"])
-                        else:
-                            spans.append({"begin": begin, "end": end})
-                raw = data[base:offsets[i + 1]].tobytes()
-                cuts = [0, *(x for s in spans for x in (s["begin"], s["end"])), len(raw)]
-                kept.append(b"".join(raw[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
-                removed.append(spans)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(removed, kind)],
+            _, _, row = cut(data, offsets, unit)
+            total = np.bincount(row, minlength=part.num_rows)
+            listed = part.column(part.schema.names.index("gone"))
+            at, past = (listed.flatten().field(c).to_numpy() for c in ("at", "past"))
+            size = listed.value_lengths().fill_null(0).to_numpy()
+            upto = np.cumsum(size)
+            kept, begins, ends, count = [], [], [], np.zeros(part.num_rows, dtype=np.int64)
+            for i in range(part.num_rows):
+                raw = data[offsets[i]:offsets[i + 1]].tobytes()
+                if size[i]:
+                    a, b = at[upto[i] - size[i]:upto[i]], np.maximum.accumulate(past[upto[i] - size[i]:upto[i]])
+                    new = np.flatnonzero(np.r_[True, a[1:] >= b[:-1]])  # where no range before reaches to
+                    begin, end = a[new], b[np.r_[new[1:], len(b)] - 1]
+                    cuts = [0, *np.column_stack([begin, end]).ravel().tolist(), len(raw)]
+                    raw = b"".join(raw[x:y] for x, y in zip(cuts[::2], cuts[1::2]))
+                    begins.append(begin)
+                    ends.append(end)
+                    count[i] = len(begin)
+                kept.append(raw)
+            spans = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *x])) for x in (begins, ends)], names=["begin", "end"])
+            removed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), spans).cast(kind)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), removed],
                                              names=["doc_id", "kept", "n_units", "removed"])
 
-    joined = source.withColumn("doc", doc).join(gone, "doc", "left").select("doc_id", "text", "gone")
+    joined = keyed.join(gone, ["doc", "of"], "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(strip, "doc_id long, kept string, n_units long, removed array<struct<begin: long, end: long>>")
