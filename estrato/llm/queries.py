@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from estrato.llm import decontaminate, grams, licenses, linedup, packing, periods, quality, repeats, simhash, trie, units, urls, vectors
@@ -67,7 +69,7 @@ def op10_quality(spark, sf_dir):
 
 
 def op5_sql() -> str:
-    """The same by a plain comparison of every line with every template."""
+    """The same by a plain comparison of every window of words with every template."""
     def stands(phrase: str) -> str:
         same = " and ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(), 1))
         return f"list_filter(range(0, len(ws) - {len(phrase.split()) - 1}), lambda i: {same})"
@@ -75,19 +77,20 @@ def op5_sql() -> str:
     places = ", ".join(f"{stands(p)} as p{k}" for k, (p, _) in enumerate(licenses.PHRASES))
     base = " || ".join(f"case when len(p{k}) > 0 then ['{label}'] else [] end" for k, (_, label) in enumerate(licenses.PHRASES))
     every = " || ".join(f"p{k}" for k in range(len(licenses.PHRASES)))
-    templates = ", ".join(f"({sorted(set(t.split()))}, '{label}')" for t, label in licenses.TEMPLATES)
+    templates = ", ".join(f"({sorted(set(t.split()))}, {2 ** math.ceil(math.log2(len(t.split())))}, '{label}')" for t, label in licenses.TEMPLATES)
     lowered = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"'[0-9a-z\x{80}-\x{10FFFF}]+'"
     return f"""
 with d as (
   select doc_id, row_number() over () as rid, coalesce(text, '') as text from documents),
-t(words, label) as (values {templates}),
+t(words, c, label) as (values {templates}),
+u as (select rid, regexp_extract_all({lowered.format('text')}, {word}) as ws from d),
 l as (
-  select rid, list_distinct(regexp_extract_all({lowered.format('line')}, {word})) as ws
-  from (select rid, unnest(string_split(text, chr(10))) as line from d)),
+  select rid, c, list_distinct(ws[k * c + 1:k * c + 2 * c]) as ws
+  from (select rid, ws, c, unnest(range(greatest((len(ws) + c - 1) // c, 1))) as k from u, (select distinct c from t))),
 m as (
   select rid, list_distinct(list(label)) as more, max(len(list_intersect(ws, words)) / len(words)) as best
-  from l, t where len(list_intersect(ws, words)) >= ceil(0.8 * len(words) - 1e-9) group by rid),
+  from l join t using (c) where len(list_intersect(ws, words)) >= ceil(0.8 * len(words) - 1e-9) group by rid),
 w as (
   select doc_id, rid, regexp_extract_all({lowered.format('text')}, {word}) as ws from d),
 p as (select doc_id, rid, len(ws) as n_words, {places} from w),
