@@ -52,16 +52,27 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the intermediates that this session has written below the shared
     folder; the number of them. To be called when a job's results are written."""
     made, spark._estrato_made = getattr(spark, "_estrato_made", []), []
     for path in made:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(spark, path)
     return len(made)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete intermediates, as :func:`materialise` gave them, that nothing reads any more."""
+    for df in frames:
+        _delete(df.sparkSession, df._estrato_path)
+        df.sparkSession._estrato_made.remove(df._estrato_path)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage with a written table: it outlives lost executors, and
     later passes read only the columns they touch."""
@@ -71,4 +82,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
         spark._estrato_made = []
     spark._estrato_made.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._estrato_path = path
+    return out
