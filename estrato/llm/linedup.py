@@ -92,6 +92,12 @@ def suspects_of(frame: pd.DataFrame) -> pd.DataFrame:
     return out[[len(h) > 0 for h in hits]]
 
 
+def matched(seg: np.ndarray, probe: np.ndarray, hits: list[dict]) -> np.ndarray:
+    """Which keys, by segment and probe, are among the answers of the segments."""
+    found = [np.frombuffer(hit["hits"], dtype=np.uint32).astype(np.uint64) | np.uint64(hit["segment"] << 32) for hit in hits]
+    return np.isin(seg.astype(np.uint64) << np.uint64(32) | probe.astype(np.uint64), np.concatenate(found))
+
+
 def repeated_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, h1, h2): the lines to drop, those of every document but the first; not all distinct."""
     blocks = materialise(line_blocks(docs, min_chars), "line-blocks")
@@ -104,9 +110,8 @@ def repeated_keys(docs: DataFrame, min_chars: int) -> DataFrame:
                 h1, times = np.unique(longs(raw), return_counts=True)
                 seg = segment_of(h1, segments)
                 order = np.argsort(seg, kind="stable")
-                cut = np.searchsorted(seg[order], np.arange(segments + 1))
-                own = [s for s in range(segments) if cut[s + 1] > cut[s]]
-                parts = [order[cut[s]:cut[s + 1]] for s in own]
+                own, first = np.unique(seg[order], return_index=True)  # those met here, however many there are
+                parts = np.split(order, first[1:]) if len(own) else []
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own, pa.int64()), pa.array([block] * len(own), pa.int64()),
                      pa.array([h1[p].astype(np.uint32).tobytes() for p in parts], pa.binary()),
@@ -118,9 +123,7 @@ def repeated_keys(docs: DataFrame, min_chars: int) -> DataFrame:
             for doc, h1, h2, hits in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 doc, h1, h2 = longs(doc), longs(h1), longs(h2)
                 seg, probe = segment_of(h1, segments), h1.astype(np.uint32)
-                marked = np.zeros(len(h1), dtype=bool)
-                for hit in hits:
-                    marked |= (seg == hit["segment"]) & np.isin(probe, np.frombuffer(hit["hits"], dtype=np.uint32))
+                marked = matched(seg, probe, hits)
                 yield pa.RecordBatch.from_arrays([pa.array(x[marked]) for x in (doc, h1, h2)], names=["doc", "h1", "h2"])
 
     answers = (blocks.select("block", "h1").mapInArrow(lambda b: send(b), "segment long, block long, probes binary, many binary")

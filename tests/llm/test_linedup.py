@@ -61,3 +61,13 @@ def test_empty_and_clashing_columns(spark, no_docs):
     odd = spark.createDataFrame([(1, "the same long line", 1, 2), (2, "the same long line", 3, 4)], "doc_id long, text string, n_lines int, kept int")
     out = {r["rest"]["doc_id"]: (r["kept"], r["rest"]["n_lines"], r["rest"]["kept"]) for r in linedup.drop_repeated_lines(odd).collect()}
     assert out == {1: ("the same long line", 1, 2), 2: ("", 3, 4)}
+
+
+def test_answers_are_looked_up_at_once():
+    r = np.random.default_rng(1)
+    h1 = r.integers(-(1 << 63), 1 << 63, 5000)
+    for segments in (10, 100_000):
+        seg, probe = linedup.segment_of(h1, segments), h1.astype(np.uint32)
+        some = np.unique(r.integers(0, 5000, 700))
+        hits = [{"segment": int(s), "hits": probe[some[seg[some] == s]].tobytes()} for s in np.unique(seg[some])]
+        assert np.array_equal(np.flatnonzero(linedup.matched(seg, probe, hits)), some)
