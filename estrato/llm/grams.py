@@ -10,8 +10,9 @@ of its mass goes there (Witten-Bell), down to the words of the whole vocabulary.
 No part of the model is collected or broadcast. Runs are 64-bit keys; blocks of
 texts send theirs to shards by key, as arrays, where they are counted. Levels are
 tables joined on the keys. The log probability of a token is a sum over levels of
-what each context changes, so a text's score is a sum over its runs, looked up
-in shards again, in any order.
+what each context changes, so a text's score is a sum over its runs. Blocks of texts
+ask the shards for each of their distinct runs once, however often it occurs in them,
+and apply the answers to their own tokens.
 """
 
 from __future__ import annotations
@@ -19,17 +20,18 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estrato.llm import textbytes
 from estrato.llm.suffixtree import ALPHA, END, tokens
-from estrato.session import materialise
+from estrato.session import discard, materialise
 
 #: The context before the first word of a text.
 START = np.int64(0x57A27B1E55ED0CA7)
 #: Runs of a block, and bytes of all texts a shard.
 BLOCK, SHARD_BYTES = 1 << 22, 2 << 20
+#: Bytes of the texts that ask together, for each of their distinct runs once.
+ASK_BYTES = 4 << 20
 
 
 def joined(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
@@ -56,10 +58,11 @@ def runs(h: np.ndarray, row: np.ndarray, depth: int):
 
 
 def by_shard(key: np.ndarray, shards: int):
-    """(order, cuts): keys by shard."""
+    """(order, own, cuts): keys by shard, the shards met, and where the keys of each begin and the last end."""
     shard = np.mod(key, shards)
     order = np.argsort(shard, kind="stable")
-    return order, np.searchsorted(shard[order], np.arange(shards + 1))
+    own, first = np.unique(shard[order], return_index=True)
+    return order, own, np.r_[first, len(key)]
 
 
 def read(blobs, kind: str) -> np.ndarray:
@@ -77,12 +80,11 @@ def count(docs: DataFrame, depth: int, min_count: int, shards: int) -> DataFrame
                 if parts:
                     context, suffix, key = (np.concatenate(x) for x in zip(*parts))
                     key, first, n = np.unique(key, return_index=True, return_counts=True)
-                    order, cuts = by_shard(key, shards)
+                    order, some, cuts = by_shard(key, shards)
                     context, suffix, n = context[first[order]], suffix[first[order]], n[order].astype("<i4")
-                    some = np.flatnonzero(cuts[1:] > cuts[:-1])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(some), length)), pa.array(some),
-                         *(pa.array([x[cuts[k]:cuts[k + 1]].tobytes() for k in some], pa.binary()) for x in (context, suffix, n))],
+                         *(pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for x in (context, suffix, n))],
                         names=["length", "shard", "context", "suffix", "n"])
                 parts.clear()
 
@@ -122,7 +124,7 @@ def learned(docs: DataFrame, depth: int, min_count: int, divergence: float, shar
     whole = n + ALPHA * (words + 1)
     p = counted.where("length = 1").select("key", ((F.col("n") + ALPHA) / whole).alias("p"))
     values = p.select("key", F.log10("p").alias("base"), F.lit(0.0).alias("v"))
-    begin = spark.createDataFrame([(int(START), int(texts))], "context long, total long")
+    begin, made = spark.createDataFrame([(int(START), int(texts))], "context long, total long"), [counted]
     for length in range(2, depth + 2):
         contexts = counted.where(F.col("length") == length - 1).select(F.col("key").alias("context"), F.col("n").alias("total"))
         entries = (counted.where(F.col("length") == length).select("key", "context", "suffix", "n")
@@ -141,18 +143,28 @@ def learned(docs: DataFrame, depth: int, min_count: int, divergence: float, shar
         known = entries.join(states, "context", "left")
         own = F.when(F.col("mass").isNotNull(), (F.col("n") + F.col("back") * F.col("parent")) / F.col("mass")).otherwise(F.col("parent"))
         known = materialise(known.select("key", "parent", own.alias("p"), (F.col("back") / F.col("mass")).alias("back")), f"known-{length}")
+        discard(entries)
+        made += [states, known]
         p = known.select("key", "p")
         none = F.lit(None).cast("double").alias("base")
         values = (values.union(known.where("back is not null").select("key", none, F.log10(F.col("p") / F.col("parent") / F.col("back")).alias("v")))
                   .union(states.select(F.col("context").alias("key"), none, F.log10(F.col("back") / F.col("mass")).alias("v"))))
-    return materialise(values.groupBy("key").agg(F.max("base").alias("base"), F.sum("v").alias("v")), "run-values"), n, words
+    values = materialise(values.groupBy("key").agg(F.max("base").alias("base"), F.sum("v").alias("v")), "run-values")
+    discard(*made)
+    return values, n, words
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
           min_count: int = 2, divergence: float = 0.02) -> DataFrame:
     """One row per document row: ``doc_id, learn, n_tokens, n_known, train_tokens,
-    base_score, score``, as :func:`estrato.llm.suffixtree.score` gives them, of a
-    tree with every context and next word seen together ``min_count`` times."""
+    base_score, score`` (log10 probabilities), of a tree with every context and next
+    word seen together ``min_count`` times in the rows where ``learn`` is true.
+
+    NULL and empty texts are the end token alone, which is learned like a word. Rows
+    with NULL or repeated ids and repeated rows are rows of their own, each learned
+    from. NULL of ``learn`` counts as false. Where nothing is learned every word is as
+    likely as any. An empty table gives no rows. Other columns are ignored.
+    """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                          F.coalesce(learn, F.lit(False)).alias("learn"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -160,61 +172,64 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     values, n, words = learned(source, depth, min_count, divergence, shards)
     unseen = float(np.log10(ALPHA / (n + ALPHA * (words + 1))))
 
+    held = materialise(textbytes.blocks(source, "text", ASK_BYTES), "text-blocks")
+
+    def asked(rows: pa.Array):
+        """(keys, order, shards, cuts, which, row): the distinct runs of a block, by
+        shard; and for each run of its texts which one it is, and in which text."""
+        data, offsets = textbytes.buffers(rows.field("text"))
+        h, row = tokens(data, offsets)
+        found = [(key, row[at]) for at, _, _, key in runs(h, row, depth)]
+        key = np.concatenate([k for k, _ in found] + [np.full(len(rows), START)])
+        key, which = np.unique(key, return_inverse=True)
+        return key, *by_shard(key, shards), which, np.concatenate([r for _, r in found] + [np.arange(len(rows))])
+
     def send(batches):
-        block = TaskContext.get().partitionId() << 32
-        for part, data, offsets in textbytes.slices(batches):
-            h, row = tokens(data, offsets)
-            found = [(key, row[at]) for at, _, _, key in runs(h, row, depth)]
-            key = np.concatenate([k for k, _ in found] + [np.full(part.num_rows, START)])
-            row_of = np.concatenate([r for _, r in found] + [np.arange(part.num_rows)]).astype("<i4")
-            order, cuts = by_shard(key, shards)
-            key, row_of = key[order], row_of[order]
-            home = block % shards  # its row also carries what is known of the texts
-            some = np.union1d(np.flatnonzero(cuts[1:] > cuts[:-1]), [home])
-            ids = part.column(0)
-            texts = [ids.fill_null(0).to_numpy().astype("<i8"), ids.is_null().to_numpy(zero_copy_only=False),
-                     part.column(part.schema.names.index("learn")).to_numpy(zero_copy_only=False), np.bincount(row, minlength=part.num_rows).astype("<i8")]
-            own = [pa.array([x.tobytes() if k == home else None for k in some], pa.binary()) for x in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(np.full(len(some), block)), *(pa.array([x[cuts[k]:cuts[k + 1]].tobytes() for k in some], pa.binary()) for x in (key, row_of)), *own],
-                names=["shard", "block", "keys", "rows", "ids", "no_id", "learn", "n_tokens"])
-            block += 1
+        for batch in batches:
+            for i, block in enumerate(batch.column(0).to_pylist()):
+                key, order, own, cuts, _, _ = asked(batch.column(1).slice(i, 1).flatten())
+                key = key[order]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.array(np.full(len(own), block)), pa.array([key[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
+                    names=["shard", "block", "keys"])
 
     def look(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        """For each block which of the keys it asked for are known, and their values."""
         own = own.sort_values("key")
         keys, base, v = (own[c].to_numpy() for c in ("key", "base", "v"))
-        word = ~np.isnan(base.astype(float))
-        base, out = np.where(word, base, 0.0), []
-        for blob, rows in zip(asked["keys"], asked["rows"]):
-            key, row = np.frombuffer(blob, "<i8"), np.frombuffer(rows, "<i4")
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                met = np.flatnonzero(keys[at] == key)
-                at, row = at[met], row[met]
-            else:
-                at, row = np.zeros(0, dtype=np.int64), row[:0]
-            each, where = np.unique(row, return_inverse=True)
-            sums = [np.bincount(where, x[at], len(each)).astype("<f8").tobytes() for x in (word, base, v)]
-            out.append((each.astype("<i4").tobytes(), *sums))
-        found = pd.DataFrame(out, columns=["rows", "known", "base", "v"], index=asked.index, dtype=object)
-        return pd.concat([asked.drop(columns=["keys", "rows"]), found], axis=1)
-
-    def gather(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("shard")
-        home = frame[frame["ids"].notna()].iloc[0]
-        ids, no_id, learns, n_tokens = (np.frombuffer(home[c], t) for c, t in (("ids", "<i8"), ("no_id", "?"), ("learn", "?"), ("n_tokens", "<i8")))
-        row = read(frame["rows"], "<i4")
-        known, base, v = (np.bincount(row, read(frame[c], "<f8"), len(ids)) for c in ("known", "base", "v"))
+        out = []
+        for blob in asked["keys"]:
+            key = np.frombuffer(blob, "<i8")
+            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            met = keys[at] == key if len(keys) else np.zeros(len(key), dtype=bool)
+            at = at[met]
+            word = ~np.isnan(base[at].astype(float))
+            out.append((len(key), np.packbits(met).tobytes(), np.packbits(word).tobytes(), base[at][word].astype("<f8").tobytes(), v[at].astype("<f8").tobytes()))
+        found = pd.DataFrame(out, columns=["n", "met", "word", "base", "v"], index=asked.index)
+        return pd.concat([asked[["shard", "block"]], found], axis=1)
+
+    def gather(rows: pa.Table, told: pa.Table) -> pa.Table:
+        rows = rows.column("rows").combine_chunks().flatten()
+        key, order, _, _, which, row = asked(rows)
+        known, base, v = (np.zeros(len(key)) for _ in range(3))
+        at = 0
+        for r in told.sort_by("shard").to_pylist():
+            own = order[at:at + r["n"]]
+            at += r["n"]
+            own = own[np.unpackbits(np.frombuffer(r["met"], np.uint8), count=len(own)).astype(bool)]
+            word = own[np.unpackbits(np.frombuffer(r["word"], np.uint8), count=len(own)).astype(bool)]
+            known[word], base[word], v[own] = 1, np.frombuffer(r["base"], "<f8"), np.frombuffer(r["v"], "<f8")
+        known, base, v = (np.bincount(row, x[which], len(rows)) for x in (known, base, v))
+        data, offsets = textbytes.buffers(rows.field("text"))
+        n_tokens = np.bincount(tokens(data, offsets)[1], minlength=len(rows))
         known = np.rint(known).astype(np.int64)
         base = base + (n_tokens - known) * unseen
-        return pd.DataFrame({"doc_id": pd.array(np.where(no_id, 0, ids), dtype="Int64").copy(), "learn": learns, "n_tokens": n_tokens,
-                             "n_known": known, "train_tokens": n, "base_score": base, "score": base + v}).assign(
-                                 doc_id=lambda x: x["doc_id"].mask(no_id))
-
-    texts = "ids binary, no_id binary, learn binary, n_tokens binary"
-    asked = source.mapInArrow(send, f"shard long, block long, keys binary, rows binary, {texts}")
-    held = values.withColumn("shard", F.pmod("key", F.lit(shards)))
-    answers = asked.groupBy("shard").cogroup(held.groupBy("shard")).applyInPandas(
-        look, f"shard long, block long, {texts}, rows binary, known binary, base binary, v binary")
-    return answers.groupBy("block").applyInPandas(
+        return pa.Table.from_arrays([rows.field("doc_id"), rows.field("learn"), *map(pa.array, (n_tokens, known, np.full(len(rows), n), base, base + v))],
+                                    names=["doc_id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    requests = held.select("block", F.transform("rows", lambda r: F.struct(r["text"].alias("text"))).alias("rows")).mapInArrow(send, "shard long, block long, keys binary")
+    by = values.withColumn("shard", F.pmod("key", F.lit(shards)))
+    answers = requests.groupBy("shard").cogroup(by.groupBy("shard")).applyInPandas(
+        look, "shard long, block long, n long, met binary, word binary, base binary, v binary")
+    return held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         gather, "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -11,6 +11,8 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 
 #: Bytes of text worked on at once; the arrays made from them take about 100 times as much.
 SLICE_BYTES = 2 << 20
@@ -103,6 +105,20 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
             start = stop
 
 
+def blocks(rows: DataFrame, column: str, limit: int) -> DataFrame:
+    """(block, rows): the rows in arrays of about ``limit`` bytes of text. A block's number
+    holds only where the table is written."""
+    def run(batches):
+        block = TaskContext.get().partitionId() << 32
+        for part, _, _ in slices(batches, column, limit):
+            whole = pa.StructArray.from_arrays(part.columns, names=part.schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), whole)], names=["block", "rows"])
+            block += 1
+
+    return rows.mapInArrow(run, f"block long, rows array<{rows.schema.simpleString()}>")
+
+
 def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, row) of the maximal runs of bytes that are no separators;
     no run crosses a row."""

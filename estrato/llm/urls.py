@@ -18,7 +18,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from estrato.llm import textbytes
@@ -64,21 +63,6 @@ def ruled(urls: DataFrame, rules=RULES) -> DataFrame:
     return urls.withColumn("rule", rule).withColumn("verdict", verdict)
 
 
-def blocks(rows: DataFrame, text_col: str, limit: int) -> DataFrame:
-    """(block, rows): the rows in arrays of about ``limit`` bytes of text."""
-    kind = rows.schema.simpleString()
-
-    def run(batches):
-        block = TaskContext.get().partitionId() << 32
-        for part, _, _ in textbytes.slices(batches, text_col, limit):
-            whole = pa.StructArray.from_arrays(part.columns, names=part.schema.names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), whole)], names=["block", "rows"])
-            block += 1
-
-    return rows.mapInArrow(run, f"block long, rows array<{kind}>")
-
-
 def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(keys, places, row): for each context length the keys of all strings of context and
     next character, the place of that character among all, and the row of each place."""
@@ -157,7 +141,7 @@ def scored(rows: DataFrame) -> DataFrame:
     accepted model's log-likelihood a character less the rejected one's."""
     size = rows.agg(F.sum(F.octet_length("url"))).first()[0] or 0
     shards = max(8, -(-size // SHARD_BYTES))
-    held = materialise(blocks(rows, "url", BLOCK_BYTES), "url-blocks")
+    held = materialise(textbytes.blocks(rows, "url", BLOCK_BYTES), "url-blocks")
 
     def send(batches):
         for batch in batches:

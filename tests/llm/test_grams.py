@@ -12,8 +12,9 @@ from tests.llm.test_suffixtree import plain
 def test_matches_plain_without_shares(docs, rows, depth, monkeypatch):
     monkeypatch.setattr(grams, "BLOCK", 4000)
     monkeypatch.setattr(textbytes, "SLICE_BYTES", 20000)
-    got = grams.score(docs.where("doc_id is null or doc_id <> 4000"), F.col("doc_id") % 5 != 0, depth=depth).collect()
-    some = [r for r in rows if r[0] != 4000]
+    monkeypatch.setattr(grams, "ASK_BYTES", 9000)
+    got = grams.score(docs, F.col("doc_id") % 5 != 0, depth=depth).collect()
+    some = rows
     learn = [r[0] is not None and r[0] % 5 != 0 for r in some]
     want = sorted((str(r[0]), *w) for r, w in zip(some, plain([(a, r[1]) for a, r in zip(learn, some)], depth, 0, 0, 0.02)))
     got = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got)
@@ -35,3 +36,9 @@ def test_nothing_to_learn_from(docs, no_docs):
     out = grams.score(docs, F.lit(False)).collect()
     assert len(out) == docs.count() and all(r["train_tokens"] == r["n_known"] == 0 and abs(r["score"]) < 1e-9 for r in out)
     assert grams.score(no_docs, F.lit(True)).count() == 0
+
+
+def test_clashing_columns(spark):
+    odd = spark.createDataFrame([(1, "a b a b", 1, "x"), (None, None, 2, None), (1, "a b a b", 3, "y")], "doc_id long, text string, learn int, rows string")
+    out = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in grams.score(odd, F.lit(True)).collect()), key=str)
+    assert out == [(1, 5, 5, 11), (1, 5, 5, 11), (None, 1, 1, 11)]
