@@ -1,9 +1,10 @@
 """From raw documents to packed training sequences, in five written stages.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
-last return the columns of ``docs``. Rows that share a ``doc_id`` are one
-document, of which the third stage keeps one row; rows without an id have
-nothing to be compared by there and stay.
+last return the columns of ``docs``. The second stage takes rows that share a
+``doc_id`` for one document. The third and the fourth judge rows by id and text, so
+rows that share an id or have none are compared and searched like any other; rows
+with the same id and text are one there, of which the smallest by the other columns stays.
 """
 
 from __future__ import annotations
@@ -30,22 +31,26 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash group."""
-    groups = simhash.near_duplicates(docs.where("doc_id is not null"), width=3, budget=2)
-    first = materialise(groups.where("id = component_id").groupBy("id").agg(F.count("*").alias("rows")), "kept-ids")
+    """Of each SimHash group the row with the smallest id (NULL comes last), then digest of its text."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    keyed = docs.select(key.alias("key"), *[F.col(f"`{c}`") for c in docs.columns])
+    groups = simhash.near_duplicates(keyed.select("key", "text"), id_col="key", width=3, budget=2)
+    first = materialise(groups.where("id = component_id").groupBy("id").agg(F.count("*").alias("rows")), "kept-rows")
     # One plan at every size: ids grow with the corpus, so they are never broadcast.
-    kept = docs.join(first.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
+    kept = keyed.join(first.select(F.col("id").alias("key")).hint("shuffle_hash"), "key", "left_semi")
     if not first.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id is null")).select(docs.columns)
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        kept = kept.groupBy("key").agg(F.min(whole).alias("row")).select("row.*")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage. A document that has one goes whole:
-    what surrounds a passage tends to give its answer."""
-    hits = decontaminate.contaminated(docs.where("doc_id is not null"), table(spark, sf_dir, "benchmark"))
+    """Documents without a benchmark passage, whatever their ids. A document that has one
+    goes whole: what surrounds a passage tends to give its answer."""
+    key = F.xxhash64("doc_id", "text")
+    hits = decontaminate.contaminated(docs.select(key.alias("key"), "text"), table(spark, sf_dir, "benchmark"), id_col="key")
     hits = materialise(hits.select("doc_id").distinct(), "contaminated")
-    return docs.join(hits, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(hits.select(F.col("doc_id").alias("key")), key == F.col("key"), "left_anti").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """The pipeline against a plain version of each stage on small tables."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -62,19 +63,19 @@ def test_matches_plain_stages(spark, tmp_path, monkeypatch):
             good.append(x[:2])
     assert not any(k is not None and k < 160 and k % 5 == 0 for k, _ in good) and sum(k is not None and k < 160 for k, _ in good) > 115
     lines = [(k, text) for k, _, _, text in plain_lines(good)]
-    own = [(k, t) for k, t in lines if k is not None]
-    fps = {plain_fingerprint(t) for _, t in own}
+    fps = {plain_fingerprint(t) for _, t in lines}
     label = plain_components(fps, 2)
+    rank = lambda x: (x[0] is None, x[0] or 0, hashlib.md5((x[1] or "").encode()).hexdigest())
     first = {}
-    for k, t in own:
-        c = label[plain_fingerprint(t)]
-        first[c] = min(k, first.get(c, 1 << 60))
-    apart = list(dict.fromkeys((k, t) for k, t in own if k in first.values())) + [x for x in lines if x[0] is None]
+    for x in lines:
+        c = label[plain_fingerprint(x[1])]
+        first[c] = min(x, first.get(c, x), key=rank)
+    apart = list(first.values())
     clean = []
     for k, t in apart:
         norm = decontaminate.normal(t)
         hit = any(fewest_edits(decontaminate.normal(i), norm) <= int(len(decontaminate.normal(i)) * decontaminate.RATE) for _, i in items)
-        if k is None or not hit:
+        if not hit:
             clean.append((k, t))
     assert len(good) > len({k for k, _ in apart}) > len({k for k, _ in clean}) > 50
     encode = packing.encoder(tokenizer_files()["tokenizer"], None)
@@ -97,3 +98,17 @@ def test_stages_take_empty_tables_and_keep_columns(spark, tmp_path, name, stage)
     out = stage(spark, docs, folder)
     assert out.count() == 0
     assert name == "packing" or out.columns == docs.columns
+
+
+def test_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    """Copies go and passages are found whatever the ids; of each group the smallest id stays."""
+    r = random.Random(2)
+    a, b, c, item = (" ".join(r.choice("abcdefghijklmnop") * 3 + str(r.randint(0, 99)) for _ in range(60)) for _ in range(4))
+    rows = [(1, a, "x", "s", 1), (5, a, "x", "s", 1), (5, b, "x", "s", 1), (5, b, "x", "r", 1), (None, b, None, None, None), (None, c, "x", "s", 1),
+            (None, f"before {item} after", "x", "s", 1), (7, f"more {item}", "x", "s", 2)]
+    folder = write(spark, tmp_path, rows, [], [(1, item)])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    apart = corpus_pipeline.drop_near_copies(spark, docs, folder)
+    assert sorted((tuple(x) for x in apart.collect() if x["text"] in (a, b, c)), key=str) == sorted([rows[0], rows[3], rows[5]], key=str)
+    left = corpus_pipeline.drop_benchmark(spark, docs, folder)
+    assert sorted((tuple(x) for x in left.collect()), key=str) == sorted(rows[:6], key=str)
