@@ -9,6 +9,7 @@ and category counts are spread over the cluster before the winner is taken.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import sqrt
 from typing import Sequence
 
@@ -286,67 +287,99 @@ def _null_if_absent(batch) -> np.ndarray:
     return np.where(np.isfinite(x), x, np.nan)
 
 
+#: Columns of a block, and bytes of the sums of pairs of blocks that a task holds in one scan.
+CORR_BLOCK, CORR_BYTES = 256, 256 << 20
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of all pairs over their pairwise-complete rows.
 
     Long form (idx_a, idx_b, var_a, var_b, corr, n), both triangles and the
-    diagonal. One scan, whatever the number of columns: each task adds up the
-    products of its batches, of values shifted by a constant of each column, and
-    sends matrices of columns by columns. A pair with a constant side has no
-    correlation: NULL. Values that are not finite are absent.
+    diagonal. A pair with a constant side has no correlation: NULL. Values that are
+    not finite are absent. One scan for as many pairs of blocks of columns as a task can
+    hold sums of: a task adds up the products of its batches, of values shifted by a
+    constant of each column; each pair of blocks is added up across the cluster, and
+    finished, by itself.
     """
     names = correlation_columns(df, columns)
-    spark, p = df.sparkSession, len(names)
     values = df.select(*[C.col(c).try_cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    p = len(names)
     near = values.limit(1000).agg(*[F.avg(f"c{i}") for i in range(p)]).first()   # any constant does
     shift = np.array([0.0 if v is None or not np.isfinite(v) else v for v in near])
+    cuts = [(a, min(a + CORR_BLOCK, p)) for a in range(0, p, CORR_BLOCK)]
+    pairs = [(i, j) for i in range(len(cuts)) for j in range(i, len(cuts))]
+    at_once = max(1, CORR_BYTES // (80 * min(CORR_BLOCK, p) ** 2))
+    found = []
+    for k in range(0, len(pairs), at_once):
+        found.append(_pair_sums(values, pairs[k:k + at_once], cuts, shift, names))
+    return reduce(DataFrame.union, found)
+
+
+def _pair_sums(values: DataFrame, pairs: list[tuple[int, int]], cuts: list[tuple[int, int]], shift: np.ndarray, names: list[str]) -> DataFrame:
+    used = sorted({i for pair in pairs for i in pair})
+    own = [c for i in used for c in range(*cuts[i])]
+    place = {i: slice(own.index(cuts[i][0]), own.index(cuts[i][0]) + cuts[i][1] - cuts[i][0]) for i in used}
+    moved = shift[own]
+
+    def ranges(x, mask, other):
+        """Least and largest of each column over the rows where each column of ``other`` is
+        there: once for each set of rows, as most columns have the same ones."""
+        if mask.all() and other.all():
+            return tuple(np.repeat(f(axis=0, initial=w)[:, None], other.shape[1], axis=1) for f, w in ((x.min, np.inf), (x.max, -np.inf)))
+        rows, which = np.unique(other, axis=1, return_inverse=True)
+        low, high = np.full((x.shape[1], other.shape[1]), np.inf), np.full((x.shape[1], other.shape[1]), -np.inf)
+        for k in range(rows.shape[1]):
+            both, to = mask & rows[:, k:k + 1], which.ravel() == k
+            low[:, to] = np.where(both, x, np.inf).min(axis=0, initial=np.inf)[:, None]
+            high[:, to] = np.where(both, x, -np.inf).max(axis=0, initial=-np.inf)[:, None]
+        return low, high
 
     def partials(batches):
-        sums = np.zeros((4, p, p))
-        least, most = np.full((p, p), np.inf), np.full((p, p), -np.inf)
+        sums, least, most = {}, {}, {}
         for batch in batches:
-            x = _null_if_absent(batch) - shift
+            x = _null_if_absent(batch) - moved
             mask = ~np.isnan(x)
             x, m = np.where(mask, x, 0.0), mask.astype(np.float64)
-            sums += np.stack([x.T @ x, (x * x).T @ m, x.T @ m, m.T @ m])
-            # Range of each column over the rows where another is there: once for
-            # each set of rows, as most columns have the same ones.
-            rows, which = np.unique(mask, axis=1, return_inverse=True)
-            for k in range(rows.shape[1]):
-                own, to = mask & rows[:, k:k + 1], which == k
-                low = np.where(own, x, np.inf).min(axis=0, initial=np.inf)
-                high = np.where(own, x, -np.inf).max(axis=0, initial=-np.inf)
-                least[:, to] = np.minimum(least[:, to], low[:, None])
-                most[:, to] = np.maximum(most[:, to], high[:, None])
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([sums.tobytes()]), pa.array([least.tobytes()]), pa.array([most.tobytes()])],
-                                         names=["lot", "sums", "least", "most"])
+            for k, (i, j) in enumerate(pairs):
+                a, b = place[i], place[j]
+                u, v, mu, mv = x[:, a], x[:, b], m[:, a], m[:, b]
+                part = np.stack([u.T @ v, (u * u).T @ mv, mu.T @ (v * v), u.T @ mv, mu.T @ v, mu.T @ mv])
+                low, high = ranges(u, mask[:, a], mask[:, b])
+                low2, high2 = ranges(v, mask[:, b], mask[:, a])
+                low, high = np.stack([low, low2.T]), np.stack([high, high2.T])
+                sums[k] = sums[k] + part if k in sums else part
+                least[k] = np.minimum(least[k], low) if k in least else low
+                most[k] = np.maximum(most[k], high) if k in most else high
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), *(pa.array([np.ascontiguousarray(x[k]).tobytes() for k in sums], pa.binary()) for x in (sums, least, most))],
+            names=["pair", "sums", "least", "most"])
 
     def add_up(frame):
         arrays = {c: [np.frombuffer(v) for v in frame[c]] for c in ("sums", "least", "most")}
-        return pd.DataFrame({"lot": [0], "sums": [sum(arrays["sums"]).tobytes()],
+        return pd.DataFrame({"pair": frame["pair"].iloc[:1], "sums": [sum(arrays["sums"]).tobytes()],
                              "least": [np.minimum.reduce(arrays["least"]).tobytes()], "most": [np.maximum.reduce(arrays["most"]).tobytes()]})
 
     def finish(frame):
         one = add_up(frame).iloc[0]
-        cross, square, total, n = np.frombuffer(one["sums"]).reshape(4, p, p)
-        varies = (np.frombuffer(one["least"]) < np.frombuffer(one["most"])).reshape(p, p)
+        i, j = pairs[int(one["pair"])]
+        (a0, a1), (b0, b1) = cuts[i], cuts[j]
+        shape = a1 - a0, b1 - b0
+        cross, uu, vv, u, v, n = np.frombuffer(one["sums"]).reshape(6, *shape)
+        varies = (np.frombuffer(one["least"]) < np.frombuffer(one["most"])).reshape(2, *shape).all(axis=0)
         with np.errstate(divide="ignore", invalid="ignore"):
-            cov = cross - total * total.T / n
-            var = square - total * total / n
-            corr = np.clip(cov / np.sqrt(var * var.T), -1, 1)
-        corr[np.arange(p), np.arange(p)] = 1.0
-        known = varies & varies.T & (n > 0)
-        a, b = (x.ravel() for x in np.indices((p, p)))
-        yield pd.DataFrame({"idx_a": a, "idx_b": b, "var_a": [names[i] for i in a], "var_b": [names[i] for i in b],
-                            "corr": [float(c) if k else None for c, k in zip(corr.ravel(), known.ravel())],
-                            "n": n.ravel().astype(np.int64)})
-
-    schema = "lot int, sums binary, least binary, most binary"
-    some = (values.mapInArrow(partials, schema)
+            corr = np.clip((cross - u * v / n) / np.sqrt((uu - u * u / n) * (vv - v * v / n)), -1, 1)
+        a, b = (x.ravel() for x in np.meshgrid(np.arange(a0, a1), np.arange(b0, b1), indexing="ij"))
+        corr, n, known = np.where(a == b, 1.0, corr.ravel()), n.ravel().astype(np.int64), (varies & (n > 0)).ravel()
+        if i != j:      # the other triangle, too
+            a, b, corr, n, known = np.r_[a, b], np.r_[b, a], np.r_[corr, corr], np.r_[n, n], np.r_[known, known]
+        return pd.DataFrame({"idx_a": a, "idx_b": b, "var_a": [names[k] for k in a], "var_b": [names[k] for k in b],
+                             "corr": [float(c) if k else None for c, k in zip(corr, known)], "n": n})
+
+    schema = "pair int, sums binary, least binary, most binary"
+    some = (values.select(*[f"c{c}" for c in own]).mapInArrow(partials, schema)
             .withColumn("lot", F.pmod(F.monotonically_increasing_id(), F.lit(16)).cast("int"))
-            .groupBy("lot").applyInPandas(add_up, schema))
-    return some.groupBy("lot").applyInPandas(
-        lambda f: next(finish(f)), "idx_a int, idx_b int, var_a string, var_b string, corr double, n long")
+            .groupBy("pair", "lot").applyInPandas(add_up, schema))
+    return some.groupBy("pair").applyInPandas(finish, "idx_a int, idx_b int, var_a string, var_b string, corr double, n long")
 
 
 def lower_triangle(matrix: DataFrame, digits: int = 2) -> DataFrame:

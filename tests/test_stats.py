@@ -72,7 +72,11 @@ def test_mode_takes_smallest_on_ties(spark):
     assert got == {"k": ("a", 2), "only": ("x", 1)}
 
 
-def test_correlation_matches_pandas(spark):
+@pytest.mark.parametrize("block, held", [(256, 1 << 28), (2, 1 << 28), (1, 1)])
+def test_correlation_matches_pandas(spark, monkeypatch, block, held):
+    """By blocks of columns, in one scan or several."""
+    monkeypatch.setattr(stats, "CORR_BLOCK", block)
+    monkeypatch.setattr(stats, "CORR_BYTES", held)
     rng = np.random.default_rng(0)
     a = rng.normal(size=200)
     cols = {"a": list(a), "b": list(a * 2 + rng.normal(size=200)), "c": list(rng.normal(size=200)),
@@ -127,6 +131,16 @@ def test_correlation_is_one_scan_for_any_number_of_columns(spark):
     assert got[2, 3] == (pytest.approx(np.corrcoef(x[own, 2], x[own, 3])[0, 1]), own.sum())
 
 
+def test_correlation_of_odd_values(spark):
+    """Values that are not finite, pairs constant over their rows, columns and tables without any."""
+    rows = [(1.0, float("nan"), 0.1, None), (2.0, 5.0, 0.1, None), (4.0, float("inf"), 0.1, None), (3.0, 5.0, 0.1, None), (None, 7.0, 0.1, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    got = {(r["var_a"], r["var_b"]): (r["corr"], r["n"]) for r in stats.correlation_matrix(df).collect()}
+    assert got["a", "a"] == (1.0, 4) and got["a", "b"] == (None, 2) and got["b", "b"] == (1.0, 3) and got["a", "c"] == (None, 4)
+    assert got["c", "c"] == (None, 5) and got["d", "d"] == (None, 0) and got["b", "d"] == got["d", "a"] == (None, 0) and len(got) == 16
+    assert all(r["corr"] is None and r["n"] == 0 for r in stats.correlation_matrix(df.limit(0)).collect())
+
+
 def test_text_cells_do_not_stop_a_statistic(spark):
     df = spark.createDataFrame([("1,5", 1.0), ("2", 2.0), ("4", 3.0)], "a string, b double")
     assert stats.exact_medians(df, ["a"])["a"] == 3.0
