@@ -14,8 +14,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import keyword_only
+from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasPredictionCol
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -191,6 +196,32 @@ def estimator(family: str, spread: Gram | LabelSpread | None, alpha: float = 0.0
     raise ValueError(f"not a linear family: {family}")
 
 
+class LinearModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    """A model of given coefficients: what :func:`solve` finds needs no second fit.
+    It is stored as its parameters; loading needs this package."""
+
+    coefficients = Param(Params._dummy(), "coefficients", "one for each slot", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "what is added", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, coefficients=None, intercept=0.0, featuresCol="features", predictionCol="prediction"):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def setPredictionCol(self, value: str) -> "LinearModel":
+        return self._set(predictionCol=value)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        terms = F.zip_with(vector_to_array(F.col(self.getFeaturesCol())), F.lit(self.getOrDefault(self.coefficients)), lambda x, w: x * w)
+        return df.withColumn(self.getPredictionCol(), F.aggregate(terms, F.lit(float(self.getOrDefault(self.intercept))), lambda a, x: a + x))
+
+
+def fitted(gram: Gram, family: str, alpha: float = 0.0, features: str = "features", prediction: str = "prediction") -> LinearModel:
+    """The model of all rows that went into a Gram matrix, without reading them again."""
+    w, intercept = solve(gram, family, alpha)
+    return LinearModel(coefficients=[float(x) for x in w], intercept=intercept, featuresCol=features, predictionCol=prediction)
+
+
 @dataclass
 class LabelSpread:
     """What the ridge penalty is scaled by, where there is no Gram matrix."""

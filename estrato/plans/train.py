@@ -60,9 +60,10 @@ def search_models(train: DataFrame, families: Sequence[str] = config.FAMILIES,
     training score.
 
     ``train`` has ``features``, ``label`` and ``fold`` and should be a written
-    table. The linear families share one scan for all folds and settings, or,
-    beyond ``linear.MAX_SLOTS`` slots, are fitted by iterations; the training
-    scores of all winners come from one more scan.
+    table. The linear families share one scan for all folds and settings and the
+    final models, or, beyond ``linear.MAX_SLOTS`` slots, are fitted by iterations;
+    so do all settings of the support vectors share theirs. The training scores of
+    all winners come from one more scan.
     """
     grids = config.PARAM_GRIDS if grids is None else grids
     spark = train.sparkSession
@@ -85,10 +86,10 @@ def search_models(train: DataFrame, families: Sequence[str] = config.FAMILIES,
     for family in sorted(families, key=select.family_order):
         best, cv_mse = points[family][chosen[family]["grid_idx"]], chosen[family]["cv_mse"]
         column = f"prediction_{family}"
-        if family in LINEAR:
-            learner = linear.estimator(family, total, best.get("alpha", 0.0), prediction=column,
-                                       solver="l-bfgs" if wide else "normal")
-            model = learner.fit(train)
+        if family in LINEAR and wide:
+            model = linear.estimator(family, total, best.get("alpha", 0.0), prediction=column, solver="l-bfgs").fit(train)
+        elif family in LINEAR:
+            model = linear.fitted(total, family, best.get("alpha", 0.0), prediction=column)
         elif family == "SVR":  # the folds' weights lie around those of all rows
             own = [r["weights"] for r in result.cv if r["family"] == family and r["params"] == best]
             model = svr.fit(train, best, prediction=column, start=sum(own) / len(own), seed=seed)

@@ -115,3 +115,18 @@ def test_iterations_agree_with_the_matrices(data):
 def test_lasso_says_when_it_did_not_converge():
     with pytest.warns(UserWarning, match="not converged"):
         linear._lasso(np.array([[1.0, 0.99], [0.99, 1.0]]), np.array([1.0, 0.5]), 0.01, rounds=2)
+
+
+@pytest.mark.parametrize("family,alpha", [("Linear", 0.0), ("Ridge", 1.0), ("Lasso", 0.1)])
+def test_model_from_the_matrix(data, tmp_path, family, alpha):
+    """The final model has the solver's coefficients, predicts with them, and comes back from storage."""
+    from pyspark.ml import PipelineModel
+    x, _, _, df = data
+    gram = linear.total_gram(linear.grams_by_fold(df))
+    w, b = linear.solve(gram, family, alpha)
+    model = linear.fitted(gram, family, alpha, prediction="p")
+    model.setPredictionCol("q")
+    PipelineModel([model]).write().save(f"file:{tmp_path}/model")
+    rows = PipelineModel.load(f"file:{tmp_path}/model").transform(df).select("a", "b", "c", "d", "q").collect()
+    assert np.allclose([r["q"] for r in rows], np.array([r[:4] for r in rows]) @ w + b, rtol=0, atol=1e-8)
+    assert np.allclose(model.getOrDefault("coefficients"), w, atol=1e-12)
