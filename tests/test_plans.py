@@ -79,7 +79,7 @@ def test_search_and_evaluation(spark, trained):
     assert list(board) == list(config.FAMILIES)
     assert all(r["train_r2"] > 0.3 for f, r in board.items() if f != "GradientBoosting")
     assert board["Linear"]["cv_mse"] is not None and board["Linear"]["train_r2"] > 0.98
-    assert done.search.cv_frame(spark).count() == 5 * (2 + 1 + 1 + 2 + 2)
+    assert done.search.cv_frame(spark).count() == 5 * (2 + 1 + 1 + 2 + 2 + 1)
     assert board["RandomForest"]["depth"] in (3, 6) and board["Linear"]["depth"] is None
     top = max(r["train_r2"] for r in board.values())
     assert board[done.best.family]["train_r2"] == top
