@@ -29,7 +29,7 @@ HEADLINE = (
     "impute_median", "impute_mode", "standardize", "one_hot", "feature_vector",
     "train_test_split", "split_composite_key", "kfold_assign",
     "regression_metrics_by", "residuals", "model_leaderboard",
-    "fit_ridge", "grid_search_linear", "score_batch",
+    "fit_ridge", "fit_svr", "grid_search_linear", "score_batch",
     "parse_requests", "profile_grid", "profile_chain", "profile_export", "csv_roundtrip",
     "fit_random_forest", "fit_gbt", "grid_search_trees", "train_target",
 )
