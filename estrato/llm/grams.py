@@ -1,7 +1,6 @@
 """A probabilistic suffix tree over words that grows with the corpus, as tables.
 
-The model is that of :mod:`estrato.llm.suffixtree` without its shares: every run
-of up to ``depth + 1`` words seen ``min_count`` times in the training texts is
+Every run of up to ``depth + 1`` words seen ``min_count`` times in the training texts is
 kept, at any size of input. Its words but the last are a context, its words but
 the first the run that a shorter context predicts from. A context becomes a state
 when its distribution diverges from that of its longest shorter state; the rest
@@ -23,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from estrato.llm import textbytes
-from estrato.llm.suffixtree import ALPHA, END, tokens
 from estrato.session import discard, materialise
 
+#: Stands for the end of a text; ``ALPHA`` is added to the count of every word.
+END = np.int64(0x5EED0FE11D0C5EED)
+ALPHA = 0.1
 #: The context before the first word of a text.
 START = np.int64(0x57A27B1E55ED0CA7)
 #: Runs of a block, and bytes of all texts a shard.
@@ -34,6 +35,16 @@ BLOCK, SHARD_BYTES = 1 << 22, 2 << 20
 ASK_BYTES = 4 << 20
 
 
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row): lower-cased words and an end for each text."""
+    rows = len(offsets) - 1
+    small = textbytes.lower(data)
+    starts, ends, row = textbytes.words(small, offsets)
+    h = np.full(len(starts) + rows, END, dtype=np.int64)
+    h[np.arange(len(starts)) + row] = textbytes.Rolling(small).spans(starts, ends)
+    return h, np.repeat(np.arange(rows), np.bincount(row, minlength=rows) + 1)
+
+
 def joined(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """The key of the run that has this context and this suffix."""
     a = textbytes.mix(context.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))

@@ -1,11 +1,82 @@
 """The suffix tree of the whole corpus against plain counts."""
 
+import math
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from estrato.llm import grams, textbytes
-from tests.llm.test_suffixtree import plain
+
+
+def words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())) + ["<end>"]
+
+
+def plain(rows, depth, p_min, eps, divergence):
+    """(learn, text) to (n_tokens, n_known, N, base, score), by dictionaries."""
+    counts, n = {}, 0
+    for learn, text in rows:
+        if learn:
+            for w in words(text):
+                counts[w] = counts.get(w, 0) + 1
+                n += 1
+    v = len(counts)
+
+    def root(w):
+        return (counts.get(w, 0) + 0.1) / (n + 0.1 * (v + 1))
+
+    kept = {w for w, c in counts.items() if c >= max(2, eps * n)}
+    levels = []
+    contexts = {(w,): c for w, c in counts.items() if c >= max(2, p_min * n)}
+
+    def prob(w, ctx, k):
+        """After the longest state of at most k words."""
+        for j in range(min(k, len(ctx)), 0, -1):
+            own = ctx[len(ctx) - j:]
+            if own in levels[j - 1] and levels[j - 1][own]["state"]:
+                s = levels[j - 1][own]
+                below = prob(w, ctx, j - 1)
+                if w in s["next"]:
+                    return (s["next"][w] + s["rest"] * below) / s["whole"]
+                return s["rest"] / s["whole"] * below
+        return root(w)
+
+    for k in range(1, depth + 1):
+        pairs = {}
+        for learn, text in rows:
+            if learn:
+                seq = ["<end>", *words(text)]
+                for i in range(1, len(seq)):
+                    ctx = tuple(seq[max(0, i - k):i])
+                    if len(ctx) == k and ctx in contexts and seq[i] in kept:
+                        pairs[ctx, seq[i]] = pairs.get((ctx, seq[i]), 0) + 1
+        level = {c: {"next": {}, "total": t} for c, t in contexts.items()}
+        for (c, w), m in pairs.items():
+            if m >= max(2, eps * n):
+                level[c]["next"][w] = m
+        for c, s in level.items():
+            explicit = sum(s["next"].values())
+            left = max(s["total"] - explicit, 0)
+            s["rest"], s["whole"] = left + len(s["next"]), explicit + left + len(s["next"])
+            far, covered = 0.0, 0.0
+            for w, m in s["next"].items():
+                q, p = m / (explicit + left), prob(w, c, k - 1)
+                far += q * math.log(q / p)
+                covered += p
+            if left:
+                q = left / (explicit + left)
+                far += q * math.log(q / max(1 - covered, 1e-12))
+            s["state"] = bool(s["next"]) and far >= divergence
+        levels.append(level)
+        contexts = {(*c, w): m for c, s in level.items() for w, m in s["next"].items() if m >= max(2, p_min * n)}
+    out = []
+    for learn, text in rows:
+        seq = ["<end>", *words(text)]
+        score = sum(math.log10(prob(seq[i], tuple(seq[max(0, i - depth):i]), depth)) for i in range(1, len(seq)))
+        out.append((len(seq) - 1, sum(w in counts for w in seq[1:]), n, sum(math.log10(root(w)) for w in seq[1:]), score))
+    return out
 
 
 @pytest.mark.parametrize("depth", [1, 3])
