@@ -1,25 +1,34 @@
-"""A probabilistic suffix tree over words that grows with the corpus, as tables.
-
-Every run of up to ``depth + 1`` words seen ``min_count`` times in the training texts is
-kept, at any size of input. Its words but the last are a context, its words but
-the first the run that a shorter context predicts from. A context becomes a state
-when its distribution diverges from that of its longest shorter state; the rest
-of its mass goes there (Witten-Bell), down to the words of the whole vocabulary.
-
-No part of the model is collected or broadcast. Runs are 64-bit keys; blocks of
-texts send theirs to shards by key, as arrays, where they are counted. Levels are
-tables joined on the keys. The log probability of a token is a sum over levels of
-what each context changes, so a text's score is a sum over its runs. Blocks of texts
-ask the shards for each of their distinct runs once, however often it occurs in them,
-and apply the answers to their own tokens.
+"""A probabilistic suffix tree over words that grows with the corpus, dealt by context.
+
+Every run of up to ``depth + 1`` words seen ``min_count`` times in the training texts
+counts, at any size of input. A context becomes a state when its distribution
+diverges from that of its longest shorter state; the rest of its mass goes there
+(Witten-Bell), down to the words of the whole vocabulary.
+
+A context and all longer ones that end in it hang on one branch of the tree. Words get
+numbers by falling frequency, so a number tells the word's count. Each block of
+texts sends its distinct windows (a word and the ``depth`` words before it), as packed
+numbers, to the shard of the word before; the shard grows that branch and answers
+each window with its probability. A branch is thus learned and asked where it is, and
+no table of runs is written, joined, collected or broadcast.
+
+Contexts seen over ``split_rows`` times are hot: their branches are cut at them. One
+exchange a level counts their next words, added up per block first and dealt by
+context and next word; windows carry these counts on to the shards of the longer
+contexts, to which a hot context's windows are dealt. Its five sums go to every task:
+at most ``HOT`` contexts a level are hot, as ``split_rows`` grows with the corpus beyond.
 """
 
 from __future__ import annotations
 
+import zlib
+from dataclasses import dataclass, field
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from estrato.llm import textbytes
 from estrato.session import discard, materialise
@@ -27,12 +36,10 @@ from estrato.session import discard, materialise
 #: Stands for the end of a text; ``ALPHA`` is added to the count of every word.
 END = np.int64(0x5EED0FE11D0C5EED)
 ALPHA = 0.1
-#: The context before the first word of a text.
-START = np.int64(0x57A27B1E55ED0CA7)
-#: Runs of a block, and bytes of all texts a shard.
-BLOCK, SHARD_BYTES = 1 << 22, 2 << 20
-#: Bytes of the texts that ask together, for each of their distinct runs once.
-ASK_BYTES = 4 << 20
+#: Bytes of all texts a shard, and of the texts of a block.
+SHARD_BYTES, ASK_BYTES = 2 << 20, 8 << 20
+#: Windows of a context that one shard takes, and contexts of a length that may have more.
+SPLIT_ROWS, HOT = 1 << 20, 1 << 20
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,27 +52,57 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return h, np.repeat(np.arange(rows), np.bincount(row, minlength=rows) + 1)
 
 
-def joined(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-    """The key of the run that has this context and this suffix."""
-    a = textbytes.mix(context.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    return textbytes.mix(a + suffix.view(np.uint64)).view(np.int64)
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of numbers from 0, each byte place by itself, so that equal places compress."""
+    widths = [(int(c.max()).bit_length() + 7) // 8 if len(c) else 0 for c in columns]
+    planes = [np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, 8)[:, :w].T.tobytes() for c, w in zip(columns, widths)]
+    return zlib.compress(np.int64(len(columns[0])).tobytes() + bytes([len(columns), *widths]) + b"".join(planes), 1)
+
+
+def unpack(blob: bytes) -> list[np.ndarray]:
+    raw = zlib.decompress(blob)
+    n, many = int(np.frombuffer(raw, "<i8", 1)[0]), raw[8]
+    out, at = [], 9 + many
+    for width in raw[9:at]:
+        column = np.zeros((n, 8), np.uint8)
+        column[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+        out.append(column.view("<i8").ravel())
+        at += n * width
+    return out
+
+
+def pack_doubles(x: np.ndarray) -> tuple[bytes, bytes]:
+    values, which = np.unique(x, return_inverse=True)
+    return pack(which), zlib.compress(values.astype("<f8").tobytes(), 1)
+
+
+def unpack_doubles(which: bytes, values: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(values), "<f8")[unpack(which)[0]]
+
 
+def dense(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, which): where each distinct row of the columns stands, in their order, and which one each row is."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        c = c[order]
+        new[1:] |= c[1:] != c[:-1]
+    which = np.empty(len(order), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
 
-def runs(h: np.ndarray, row: np.ndarray, depth: int):
-    """For each length (at, context, suffix, key): the runs that end at tokens ``at``.
-    Runs of one word have themselves as suffix."""
-    begin = np.r_[True, row[1:] != row[:-1]] if len(row) else np.zeros(0, dtype=bool)
-    at, key = np.arange(len(h)), h
-    yield at, np.zeros(len(h), dtype=np.int64), h, h
-    for length in range(2, depth + 2):
-        whole, ok = np.zeros(len(h), dtype=np.int64), np.zeros(len(h), dtype=bool)
-        whole[at], ok[at] = key, True
-        before, there = np.r_[START, whole[:-1]][:len(h)], np.r_[False, ok[:-1]][:len(h)]
-        before[begin], there[begin] = START, length == 2
-        at = np.flatnonzero(there & ok)
-        context, suffix = before[at], whole[at]
-        key = joined(context, suffix)
-        yield at, context, suffix, key
+
+def folded(h: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The hash of what ``h`` stands for with one more number."""
+    return textbytes.mix(textbytes.mix(h + np.uint64(0x9E3779B97F4A7C15)) + column.astype(np.uint64))
+
+
+def folds(columns: list[np.ndarray]) -> list[np.ndarray]:
+    out = [np.zeros(len(columns[0]), dtype=np.uint64)]
+    for c in columns:
+        out.append(folded(out[-1], c))
+    return out[1:]
 
 
 def by_shard(key: np.ndarray, shards: int):
@@ -76,97 +113,272 @@ def by_shard(key: np.ndarray, shards: int):
     return order, own, np.r_[first, len(key)]
 
 
-def read(blobs, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), dtype=kind)
-
-
-def count(docs: DataFrame, depth: int, min_count: int, shards: int) -> DataFrame:
-    """(length, key, context, suffix, n) of the runs of the training texts: all
-    words, and longer ones seen ``min_count`` times."""
+@dataclass
+class Model:
+    """What every task knows: the counts of words by their numbers, one entry for each
+    distinct count (fewer than the root of twice the tokens), and the sums of hot contexts."""
+
+    n: int
+    words: int
+    texts: int
+    firsts: np.ndarray
+    counts: np.ndarray
+    depth: int
+    min_count: int
+    divergence: float
+    split: int
+    hot: list[pd.DataFrame] = field(default_factory=list)
+
+    @property
+    def start(self) -> int:
+        """The number of what stands before a text; unknown words have the one below, nothing at all the one above."""
+        return self.words + 1
+
+    def count(self, number: np.ndarray) -> np.ndarray:
+        if not self.words:
+            return np.zeros(len(number), dtype=np.int64)
+        found = self.counts[np.searchsorted(self.firsts, number, side="right") - 1]
+        return np.where(number < self.words, found, 0)
+
+    def chance(self, number: np.ndarray) -> np.ndarray:
+        return (self.count(number) + ALPHA) / (self.n + ALPHA * (self.words + 1))
+
+    def chances(self, before: list[np.ndarray], word: np.ndarray, times: np.ndarray, carried: list[np.ndarray]) -> np.ndarray:
+        """The probability of each window's word. The windows of a context that is not
+        hot are all here; ``carried`` has for each length how often a hot one's goes on so."""
+        p, context = self.chance(word), np.zeros(len(word), dtype=np.int64)
+        for k, (own, key) in enumerate(zip(before, folds(before) if before else [])):
+            first_of, context = dense(context, own)
+            m = len(first_of)
+            first, which = dense(context, word)
+            count = np.bincount(which, times, len(first))
+            kept = count >= self.min_count
+            of, some, parent = context[first][kept], count[kept], p[first][kept]
+            total = np.bincount(context, times, m)
+            held, types, covered, far = (np.bincount(of, x, m) for x in (some, np.ones(len(of)), parent, some * np.log(some / parent)))
+            count = count[which]
+            if k < len(self.hot) and len(self.hot[k]):
+                known = self.hot[k]
+                keys = known["key"].to_numpy()
+                at = np.minimum(np.searchsorted(keys, key[first_of].view(np.int64)), len(keys) - 1)
+                met = keys[at] == key[first_of].view(np.int64)
+                for name, x in (("total", total), ("held", held), ("types", types), ("covered", covered), ("far", far)):
+                    x[met] = known[name].to_numpy()[at[met]]
+                count = np.where(met[context], carried[k], count)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                left = (total - held) / total
+                apart = (far - held * np.log(total)) / total
+                apart += np.where(left > 0, left * np.log(left / np.maximum(1 - covered, 1e-12)), 0)
+                back, mass = total - held + types, total + types
+                state = (types > 0) & (apart >= self.divergence) & (own[first_of] <= self.start)
+                p = np.where(state[context], (np.where(count >= self.min_count, count, 0) + back[context] * p) / mass[context], p)
+        return p
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """(block, words, seen, codes, doc_id, learn, n): a block's distinct words, how often its
+    training texts hold each, and its texts as numbers of these words."""
+    def run(batches):
+        block = TaskContext.get().partitionId() << 32
+        for part, data, offsets in textbytes.slices(batches, "text", ASK_BYTES):
+            learn = part.column(part.schema.names.index("learn"))
+            found, rows = [], 0
+            for some, own, at in textbytes.slices([part]):
+                h, row = tokens(own, at)
+                found.append((h, row + rows))
+                rows += some.num_rows
+            h, row = (np.concatenate(x) for x in zip(*found))
+            words, codes = np.unique(h, return_inverse=True)
+            seen = np.bincount(codes, learn.to_numpy(zero_copy_only=False)[row], len(words)).astype(np.int64)
+            order = np.argsort(-np.bincount(codes), kind="stable")
+            place = np.empty(len(words), dtype=np.int64)
+            place[order] = np.arange(len(words))
+            texts = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), x) for x in
+                     (part.column(part.schema.names.index("doc_id")), learn, pa.array(np.bincount(row, minlength=rows)))]
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([words[order].tobytes()]), pa.array([pack(seen[order])]),
+                                              pa.array([pack(place[codes])]), *texts],
+                                             names=["block", "words", "seen", "codes", "doc_id", "learn", "n"])
+            block += 1
+
+    return docs.mapInArrow(run, "block long, words binary, seen binary, codes binary, doc_id array<long>, learn array<boolean>, n array<long>")
+
+
+NUMBERED = "block long, numbers binary, doc_id array<long>, learn array<boolean>, n array<long>, carried array<binary>"
+
+
+def numbered(held: DataFrame, shards: int, **settings) -> tuple[DataFrame, Model]:
+    """The blocks with words as numbers by falling count in the training texts, and the model so far."""
     def send(batches):
-        held, waiting = [[] for _ in range(depth + 1)], 0
-
-        def out():
-            for length, parts in enumerate(held, 1):
-                if parts:
-                    context, suffix, key = (np.concatenate(x) for x in zip(*parts))
-                    key, first, n = np.unique(key, return_index=True, return_counts=True)
-                    order, some, cuts = by_shard(key, shards)
-                    context, suffix, n = context[first[order]], suffix[first[order]], n[order].astype("<i4")
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(some), length)), pa.array(some),
-                         *(pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for x in (context, suffix, n))],
-                        names=["length", "shard", "context", "suffix", "n"])
-                parts.clear()
-
-        for part, data, offsets in textbytes.slices(batches):
-            h, row = tokens(data, offsets)
-            mask = part.column(part.schema.names.index("learn")).to_numpy(zero_copy_only=False)[row]
-            h, row = h[mask], row[mask]
-            for parts, (_, context, suffix, key) in zip(held, runs(h, row, depth)):
-                parts.append((context, suffix, key))
-                waiting += len(key)
-            if waiting >= BLOCK:
-                yield from out()
-                waiting = 0
-        yield from out()
+        for batch in batches:
+            for block, words, seen in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words, seen = np.frombuffer(words, "<i8"), unpack(seen)[0]
+                order, own, cuts = by_shard(words, shards)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.array(np.full(len(own), block)),
+                     *(pa.array([f(x[order[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for x, f in ((words, np.ndarray.tobytes), (seen, pack)))],
+                    names=["shard", "block", "words", "seen"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        length = int(frame["length"].iloc[0])
-        context, suffix, n = read(frame["context"], "<i8"), read(frame["suffix"], "<i8"), read(frame["n"], "<i4")
-        key = suffix if length == 1 else joined(context, suffix)
-        key, first, where = np.unique(key, return_index=True, return_inverse=True)
-        total = np.zeros(len(key), dtype=np.int64)
-        np.add.at(total, where, n)
-        ok = total >= (1 if length == 1 else min_count)
-        return pd.DataFrame({"length": length, "key": key[ok], "context": context[first[ok]], "suffix": suffix[first[ok]], "n": total[ok]})
-
-    sent = docs.select("learn", "text").mapInArrow(send, "length long, shard long, context binary, suffix binary, n binary")
-    return sent.groupBy("length", "shard").applyInPandas(add, "length long, key long, context long, suffix long, n long")
-
-
-def learned(docs: DataFrame, depth: int, min_count: int, divergence: float, shards: int) -> tuple[DataFrame, int, int]:
-    """(key, base, v), training tokens and distinct words. ``base`` is a word's log10
-    probability; ``v`` is what each run that a text holds adds to its score."""
-    spark = docs.sparkSession
-    counted = materialise(count(docs, depth, min_count, shards), "runs")
-    n, words = counted.where("length = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    texts = counted.where((F.col("length") == 1) & (F.col("key") == int(END))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    whole = n + ALPHA * (words + 1)
-    p = counted.where("length = 1").select("key", ((F.col("n") + ALPHA) / whole).alias("p"))
-    values = p.select("key", F.log10("p").alias("base"), F.lit(0.0).alias("v"))
-    begin, made = spark.createDataFrame([(int(START), int(texts))], "context long, total long"), [counted]
-    for length in range(2, depth + 2):
-        contexts = counted.where(F.col("length") == length - 1).select(F.col("key").alias("context"), F.col("n").alias("total"))
-        entries = (counted.where(F.col("length") == length).select("key", "context", "suffix", "n")
-                   .join(p.select(F.col("key").alias("suffix"), F.col("p").alias("parent")), "suffix")
-                   .join(contexts.union(begin) if length == 2 else contexts, "context").drop("suffix"))
-        entries = materialise(entries, f"entries-{length}")
-        q = F.col("n") / F.col("total")
-        facts = entries.groupBy("context").agg(
-            F.max("total").alias("total"), F.sum("n").alias("held"), F.count("*").alias("types"),
-            F.sum(q * F.log(q / F.col("parent"))).alias("apart"), F.sum("parent").alias("covered"))
-        left = (F.col("total") - F.col("held")) / F.col("total")
-        apart = F.col("apart") + F.when(left > 0, left * F.log(left / F.greatest(1 - F.col("covered"), F.lit(1e-12)))).otherwise(0.0)
-        states = facts.where(apart >= divergence).select(
-            "context", (F.col("total") - F.col("held") + F.col("types")).alias("back"), (F.col("total") + F.col("types")).alias("mass"))
-        states = materialise(states, f"states-{length}")
-        known = entries.join(states, "context", "left")
-        own = F.when(F.col("mass").isNotNull(), (F.col("n") + F.col("back") * F.col("parent")) / F.col("mass")).otherwise(F.col("parent"))
-        known = materialise(known.select("key", "parent", own.alias("p"), (F.col("back") / F.col("mass")).alias("back")), f"known-{length}")
-        discard(entries)
-        made += [states, known]
-        p = known.select("key", "p")
-        none = F.lit(None).cast("double").alias("base")
-        values = (values.union(known.where("back is not null").select("key", none, F.log10(F.col("p") / F.col("parent") / F.col("back")).alias("v")))
-                  .union(states.select(F.col("context").alias("key"), none, F.log10(F.col("back") / F.col("mass")).alias("v"))))
-    values = materialise(values.groupBy("key").agg(F.max("base").alias("base"), F.sum("v").alias("v")), "run-values")
-    discard(*made)
-    return values, n, words
+        key, which = np.unique(np.frombuffer(b"".join(frame["words"]), "<i8"), return_inverse=True)
+        n = np.bincount(which, np.concatenate([unpack(x)[0] for x in frame["seen"]]), len(key)).astype(np.int64)
+        return pd.DataFrame({"shard": frame["shard"].iloc[0], "key": key[n > 0], "n": n[n > 0]})
+
+    def look(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(["n", "key"])
+        number = own["first"].to_numpy(np.int64) + own.groupby("n").cumcount().to_numpy()
+        order = np.argsort(own["key"].to_numpy(np.int64))
+        keys, number = own["key"].to_numpy(np.int64)[order], number[order]
+        out = []
+        for blob in asked["words"]:
+            key = np.frombuffer(blob, "<i8")
+            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            out.append(pack(np.where(keys[at] == key, number[at], words) if len(keys) else np.full(len(key), words)))
+        return pd.DataFrame({"block": asked["block"], "shard": asked["shard"], "told": out})
+
+    def rename(rows: pa.Table, told: pa.Table) -> pa.Table:
+        row = rows.to_pylist()[0]
+        order, _, _ = by_shard(np.frombuffer(row["words"], "<i8"), shards)
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.concatenate([unpack(x)[0] for x in told.sort_by("shard").column("told").to_pylist()])
+        return rows.select(["block", "doc_id", "learn", "n"]).add_column(1, "numbers", pa.array([pack(number[unpack(row["codes"])[0]])])).append_column(
+            "carried", pa.array([[]], pa.list_(pa.binary())))
+
+    asks = held.select("block", "words", "seen").mapInArrow(send, "shard long, block long, words binary, seen binary")
+    counted = materialise(asks.groupBy("shard").applyInPandas(add, "shard long, key long, n long"), "words")
+    sizes = counted.groupBy("n").count().toPandas().sort_values("n", ascending=False)  # one row for each distinct count
+    n, words = int((sizes["n"] * sizes["count"]).sum()), int(sizes["count"].sum())
+    texts = counted.where(F.col("key") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    firsts = np.r_[0, sizes["count"].cumsum().to_numpy(np.int64)][:-1]
+    model = Model(n, words, texts, firsts, sizes["n"].to_numpy(np.int64), **settings)
+    # Words of one count are numbered shard by shard.
+    starts = held.sparkSession.createDataFrame(list(zip(sizes["n"].tolist(), firsts.tolist())), "n long, begin long")
+    before = Window.partitionBy("n").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    places = (counted.groupBy("shard", "n").count().withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+              .join(starts, "n").select("shard", "n", (F.col("begin") + F.col("before")).alias("first")))
+    own = counted.join(places, ["shard", "n"])
+    told = asks.groupBy("shard").cogroup(own.groupBy("shard")).applyInPandas(look, "block long, shard long, told binary")
+    out = materialise(held.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(rename, NUMBERED), "numbered")
+    discard(counted)
+    return out, model
+
+
+class Windows:
+    """The windows of one block: a word, the words before it (nearest first), counts carried along."""
+
+    def __init__(self, row: dict, model: Model):
+        self.word = unpack(row["numbers"])[0]
+        sizes = np.array(row["n"], dtype=np.int64)
+        self.row = np.repeat(np.arange(len(sizes)), sizes)
+        self.learn = np.array(row["learn"], dtype=bool)[self.row]
+        self.place = np.arange(len(self.word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.before = [np.where(self.place >= k, np.roll(self.word, k), model.start + (self.place != k - 1)) for k in range(1, model.depth + 1)]
+        self.carried = [unpack(x)[0] for x in row["carried"]]
+        self.model = model
+
+    def hot(self, levels: int) -> list[np.ndarray]:
+        """For each length whether the context is hot. How often a longer one is seen was
+        carried one place before, as its first words are a hot context, too."""
+        out, own = [], np.ones(len(self.word), dtype=bool)
+        for k, before in enumerate(self.before[:levels]):
+            if k:
+                seen = np.where(self.place > 0, np.roll(self.carried[k - 1], 1), 0)
+            else:
+                seen = np.where(before == self.model.start, self.model.texts, self.model.count(before))
+            own = own & (seen > self.model.split) & (before <= self.model.start)
+            out.append(own)
+        return out
+
+    def asked(self, level: int, shards: int):
+        """(at, which, times, order, own, cuts): the distinct windows in the order they are
+        sent. A ``level`` from 1 asks for the next words of hot contexts of that length, 0 for all."""
+        hot = self.hot(level or len(self.carried))
+        some = np.flatnonzero(hot[-1]) if level else np.arange(len(self.word))
+        before = [x[some] for x in self.before[:level or None]]
+        first, which = dense(*before, self.word[some])
+        times = np.bincount(which, self.learn[some], len(first)).astype(np.int64)
+        at = some[first]
+        before = [x[first] for x in before]
+        key, free = np.zeros(len(at), dtype=np.uint64), np.ones(len(at), dtype=bool)
+        steps = folds([*before, self.word[at]])
+        for k, h in enumerate(steps):
+            key[free] = h[free]
+            if k < len(before):
+                free = free & ((hot[k][at] if k < len(hot) else False) | (before[k] > self.model.start))
+        return (at, some, which, times, *by_shard(key.view(np.int64), shards))
+
+    def sent(self, level: int, shards: int):
+        at, _, _, times, order, own, cuts = self.asked(level, shards)
+        columns = [*(x[at] for x in self.before[:level or None]), self.word[at], times, *(x[at] for x in self.carried)]
+        columns = [x[order] for x in columns]
+        return own, [pack(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:])]
+
+
+def exchange(held: DataFrame, level: int, shards: int, model: Model) -> DataFrame:
+    """(shard, block, sent): the windows of all blocks, dealt to shards."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                own, blobs = Windows(row, model).sent(level, shards)
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), row["block"])), pa.array(blobs, pa.binary())],
+                                                     names=["shard", "block", "sent"])
+
+    return held.mapInArrow(run, "shard long, block long, sent binary")
+
+
+def together(blobs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The columns of all messages, and where each message ends but the last."""
+    parts = [unpack(x) for x in blobs]
+    return [np.concatenate(x) for x in zip(*parts)], np.cumsum([len(p[0]) for p in parts])[:-1]
+
+
+SUMS = ["total", "held", "types", "covered", "far", "most"]
+
+
+def counted_hot(held: DataFrame, level: int, shards: int, model: Model) -> tuple[DataFrame, pd.DataFrame]:
+    """The blocks with the counts of the next words of hot contexts of one length carried along, and the sums of these contexts."""
+    def settle(table: pa.Table) -> pa.Table:
+        columns, ends = together(table.column("sent").to_pylist())
+        before, word, times, carried = columns[:level], columns[level], columns[level + 1], columns[level + 2:]
+        first, which = dense(*before, word)
+        count = np.bincount(which, times, len(first)).astype(np.int64)
+        parent = model.chances(before[:-1], word, times, carried)[first]
+        key, own = np.unique(folds(before)[-1][first].view(np.int64), return_inverse=True)
+        kept = count >= model.min_count
+        sums = [np.bincount(own, x, len(key)) for x in (count, np.where(kept, count, 0), kept, np.where(kept, parent, 0),
+                                                        np.where(kept, count * np.log(np.maximum(count, 1) / parent), 0))]
+        most = np.zeros(len(key))
+        np.maximum.at(most, own, count)
+        answers = [pack(x) for x in np.split(count[which], ends)]
+        a, b = len(answers), len(key)
+        return pa.table([pa.array([*table.column("block").to_pylist(), *[None] * b], pa.int64()), pa.array([*table.column("shard").to_pylist(), *[None] * b], pa.int64()),
+                         pa.array([*answers, *[None] * b], pa.binary()), pa.array([*[None] * a, *key.tolist()], pa.int64()),
+                         *(pa.array([*[None] * a, *x.tolist()], pa.float64()) for x in (*sums, most))], names=["block", "shard", "told", "key", *SUMS])
+
+    def carry(rows: pa.Table, told: pa.Table) -> pa.Table:
+        row = rows.to_pylist()[0]
+        own = Windows(row, model)
+        out = np.zeros(len(own.word), dtype=np.int64)
+        if told.num_rows:
+            _, some, which, _, order, _, _ = own.asked(level, shards)
+            count = np.empty(len(order), dtype=np.int64)
+            count[order] = np.concatenate([unpack(x)[0] for x in told.sort_by("shard").column("told").to_pylist()])
+            out[some] = count[which]
+        return rows.drop_columns(["carried"]).append_column("carried", pa.array([[*row["carried"], pack(out)]], pa.list_(pa.binary())))
+
+    settled = exchange(held, level, shards, model).groupBy("shard").applyInArrow(
+        settle, "block long, shard long, told binary, key long, " + ", ".join(f"{c} double" for c in SUMS))
+    settled = materialise(settled, f"hot-{level}")
+    sums = settled.where("key is not null").groupBy("key").agg(*[F.sum(c).alias(c) for c in SUMS[:-1]], F.max("most").alias("most"))
+    sums = sums.toPandas().sort_values("key")  # at most HOT rows: split grows with the tokens
+    told = settled.where("key is null").select("block", "shard", "told")
+    out = materialise(held.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(carry, NUMBERED), f"carried-{level}")
+    discard(settled, held)
+    return out, sums
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
-          min_count: int = 2, divergence: float = 0.02) -> DataFrame:
+          min_count: int = 2, divergence: float = 0.02, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """One row per document row: ``doc_id, learn, n_tokens, n_known, train_tokens,
     base_score, score`` (log10 probabilities), of a tree with every context and next
     word seen together ``min_count`` times in the rows where ``learn`` is true.
@@ -174,73 +386,43 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     NULL and empty texts are the end token alone, which is learned like a word. Rows
     with NULL or repeated ids and repeated rows are rows of their own, each learned
     from. NULL of ``learn`` counts as false. Where nothing is learned every word is as
-    likely as any. An empty table gives no rows. Other columns are ignored.
+    likely as any. An empty table gives no rows. Other columns are ignored, whatever
+    their names. ``split_rows`` changes how the work is dealt, not the result.
     """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                          F.coalesce(learn, F.lit(False)).alias("learn"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, -(-size // SHARD_BYTES))
-    values, n, words = learned(source, depth, min_count, divergence, shards)
-    unseen = float(np.log10(ALPHA / (n + ALPHA * (words + 1))))
-
-    held = materialise(textbytes.blocks(source, "text", ASK_BYTES), "text-blocks")
-
-    def asked(rows: pa.Array):
-        """(keys, order, shards, cuts, which, row): the distinct runs of a block, by
-        shard; and for each run of its texts which one it is, and in which text."""
-        data, offsets = textbytes.buffers(rows.field("text"))
-        h, row = tokens(data, offsets)
-        found = [(key, row[at]) for at, _, _, key in runs(h, row, depth)]
-        key = np.concatenate([k for k, _ in found] + [np.full(len(rows), START)])
-        key, which = np.unique(key, return_inverse=True)
-        return key, *by_shard(key, shards), which, np.concatenate([r for _, r in found] + [np.arange(len(rows))])
-
-    def send(batches):
-        for batch in batches:
-            for i, block in enumerate(batch.column(0).to_pylist()):
-                key, order, own, cuts, _, _ = asked(batch.column(1).slice(i, 1).flatten())
-                key = key[order]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array(np.full(len(own), block)), pa.array([key[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())],
-                    names=["shard", "block", "keys"])
-
-    def look(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        """For each block which of the keys it asked for are known, and their values."""
-        own = own.sort_values("key")
-        keys, base, v = (own[c].to_numpy() for c in ("key", "base", "v"))
-        out = []
-        for blob in asked["keys"]:
-            key = np.frombuffer(blob, "<i8")
-            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-            met = keys[at] == key if len(keys) else np.zeros(len(key), dtype=bool)
-            at = at[met]
-            word = ~np.isnan(base[at].astype(float))
-            out.append((len(key), np.packbits(met).tobytes(), np.packbits(word).tobytes(), base[at][word].astype("<f8").tobytes(), v[at].astype("<f8").tobytes()))
-        found = pd.DataFrame(out, columns=["n", "met", "word", "base", "v"], index=asked.index)
-        return pd.concat([asked[["shard", "block"]], found], axis=1)
+    cut = materialise(blocks(source), "word-blocks")
+    held, model = numbered(cut, shards, depth=depth, min_count=min_count, divergence=divergence, split=split_rows)
+    discard(cut)
+    model.split = max(split_rows, model.n // HOT)
+    most = max([model.texts, *model.counts[:1].tolist()])
+    while most > model.split and len(model.hot) < depth:
+        held, sums = counted_hot(held, len(model.hot) + 1, shards, model)
+        model.hot.append(sums)
+        most = sums["most"].max() if len(sums) else 0
+
+    def answer(table: pa.Table) -> pa.Table:
+        columns, ends = together(table.column("sent").to_pylist())
+        p = model.chances(columns[:depth], columns[depth], columns[depth + 1], columns[depth + 2:])
+        which, values = zip(*(pack_doubles(x) for x in np.split(np.log10(p), ends)))
+        return pa.table([table.column("shard"), table.column("block"), pa.array(which, pa.binary()), pa.array(values, pa.binary())],
+                        names=["shard", "block", "which", "told"])
 
     def gather(rows: pa.Table, told: pa.Table) -> pa.Table:
-        rows = rows.column("rows").combine_chunks().flatten()
-        key, order, _, _, which, row = asked(rows)
-        known, base, v = (np.zeros(len(key)) for _ in range(3))
-        at = 0
-        for r in told.sort_by("shard").to_pylist():
-            own = order[at:at + r["n"]]
-            at += r["n"]
-            own = own[np.unpackbits(np.frombuffer(r["met"], np.uint8), count=len(own)).astype(bool)]
-            word = own[np.unpackbits(np.frombuffer(r["word"], np.uint8), count=len(own)).astype(bool)]
-            known[word], base[word], v[own] = 1, np.frombuffer(r["base"], "<f8"), np.frombuffer(r["v"], "<f8")
-        known, base, v = (np.bincount(row, x[which], len(rows)) for x in (known, base, v))
-        data, offsets = textbytes.buffers(rows.field("text"))
-        n_tokens = np.bincount(tokens(data, offsets)[1], minlength=len(rows))
-        known = np.rint(known).astype(np.int64)
-        base = base + (n_tokens - known) * unseen
-        return pa.Table.from_arrays([rows.field("doc_id"), rows.field("learn"), *map(pa.array, (n_tokens, known, np.full(len(rows), n), base, base + v))],
-                                    names=["doc_id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    requests = held.select("block", F.transform("rows", lambda r: F.struct(r["text"].alias("text"))).alias("rows")).mapInArrow(send, "shard long, block long, keys binary")
-    by = values.withColumn("shard", F.pmod("key", F.lit(shards)))
-    answers = requests.groupBy("shard").cogroup(by.groupBy("shard")).applyInPandas(
-        look, "shard long, block long, n long, met binary, word binary, base binary, v binary")
+        row = rows.to_pylist()[0]
+        own = Windows(row, model)
+        _, _, which, _, order, _, _ = own.asked(0, shards)
+        value = np.empty(len(order))
+        told = told.sort_by("shard")
+        value[order] = np.concatenate([unpack_doubles(*x) for x in zip(told.column("which").to_pylist(), told.column("told").to_pylist())])
+        n = len(row["n"])
+        known, base, whole = (np.bincount(own.row, x, n) for x in (model.count(own.word) > 0, np.log10(model.chance(own.word)), value[which]))
+        return pa.table([pa.array(row["doc_id"], pa.int64()), pa.array(row["learn"], pa.bool_()), pa.array(row["n"], pa.int64()),
+                         pa.array(known.astype(np.int64)), pa.array(np.full(n, model.n)), pa.array(base), pa.array(whole)],
+                        names=["doc_id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    answers = exchange(held, 0, shards, model).groupBy("shard").applyInArrow(answer, "shard long, block long, which binary, told binary")
     return held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         gather, "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

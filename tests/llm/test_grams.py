@@ -79,12 +79,12 @@ def plain(rows, depth, p_min, eps, divergence):
     return out
 
 
-@pytest.mark.parametrize("depth", [1, 3])
-def test_matches_plain_without_shares(docs, rows, depth, monkeypatch):
-    monkeypatch.setattr(grams, "BLOCK", 4000)
+@pytest.mark.parametrize("depth, split", [(1, 1 << 20), (3, 1 << 20), (1, 3000), (3, 3000), (3, 40), (2, 0)])
+def test_matches_plain_without_shares(docs, rows, depth, split, monkeypatch):
+    """However many contexts are hot: none, one, some of each length, all."""
     monkeypatch.setattr(textbytes, "SLICE_BYTES", 20000)
     monkeypatch.setattr(grams, "ASK_BYTES", 9000)
-    got = grams.score(docs, F.col("doc_id") % 5 != 0, depth=depth).collect()
+    got = grams.score(docs, F.col("doc_id") % 5 != 0, depth=depth, split_rows=split).collect()
     some = rows
     learn = [r[0] is not None and r[0] % 5 != 0 for r in some]
     want = sorted((str(r[0]), *w) for r, w in zip(some, plain([(a, r[1]) for a, r in zip(learn, some)], depth, 0, 0, 0.02)))
@@ -113,3 +113,12 @@ def test_clashing_columns(spark):
     odd = spark.createDataFrame([(1, "a b a b", 1, "x"), (None, None, 2, None), (1, "a b a b", 3, "y")], "doc_id long, text string, learn int, rows string")
     out = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in grams.score(odd, F.lit(True)).collect()), key=str)
     assert out == [(1, 5, 5, 11), (1, 5, 5, 11), (None, 1, 1, 11)]
+
+
+def test_packed_columns_come_back():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 1000):
+        columns = [np.zeros(n, dtype=np.int64), r.integers(0, 1 << 40, n), r.integers(0, 300, n)]
+        assert all((a == b).all() and len(a) == n for a, b in zip(grams.unpack(grams.pack(*columns)), columns))
+        x = r.normal(size=n).round(1)
+        assert (grams.unpack_doubles(*grams.pack_doubles(x)) == x).all()
