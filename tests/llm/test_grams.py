@@ -120,5 +120,7 @@ def test_packed_columns_come_back():
     for n in (0, 1, 1000):
         columns = [np.zeros(n, dtype=np.int64), r.integers(0, 1 << 40, n), r.integers(0, 300, n)]
         assert all((a == b).all() and len(a) == n for a, b in zip(grams.unpack(grams.pack(*columns)), columns))
-        x = r.normal(size=n).round(1)
-        assert (grams.unpack_doubles(*grams.pack_doubles(x)) == x).all()
+        x = np.sort(r.integers(-(1 << 63), 1 << 62, n))
+        assert (grams.unpack_sorted(grams.pack_sorted(x)) == x).all()
+        x = -r.exponential(size=n).round(1)
+        assert np.allclose(grams.unpack_logs(*grams.pack_logs(x)), x, rtol=0, atol=1.2e-10)
