@@ -37,9 +37,11 @@ from estrato.session import discard, materialise
 END = np.int64(0x5EED0FE11D0C5EED)
 ALPHA = 0.1
 #: Bytes of all texts a shard, and of the texts of a block (of which a task holds about 30 times as much).
-SHARD_BYTES, ASK_BYTES = 4 << 20, 4 << 20
+SHARD_BYTES, ASK_BYTES = 2 << 20, 4 << 20
 #: Shards of windows to one of words.
-WORD_SHARDS = 4
+WORD_SHARDS = 8
+#: How hard messages are compressed.
+LEVEL = 4
 #: A window's log10 probability is sent in such steps: 1.2e-10 off at most.
 STEPS = 1 << 32
 #: Windows of a context that one shard takes, and contexts of a length that may have more.
@@ -60,7 +62,7 @@ def pack(*columns: np.ndarray) -> bytes:
     """Columns of numbers from 0, each byte place by itself, so that equal places compress."""
     widths = [(int(c.max()).bit_length() + 7) // 8 if len(c) else 0 for c in columns]
     planes = [np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, 8)[:, :w].T.tobytes() for c, w in zip(columns, widths)]
-    return zlib.compress(np.int64(len(columns[0])).tobytes() + bytes([len(columns), *widths]) + b"".join(planes), 1)
+    return zlib.compress(np.int64(len(columns[0])).tobytes() + bytes([len(columns), *widths]) + b"".join(planes), LEVEL)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
@@ -85,6 +87,27 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob)[0].view(np.uint64), dtype=np.uint64).view(np.int64)
 
 
+def stepped(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows in ascending order as steps from the row before, in each column as long as the columns before are equal."""
+    out, new = [], np.arange(len(columns[0])) == 0
+    for c in columns:
+        step = c.astype(np.int64)
+        step[1:] -= np.where(new[1:], 0, c[:-1])
+        out.append(step)
+        new = new | (step != 0)
+    return out
+
+
+def unstepped(steps: list[np.ndarray]) -> list[np.ndarray]:
+    at = np.arange(len(steps[0]))
+    out, new = [], at == 0
+    for step in steps:
+        whole, first = np.cumsum(step), np.maximum.accumulate(np.where(new, at, 0))
+        out.append(whole - (whole - step)[first])
+        new = new | (step != 0)
+    return out
+
+
 def pack_logs(x: np.ndarray) -> tuple[bytes, bytes]:
     """Logarithms to the nearest 1 / ``STEPS``: which of the distinct ones, and these."""
     values, which = np.unique(np.rint(x * STEPS).astype(np.int64), return_inverse=True)
@@ -125,11 +148,15 @@ def folded(h: np.ndarray, column: np.ndarray) -> np.ndarray:
     return textbytes.mix(textbytes.mix(h + np.uint64(0x9E3779B97F4A7C15)) + column.astype(np.uint64))
 
 
-def folds(columns: list[np.ndarray]) -> list[np.ndarray]:
-    out = [np.zeros(len(columns[0]), dtype=np.uint64)]
-    for c in columns:
-        out.append(folded(out[-1], c))
-    return out[1:]
+def written(df: DataFrame, label: str) -> DataFrame:
+    """An intermediate whose shuffles are deleted when it is written: nothing reads them again."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return materialise(df, label)
+    finally:
+        conf.set(name, before)
 
 
 def by_shard(key: np.ndarray, shards: int):
@@ -176,32 +203,37 @@ class Model:
     def chances(self, before: list[np.ndarray], word: np.ndarray, times: np.ndarray, carried: list[np.ndarray]) -> np.ndarray:
         """The probability of each window's word. The windows of a context that is not
         hot are all here; ``carried`` has for each length how often a hot one's goes on so."""
-        p, context = self.chance(word), np.zeros(len(word), dtype=np.int64)
-        for k, (own, key) in enumerate(zip(before, folds(before) if before else [])):
-            first_of, context = dense(context, own)
-            m = len(first_of)
-            first, which = dense(context, word)
-            count = np.bincount(which, times, len(first))
+        p, context, live, key = self.chance(word), np.zeros(len(word), dtype=np.int64), np.arange(len(word)), np.zeros(1, dtype=np.uint64)
+        for k, own in enumerate(before):
+            first_of, context = dense(context, own[live])
+            m, total, met = len(first_of), np.bincount(context, times[live], len(first_of)), np.zeros(len(first_of), dtype=bool)
+            if k < len(self.hot) and len(self.hot[k]):
+                known, key = self.hot[k], folded(key, own)
+                keys, some = known["key"].to_numpy(), key[live[first_of]].view(np.int64)
+                at = np.minimum(np.searchsorted(keys, some), len(keys) - 1)
+                met = keys[at] == some
+                total[met] = known["total"].to_numpy()[at[met]]
+            # Contexts too rare to be a state have no longer ones that are.
+            good = (total[context] >= max(self.min_count, 1)) & (own[live] <= self.start)
+            live, context = live[good], context[good]
+            first, which = dense(context, word[live])
+            count = np.bincount(which, times[live], len(first))
             kept = count >= self.min_count
-            of, some, parent = context[first][kept], count[kept], p[first][kept]
-            total = np.bincount(context, times, m)
+            of, some, parent = context[first][kept], count[kept], p[live[first]][kept]
             held, types, covered, far = (np.bincount(of, x, m) for x in (some, np.ones(len(of)), parent, some * np.log(some / parent)))
             count = count[which]
-            if k < len(self.hot) and len(self.hot[k]):
-                known = self.hot[k]
-                keys = known["key"].to_numpy()
-                at = np.minimum(np.searchsorted(keys, key[first_of].view(np.int64)), len(keys) - 1)
-                met = keys[at] == key[first_of].view(np.int64)
-                for name, x in (("total", total), ("held", held), ("types", types), ("covered", covered), ("far", far)):
+            if met.any():
+                for name, x in (("held", held), ("types", types), ("covered", covered), ("far", far)):
                     x[met] = known[name].to_numpy()[at[met]]
-                count = np.where(met[context], carried[k], count)
+                count = np.where(met[context], carried[k][live], count)
             with np.errstate(divide="ignore", invalid="ignore"):
                 left = (total - held) / total
                 apart = (far - held * np.log(total)) / total
                 apart += np.where(left > 0, left * np.log(left / np.maximum(1 - covered, 1e-12)), 0)
                 back, mass = total - held + types, total + types
-                state = (types > 0) & (apart >= self.divergence) & (own[first_of] <= self.start)
-                p = np.where(state[context], (np.where(count >= self.min_count, count, 0) + back[context] * p) / mass[context], p)
+                state = (types > 0) & (apart >= self.divergence)
+                below = p[live]
+                p[live] = np.where(state[context], (np.where(count >= self.min_count, count, 0) + back[context] * below) / mass[context], below)
         return p
 
 
@@ -280,7 +312,7 @@ def numbered(held: DataFrame, shards: int, **settings) -> tuple[DataFrame, Model
             "carried", pa.array([[]], pa.list_(pa.binary())))
 
     asks = held.select("block", "words", "seen").mapInArrow(send, "shard long, block long, words binary, seen binary")
-    counted = materialise(asks.groupBy("shard").applyInPandas(add, "shard long, key long, n long"), "words")
+    counted = written(asks.groupBy("shard").applyInPandas(add, "shard long, key long, n long"), "words")
     sizes = counted.groupBy("n").count().toPandas().sort_values("n", ascending=False)  # one row for each distinct count
     n, words = int((sizes["n"] * sizes["count"]).sum()), int(sizes["count"].sum())
     texts = counted.where(F.col("key") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -293,7 +325,7 @@ def numbered(held: DataFrame, shards: int, **settings) -> tuple[DataFrame, Model
               .join(starts, "n").select("shard", "n", (F.col("begin") + F.col("before")).alias("first")))
     own = counted.join(places, ["shard", "n"])
     told = asks.groupBy("shard").cogroup(own.groupBy("shard")).applyInPandas(look, "block long, shard long, told binary")
-    out = materialise(held.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(rename, NUMBERED), "numbered")
+    out = written(held.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(rename, NUMBERED), "numbered")
     discard(counted)
     return out, model
 
@@ -330,23 +362,27 @@ class Windows:
         hot = self.hot(level or len(self.carried))
         some = np.flatnonzero(hot[-1]) if level else np.arange(len(self.word))
         before = [x[some] for x in self.before[:level or None]]
-        first, which = dense(*before, self.word[some])
+        first, which = dense(before[0], self.word[some], *before[1:])  # so that equal chances stand together
         times = np.bincount(which, self.learn[some], len(first)).astype(np.int64)
         at = some[first]
         before = [x[first] for x in before]
         key, free = np.zeros(len(at), dtype=np.uint64), np.ones(len(at), dtype=bool)
-        steps = folds([*before, self.word[at]])
-        for k, h in enumerate(steps):
+        h = np.zeros(1, dtype=np.uint64)
+        for k, own in enumerate([*before, self.word[at]]):
+            h = folded(h, own)
             key[free] = h[free]
             if k < len(before):
                 free = free & ((hot[k][at] if k < len(hot) else False) | (before[k] > self.model.start))
+            if not free.any():
+                break
         return (at, some, which, times, *by_shard(key.view(np.int64), shards))
 
     def sent(self, level: int, shards: int):
         at, _, _, times, order, own, cuts = self.asked(level, shards)
-        columns = [*(x[at] for x in self.before[:level or None]), self.word[at], times, *(x[at] for x in self.carried)]
-        columns = [x[order] for x in columns]
-        return own, [pack(*(x[a:b] for x in columns)) for a, b in zip(cuts, cuts[1:])]
+        before, at, times = self.before[:level or None], at[order], times[order]
+        rows = [x[at] for x in (before[0], self.word, *before[1:])]
+        others = [times, *(x[at] for x in self.carried)]
+        return own, [pack(*stepped([x[a:b] for x in rows]), *(x[a:b] for x in others)) for a, b in zip(cuts, cuts[1:])]
 
 
 def exchange(held: DataFrame, level: int, shards: int, model: Model) -> DataFrame:
@@ -362,10 +398,13 @@ def exchange(held: DataFrame, level: int, shards: int, model: Model) -> DataFram
     return held.mapInArrow(run, "shard long, block long, sent binary")
 
 
-def together(blobs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The columns of all messages, and where each message ends but the last."""
+def together(blobs: list[bytes], level: int):
+    """(before, word, times, carried, ends) of all messages about contexts of ``level``
+    words, and where each message ends but the last."""
     parts = [unpack(x) for x in blobs]
-    return [np.concatenate(x) for x in zip(*parts)], np.cumsum([len(p[0]) for p in parts])[:-1]
+    parts = [[*unstepped(p[:level + 1]), *p[level + 1:]] for p in parts]
+    nearest, word, *others = (np.concatenate(x) for x in zip(*parts))
+    return [nearest, *others[:level - 1]], word, others[level - 1], others[level:], np.cumsum([len(p[0]) for p in parts])[:-1]
 
 
 SUMS = ["total", "held", "types", "covered", "far", "most"]
@@ -374,12 +413,14 @@ SUMS = ["total", "held", "types", "covered", "far", "most"]
 def counted_hot(held: DataFrame, level: int, shards: int, model: Model) -> tuple[DataFrame, pd.DataFrame]:
     """The blocks with the counts of the next words of hot contexts of one length carried along, and the sums of these contexts."""
     def settle(table: pa.Table) -> pa.Table:
-        columns, ends = together(table.column("sent").to_pylist())
-        before, word, times, carried = columns[:level], columns[level], columns[level + 1], columns[level + 2:]
+        before, word, times, carried, ends = together(table.column("sent").to_pylist(), level)
         first, which = dense(*before, word)
         count = np.bincount(which, times, len(first)).astype(np.int64)
         parent = model.chances(before[:-1], word, times, carried)[first]
-        key, own = np.unique(folds(before)[-1][first].view(np.int64), return_inverse=True)
+        key = np.zeros(1, dtype=np.uint64)
+        for x in before:
+            key = folded(key, x[first])
+        key, own = np.unique(key.view(np.int64), return_inverse=True)
         kept = count >= model.min_count
         sums = [np.bincount(own, x, len(key)) for x in (count, np.where(kept, count, 0), kept, np.where(kept, parent, 0),
                                                         np.where(kept, count * np.log(np.maximum(count, 1) / parent), 0))]
@@ -404,11 +445,11 @@ def counted_hot(held: DataFrame, level: int, shards: int, model: Model) -> tuple
 
     settled = exchange(held, level, shards, model).groupBy("shard").applyInArrow(
         settle, "block long, shard long, told binary, key long, " + ", ".join(f"{c} double" for c in SUMS))
-    settled = materialise(settled, f"hot-{level}")
+    settled = written(settled, f"hot-{level}")
     sums = settled.where("key is not null").groupBy("key").agg(*[F.sum(c).alias(c) for c in SUMS[:-1]], F.max("most").alias("most"))
     sums = sums.toPandas().sort_values("key")  # at most HOT rows: split grows with the tokens
     told = settled.where("key is null").select("block", "shard", "told")
-    out = materialise(held.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(carry, NUMBERED), f"carried-{level}")
+    out = written(held.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(carry, NUMBERED), f"carried-{level}")
     discard(settled, held)
     return out, sums
 
@@ -430,7 +471,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                          F.coalesce(learn, F.lit(False)).alias("learn"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, -(-size // SHARD_BYTES))
-    cut = materialise(blocks(source), "word-blocks")
+    cut = written(blocks(source), "word-blocks")
     held, model = numbered(cut, max(8, shards // WORD_SHARDS), depth=depth, min_count=min_count, divergence=divergence, split=split_rows)
     discard(cut)
     model.split = max(split_rows, model.n // HOT)
@@ -441,8 +482,8 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         most = sums["most"].max() if len(sums) else 0
 
     def answer(table: pa.Table) -> pa.Table:
-        columns, ends = together(table.column("sent").to_pylist())
-        p = model.chances(columns[:depth], columns[depth], columns[depth + 1], columns[depth + 2:])
+        *windows, ends = together(table.column("sent").to_pylist(), depth)
+        p = model.chances(*windows)
         which, values = zip(*(pack_logs(x) for x in np.split(np.log10(p), ends)))
         return pa.table([table.column("shard"), table.column("block"), pa.array(which, pa.binary()), pa.array(values, pa.binary())],
                         names=["shard", "block", "which", "told"])
