@@ -41,7 +41,7 @@ SHARD_BYTES, ASK_BYTES = 2 << 20, 4 << 20
 #: Shards of windows to one of words.
 WORD_SHARDS = 8
 #: How hard messages are compressed.
-LEVEL = 4
+LEVEL = 6
 #: A window's log10 probability is sent in such steps: 1.2e-10 off at most.
 STEPS = 1 << 32
 #: Windows of a context that one shard takes, and contexts of a length that may have more.
