@@ -21,7 +21,6 @@ at most ``HOT`` contexts a level are hot, as ``split_rows`` grows with the corpu
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,8 +39,8 @@ ALPHA = 0.1
 SHARD_BYTES, ASK_BYTES = 2 << 20, 4 << 20
 #: Shards of windows to one of words.
 WORD_SHARDS = 8
-#: How hard messages are compressed.
-LEVEL = 6
+#: How messages are compressed.
+CODEC = pa.Codec("zstd", compression_level=6)
 #: A window's log10 probability is sent in such steps: 1.2e-10 off at most.
 STEPS = 1 << 32
 #: Windows of a context that one shard takes, and contexts of a length that may have more.
@@ -62,11 +61,12 @@ def pack(*columns: np.ndarray) -> bytes:
     """Columns of numbers from 0, each byte place by itself, so that equal places compress."""
     widths = [(int(c.max()).bit_length() + 7) // 8 if len(c) else 0 for c in columns]
     planes = [np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, 8)[:, :w].T.tobytes() for c, w in zip(columns, widths)]
-    return zlib.compress(np.int64(len(columns[0])).tobytes() + bytes([len(columns), *widths]) + b"".join(planes), LEVEL)
+    raw = np.int64(len(columns[0])).tobytes() + bytes([len(columns), *widths]) + b"".join(planes)
+    return np.int64(len(raw)).tobytes() + CODEC.compress(raw, asbytes=True)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
-    raw = zlib.decompress(blob)
+    raw = CODEC.decompress(blob[8:], int(np.frombuffer(blob, "<i8", 1)[0]), asbytes=True)
     n, many = int(np.frombuffer(raw, "<i8", 1)[0]), raw[8]
     out, at = [], 9 + many
     for width in raw[9:at]:
