@@ -154,7 +154,7 @@ def _count(df: DataFrame, proposals) -> None:
         below = row[f"below{i}"]
         at_low = below + row[f"low{i}"]
         inside = at_low + row[f"inside{i}"]
-        at_high = inside + (row[f"high{i}"] if high > low else 0)
+        at_high = inside + (row[f"high{i}"] if high != low else 0)  # NaN is the largest
         for t in group:
             if t.rank <= below:
                 t.high, t.inside = low, below - t.upto

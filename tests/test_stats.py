@@ -50,6 +50,13 @@ def test_every_rank_survives_a_poor_sample(spark, monkeypatch):
     assert got == [sorted(values)[r - 1] for r in ranks]
 
 
+def test_nan_is_the_largest_value(spark, monkeypatch):
+    monkeypatch.setattr(stats, "GATHER", 50)
+    df = frame(spark, {"x": [float(x) for x in range(400)] + [float("nan")] * 300}).repartition(3)
+    got = stats.order_statistics(df, {"x": [1, 350, 400, 401, 700]})["x"]
+    assert got[:3] == [0.0, 349.0, 399.0] and all(x != x for x in got[3:])
+
+
 def test_all_null_column_has_no_median(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
     assert stats.exact_medians(df, ["a", "b"]) == {"a": 1.5, "b": None}
