@@ -13,7 +13,8 @@ from estrato.sources import site_files, tables
 
 # A site's parts are in one folder; its name plays the file name.
 SITE = r"sitio=([^/]+)/"
-_written: dict[tuple[str, str], tuple[str, object]] = {}
+_written: dict[tuple[str, str], str] = {}
+_read: dict[tuple[str, str], site_files.SiteFiles] = {}
 _ingested: dict[tuple[str, str], tuple[str, plan.CleanTable]] = {}
 
 FULL = {"Ítem": "item", "Norte": "cast(9457265 + sample_id as string)", "De": "de",
@@ -59,14 +60,16 @@ def site_dir(spark, sf) -> str:
             write("site_no = 23", {"Ítem;De;Hasta": "concat(item, ';', de, ';', hasta, ';')"}, sep="\x01")
         finally:
             spark.conf.set("spark.sql.caseSensitive", "false")
-        _written[key] = (root, site_files.read_site_files(spark, root, site_from=SITE,
-                                                          with_file=True))
-    return _written[key][0]
+        _written[key] = root
+    return _written[key]
 
 
 def ingested(spark, sf) -> site_files.SiteFiles:
-    site_dir(spark, sf)
-    return _written[spark.sparkContext.applicationId, sf][1]
+    """The files as read, once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _read:
+        _read[key] = site_files.read_site_files(spark, site_dir(spark, sf), site_from=SITE, with_file=True)
+    return _read[key]
 
 
 def _site(path="file_path"):

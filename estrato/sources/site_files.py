@@ -289,71 +289,73 @@ def _chained(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _glued(lines: DataFrame, sep: str, borders: dict[tuple[str, int], tuple[bool, str | None]]) -> DataFrame:
-    """Whole records instead of lines, for files with line breaks in quotes. ``borders``
-    has the splits of files with several: those of other files begin outside quotes."""
+    """Whole records instead of lines, for the lines of files with line breaks in quotes.
+    ``borders`` has the splits of files with several: those of other files begin outside
+    quotes. Records leave a task batch by batch, as its lines come in."""
     kept = [c for c in lines.columns if c not in ("value", "block", "multi_line")]
 
     def run(batches):
         key, state, skip, parts, first = None, False, False, [], None
 
         def records(texts, rows, batch):
-            if texts:
-                own = batch.take(pa.array(rows)) if rows is not None else batch
-                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *(own.column(c) for c in kept)], names=["value", *kept])
+            own = batch.take(pa.array(rows, pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *(own.column(c) for c in kept)], names=["value", *kept])
 
-        def last():
+        def left_open():
             """The record that its split leaves open, with what later splits hold of it."""
             rest = borders.get(key, (False, None))[1]
-            text = "\n".join([*parts, rest] if rest is not None else parts)
-            yield from records([text], None, first)
+            return "\n".join([*parts, rest] if rest is not None else parts)
 
         for batch in batches:
-            value, path, block, multi, open0, open1 = (batch.column(c).to_pylist() for c in ("value", PATH, "block", "multi_line", "open0", "open1"))
-            texts, rows = [], []
+            value, path, block, open0, open1 = (batch.column(c).to_pylist() for c in ("value", PATH, "block", "open0", "open1"))
+            texts, rows, carried = [], [], None
+            start = None        # where the open record begins; None: in an earlier batch, as ``first``
             for i, line in enumerate(value):
                 if (path[i], block[i]) != key:
-                    if parts:
-                        yield from last()
+                    if parts and start is None:
+                        carried = left_open()
+                    elif parts:
+                        texts.append(left_open())
+                        rows.append(start)
                     key, parts = (path[i], block[i]), []
-                    if multi[i] and block[i] > 0 and key not in borders:
+                    if block[i] > 0 and key not in borders:
                         raise RuntimeError(f"{path[i]} is split otherwise than when it was looked through: read it again")
-                    state = skip = multi[i] and borders.get(key, (False, None))[0]
-                if not multi[i]:
-                    texts.append(line)
-                    rows.append(i)
-                    continue
+                    state = skip = borders.get(key, (False, None))[0]
                 begins, state = not state, open1[i] if state else open0[i]
                 if skip:
                     skip = state
                     continue
                 if begins:
-                    parts, first = [line], batch.slice(i, 1)
+                    parts, start = [line], i
                 else:
                     parts.append(line)
                 if not state:
-                    if len(parts) == 1:
-                        texts.append(line)
-                        rows.append(i)
+                    text = line if len(parts) == 1 else "\n".join(parts)
+                    if start is None:
+                        carried = text
                     else:
-                        yield from records(texts, rows, batch)
-                        yield from records(["\n".join(parts)], None, first)
-                        texts, rows = [], []
+                        texts.append(text)
+                        rows.append(start)
                     parts = []
-            yield from records(texts, rows, batch)
+            if carried is not None:
+                yield records([carried], [0], first)
+            if texts:
+                yield records(texts, rows, batch)
+            if parts and start is not None:
+                first = batch.take(pa.array([start], pa.int64()))
         if parts:
-            yield from last()
+            yield records([left_open()], [0], first)
 
     marked = lines.withColumns({
-        "open0": F.col("multi_line") & _ends_open(F.col("value"), sep),
-        "open1": F.col("multi_line") & _ends_open(F.concat(F.lit('"'), "value"), sep)})
+        "open0": _ends_open(F.col("value"), sep),
+        "open1": _ends_open(F.concat(F.lit('"'), "value"), sep)})
     schema = T.StructType([lines.schema["value"], *[lines.schema[c] for c in kept]])
     return marked.mapInArrow(run, schema)
 
 
-def _records(lines: DataFrame, sep: str, borders: DataFrame | None) -> DataFrame:
-    """Lines, or where there are files with line breaks in quotes, records."""
-    if borders is None:
-        return lines.drop("block", "multi_line")
+def _whole(lines: DataFrame, sep: str, borders: DataFrame) -> DataFrame:
+    """The records of the files with line breaks in quotes."""
+    lines = lines.filter("multi_line")
     size = borders.agg(F.sum(F.coalesce(F.length("rest"), F.lit(0)) + 64)).first()[0] or 0
     scans = max(1, -(-size // REST_BYTES))      # ends of records that are too many for one go take several
     part = F.pmod(F.xxhash64(PATH), F.lit(scans))
@@ -365,6 +367,14 @@ def _records(lines: DataFrame, sep: str, borders: DataFrame | None) -> DataFrame
     return reduce(DataFrame.union, found)
 
 
+def _records(lines: DataFrame, sep: str, borders: DataFrame | None) -> DataFrame:
+    """Lines, or in files with line breaks in quotes, records. The lines of other files
+    pass no worker."""
+    if borders is None:
+        return lines.drop("block", "multi_line")
+    return lines.filter("not multi_line").drop("block", "multi_line").unionByName(_whole(lines, sep, borders))
+
+
 def read_site_files(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ";",
                     site_from: str | None = None, known: dict[str, str] | None = None,
                     with_file: bool = False) -> SiteFiles:
@@ -429,7 +439,7 @@ def _without_wide(lines: DataFrame, files: DataFrame, layouts: DataFrame, sep: s
     files = files.withColumn("reason", F.when(F.col("long"), f"record of over {RECORD_REST} characters").otherwise(F.col("reason"))).drop("long")
     files = materialise(files, "site-files")
     own = _with_layout(lines, files.filter("multi_line"), layouts)
-    records = _records(own, sep, chained.filter("not too_long").drop("too_long"))
+    records = _whole(own, sep, chained.filter("not too_long").drop("too_long"))
     bare = _outside_quotes(F.col("value"), sep)
     filled = _field_count(bare, sep) - _trailing(F.col("value"), sep)
     wide = records.filter(filled > F.size(F.filter("places", F.isnotnull))).select(F.col(PATH).alias("file_path"), F.lit(True).alias("wide"))

@@ -1,4 +1,6 @@
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from estrato.operators import clean
 from estrato.sources import site_files as S
@@ -195,3 +197,63 @@ def test_quoted_line_breaks_across_splits(spark, tmp_path, size, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     blank = lambda x: None if x.strip(" ") in S.config.NA_TOKENS else x
     assert sorted(rows, key=str) == sorted([(a, *map(blank, x)) for a, *x in want], key=str)
+
+
+class Handed:
+    """Stands for the lines of a scan and hands out the function that tasks run."""
+    columns = ["value", S.PATH, "block", "multi_line", "places"]
+    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField(S.PATH, T.StringType()),
+                           T.StructField("block", T.LongType()), T.StructField("multi_line", T.BooleanType()),
+                           T.StructField("places", T.LongType())])
+
+    def withColumns(self, _):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+def test_records_leave_by_the_batch(spark):
+    run = S._glued(Handed(), ";", {("b", 0): (False, "z\";9"), ("b", 7): (True, None)})
+    text, flips = [], []
+    for k in range(1000):       # a record of two lines, and one of one
+        text += [f'"a{k}', f'b{k}";1', f"c{k};2"]
+        flips += [True, True, False]
+    lines = [(v, "a", 0, f, not f) for v, f in zip(text, flips)]
+    lines += [('"x', "b", 0, True, False), ('z";9', "b", 7, False, False), ("y;3", "b", 7, False, True), ('"e', "c", 0, True, False)]
+
+    def batch(part, at):
+        value, path, block, open0, open1 = zip(*part)
+        return pa.RecordBatch.from_pydict({"value": value, S.PATH: path, "block": block, "multi_line": [True] * len(part),
+                                           "places": list(range(at, at + len(part))), "open0": open0, "open1": open1})
+
+    cuts = [0, 1000, 2999, 3001, 3002, len(lines)]        # in and between records
+    out = list(run(iter([batch(lines[a:b], a) for a, b in zip(cuts, cuts[1:])])))
+    got = [r for b in out for r in zip(b.column("value").to_pylist(), b.column("places").to_pylist())]
+    want = [r for k in range(1000) for r in ((f'"a{k}\nb{k}";1', 3 * k), (f"c{k};2", 3 * k + 2))]
+    assert got == [*want, ('"x\nz";9', 3000), ("y;3", 3002), ('"e', 3003)]
+    assert len(out) <= 2 * len(cuts)        # not one a record
+
+
+def test_lines_without_quotes_pass_no_worker(spark):
+    lines = spark.createDataFrame([("a;1", "p", False, 0, "h"), ('"b', "q", True, 0, "h"), ('c";2', "q", True, 0, "h")],
+                                  f"value string, {S.PATH} string, multi_line boolean, block long, header string").coalesce(1)
+    borders = spark.createDataFrame([], "path string, block long, inside boolean, rest string")
+    found = S._records(lines, ";", borders)
+    assert sorted(r["value"] for r in found.collect()) == ['"b\nc";2', "a;1"]
+    assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_site_files_are_written_without_being_read(spark, tmp_path, monkeypatch):
+    from checks import ingest
+    rows = [(k, None, k % 50, "view" if k % 2 else "error", k / 4) for k in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(f"file:{tmp_path}/events.parquet")
+
+    def read(*a, **k):
+        raise AssertionError("read")
+
+    monkeypatch.setattr(S, "read_site_files", read)
+    root = ingest.site_dir(spark, f"file:{tmp_path}")
+    monkeypatch.undo()
+    assert S.list_files(spark, root).count() == 25
+    assert ingest.ingested(spark, f"file:{tmp_path}").files.filter("reason is null").count() == 22
