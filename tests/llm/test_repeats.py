@@ -1,7 +1,10 @@
 """Repeated substrings against a plain version."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from estrato.llm import repeats
@@ -72,3 +75,49 @@ def test_intervals_nest():
 
 def test_empty_table(no_docs):
     assert repeats.remove_repeats(no_docs).count() == 0
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_is_bounded_by_the_piece():
+    r = np.random.default_rng(3)
+    texts = [bytes(r.integers(97, 123, n, dtype=np.uint8)) for n in (4_000_000, *[2_000] * 500)]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"k"] * len(texts)), pa.array([t.decode() for t in texts])], names=["key", "text"])
+    assert peak_mb(lambda: [None for _ in repeats.cut([batch], 400, 32)]) < 80
+    assert peak_mb(lambda: repeats.maximal_repeats([texts[0][k:k + 590] for k in range(0, 4_000_000, 590)], 400)) < 130
+
+
+def test_tiles_hold_each_string_once(monkeypatch):
+    monkeypatch.setattr(repeats, "PIECE_BYTES", 150)
+    texts = [t or "" for t in odd_texts()]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"%d" % k for k in range(len(texts))]), pa.array(texts)], names=["key", "text"])
+    found = [(r["key"], k) for b in repeats.cut([batch], 40, 10) for r in b.to_pylist() for k in range(r["start"], r["start"] + r["strings"])]
+    assert sorted(found) == sorted((b"%d" % i, k) for i, t in enumerate(texts) for k in range(len(t.encode()) - 39))
+    listed = {}
+    for b in repeats.cut([batch], 40, 10):
+        for r in b.to_pylist():
+            listed.setdefault(int(r["key"]), []).append({"start": r["start"], "strings": r["strings"], "anchor": r["anchor"], "class": r["text"], "n": 1, "classes": 2})
+    rows = pa.RecordBatch.from_pylist([{"text": texts[k], "runs": v} for k, v in listed.items()])
+    bodies = [r["body"] for b in repeats.fetch([rows], 40) for r in b.to_pylist()]
+    assert bodies == [texts[k].encode()[r["start"]:r["start"] + r["strings"] + 39] for k, v in listed.items() for r in v]
+    tails = sorted(b[k:k + 40] for b in bodies for k in range(len(b) - 39))
+    ends = np.cumsum([len(b) for b in bodies])
+    places, first = repeats.equal_starts(np.frombuffer(b"".join(bodies), dtype=np.uint8), ends, 40)
+    whole = b"".join(bodies)
+    assert sorted(whole[p:p + 40] for p in places.tolist()) == tails and len(first) == len(set(tails))
+
+
+def test_passage_over_the_border_of_tiles(spark):
+    r = random.Random(8)
+    border = repeats.PIECE_BYTES
+    long = "".join(r.choices("abcdefgh", k=2 * border + 1000))
+    texts = [long, "1" * 10 + long[border - 200:border + 300] + "2" * 10, "3" + long[2 * border - 450:2 * border + 20] + "4"]
+    rows = got(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 400)
+    assert [row[3] for row in rows] == [[(border - 200, border + 300), (2 * border - 450, 2 * border + 20)], [(10, 510)], [(1, 471)]]
