@@ -108,3 +108,59 @@ def test_random_numbers_are_standard_normal():
     z = svr.normals(np.arange(400), 300, 42)
     assert abs(z.mean()) < 0.01 and abs(z.std() - 1) < 0.01
     assert abs(np.corrcoef(z[0], z[1])[0, 1]) < 0.2 and np.array_equal(z[[5, 9]], svr.normals(np.array([5, 9]), 300, 42))
+
+
+def test_vectors_go_to_python_without_null_lists(spark, data):
+    x, y = data
+    for sparse in (False, True):
+        sent = svr._columns(frame(spark, x, y, sparse=sparse), "fold", "features", "label").toArrow().column("x").combine_chunks()
+        assert sent.field("indices").null_count == 0 and sent.field("values").null_count == 0
+        row, slot, value = svr.entries(sent)
+        assert len(row) == (np.count_nonzero(x) if sparse else x.size)
+
+
+def slope(x, y, c, epsilon):
+    """The optimum of one weight without an intercept: the loss is a parabola between its kinks."""
+    kinks = np.sort(np.concatenate([(y - epsilon) / x, (y + epsilon) / x]))
+    loss = lambda w: w * w / 2 + c * np.maximum(np.abs(y - w * x) - epsilon, 0).sum()
+    k = int(np.argmin([loss(w) for w in kinks]))
+    inside = []
+    for a, b in zip(kinks[max(k - 1, 0):k + 1], kinks[k:k + 2]):
+        e = y - (a + b) / 2 * x
+        inside.append(np.clip(c * (np.sign(e) * x)[np.abs(e) > epsilon].sum(), a, b))
+    return min([kinks[k], *inside], key=loss)
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 300, 0])
+def test_a_sharp_fit_takes_few_scans(spark, monkeypatch, cells):
+    r = np.random.default_rng(7)
+    x, scans = np.concatenate([r.uniform(0.5, 40, 390), r.uniform(400, 4000, 10)]), []      # some rows come to a kink from far away
+    y = 2.5 * x + r.normal(size=400) * 30
+    monkeypatch.setattr(svr, "CELLS", cells)
+    inner = svr._summed
+    monkeypatch.setattr(svr, "_summed", lambda *a: scans.append(1) or inner(*a))
+    solver = svr.Solver(frame(spark, x[:, None], y).coalesce(1), None, kernel="linear", epsilon=5.0, intercept=False)
+    found = solver.fit([svr.Problem(c, 1.0, None) for c in (1e-6, 1e-5, 1.0)], rounding=1e-7, gain=1e-13)
+    for p in found:
+        assert p.weights[0] == pytest.approx(slope(x, y, p.c, 5.0), abs=1e-5)
+    assert len(scans) < (25 if cells > 300 else 400)
+
+
+def test_many_rows_at_one_kink(spark):
+    """The loss hardly falls on the way to it."""
+    r = np.random.default_rng(3)
+    x = r.integers(1, 80, 4000) / 2.0
+    y = np.round(2.6 * x + r.integers(-40, 40, 4000))
+    solver = svr.Solver(frame(spark, x[:, None], y).coalesce(1), None, kernel="linear", epsilon=5.0, intercept=False)
+    for p in solver.fit([svr.Problem(c, 1.0, None) for c in (1e-4, 1e-2, 1.0)], rounding=1e-7, gain=1e-13):
+        assert p.weights[0] == pytest.approx(slope(x, y, p.c, 5.0), abs=1e-6)
+
+
+def test_rows_that_come_to_a_kink_are_noticed(spark):
+    x, y = np.array([[1.0], [2.0], [3.0]]), np.array([1.0, 2.0, 30.0])
+    solver = svr.Solver(frame(spark, x, y), None, kernel="linear", epsilon=0.5, intercept=False)
+    p = svr.Problem(1.0, 1.0, None, n=3.0, weights=np.array([1.0]), least=1e-6)
+    assert solver._crossed([(p, 1.0, np.array([1.1])), (p, 1.0, np.array([9.9])), (p, 0.1, np.array([2.0]))]) == [0, 1, 2]
+    assert [n for n, *_ in solver._far([(p, 1.0), (p, 0.1)])] == [2, 0] and solver._far([(p, 1.0)])[0][2] == pytest.approx(26.5)
+    near, none = solver._near([(p, 1.0), (p, 0.1)])
+    assert sorted(near.tolist()) == [[1.0, 1.0], [2.0, 2.0]] and none.shape == (0, 2)
