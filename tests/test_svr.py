@@ -164,3 +164,26 @@ def test_rows_that_come_to_a_kink_are_noticed(spark):
     assert [n for n, *_ in solver._far([(p, 1.0), (p, 0.1)])] == [2, 0] and solver._far([(p, 1.0)])[0][2] == pytest.approx(26.5)
     near, none = solver._near([(p, 1.0), (p, 0.1)])
     assert sorted(near.tolist()) == [[1.0, 1.0], [2.0, 2.0]] and none.shape == (0, 2)
+
+
+def test_a_search_fits_once(spark, data, monkeypatch):
+    x, y = data
+    calls = []
+    inner = svr.Solver._products
+    monkeypatch.setattr(svr.Solver, "_products", lambda *a: calls.append(1) or inner(*a))
+    svr.cross_validate(frame(spark, x, y), [{"C": 0.1}, {"C": 1.0}], width=16)
+    assert len(calls) == 1
+
+
+def test_models_of_all_rows_come_with_the_search(spark, data, monkeypatch):
+    x, y = data
+    df, grid, scans = frame(spark, x, y).coalesce(1), [{"C": 0.1}, {"C": 1.0}], []
+    inner = svr.Solver._losses
+    monkeypatch.setattr(svr.Solver, "_losses", lambda *a: scans.append(1) or inner(*a))
+    monkeypatch.setattr(svr, "CELLS", 0)
+    alone = svr.cross_validate(df, grid, width=64)
+    first = len(scans)
+    rows, models = svr.search(df, grid, width=64)
+    assert len(scans) - first < first + 10      # in the same scans
+    assert [r["mse"] for r in rows] == pytest.approx([r["mse"] for r in alone], rel=1e-6) and len(models) == 2
+    assert np.abs(predicted(models[1], df) - predicted(svr.fit(df, grid[1], width=64), df)).mean() < 0.02
