@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from estrato.operators import select, trees
@@ -71,3 +72,12 @@ def test_settings_the_learner_cannot_tell_apart_share_a_fit(rows, monkeypatch):
         same.setdefault((r["fold"], p["n_estimators"], p["max_depth"] == 3, p["min_samples_split"] == 10), []).append(r["mse"])
     assert all(len(set(x)) == 1 for x in same.values())
     assert len({x[0] for key, x in same.items() if not key[2]}) == 8  # the learner tells all others apart
+
+
+@pytest.mark.parametrize("family", ["RandomForest", "GradientBoosting"])
+def test_nodes_of_shallow_trees_are_not_stored(spark, family):
+    df = spark.createDataFrame([(Vectors.dense(float(i % 13), float(i % 7)), float(i * 37 % 101)) for i in range(300)], ["features", "label"])
+    shallow, deep = (trees.estimator(family, {"n_estimators": 2, "max_depth": d}) for d in (trees.SHALLOW, trees.SHALLOW + 1))
+    assert not shallow.getCacheNodeIds() and deep.getCacheNodeIds()
+    grown, stored = (x.fit(df).toDebugString.split("\n", 1)[1] for x in (shallow, shallow.copy().setCacheNodeIds(True)))
+    assert grown == stored
